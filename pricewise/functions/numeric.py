@@ -13,7 +13,7 @@ _NUMBER_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 def coerce_number(col: Column) -> Column:
     """Text -> double; anything that is not a plain number becomes null."""
-    s = F.trim(col)
+    s = F.regexp_replace(col, r"^\s+|\s+$", "")
     return F.when(s.rlike(_NUMBER_TEXT), s.try_cast("double"))
 
 

@@ -23,12 +23,17 @@ def require_columns(df: DataFrame, required: list[str]) -> None:
         raise ValueError(f"Missing required columns: {', '.join(missing)}")
 
 
-def feature_rows(clean: DataFrame) -> DataFrame:
-    """Clean sales -> feature rows (age floored at 0, UTC date parts)."""
+def feature_rows(clean: DataFrame, keep: list[str] | None = None,
+                 integer_price: bool = True) -> DataFrame:
+    """Clean sales -> feature rows (age floored at 0, UTC date parts).
+
+    ``integer_price=False`` keeps a price with cents as double instead of the
+    checked integer cast."""
     require_columns(clean, FEATURE_INPUT)
-    df = clean.select(*FEATURE_INPUT).dropna(how="any", subset=FEATURE_INPUT)
+    keep = list(keep or [])
+    df = clean.select(*keep, *FEATURE_INPUT).dropna(how="any", subset=FEATURE_INPUT)
     sale_year = F.year("saledate")
-    return df.select(
+    return df.select(*keep,
         safe_int(F.greatest(sale_year - F.col("year"), F.lit(0)), "vehicle_age").alias("vehicle_age"),
         year_month(F.col("saledate")).alias("year_month"),
         F.month("saledate").cast("bigint").alias("sale_month"),
@@ -36,7 +41,8 @@ def feature_rows(clean: DataFrame) -> DataFrame:
         safe_int(F.col("odometer"), "odometer").alias("odometer"),
         F.col("condition").cast("double").alias("condition"),
         "body",
-        safe_int(F.col("sellingprice"), "sellingprice").alias("sellingprice"),
+        (safe_int(F.col("sellingprice"), "sellingprice") if integer_price
+         else F.col("sellingprice").cast("double")).alias("sellingprice"),
     )
 
 

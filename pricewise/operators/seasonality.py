@@ -35,10 +35,13 @@ FACTOR_COLUMNS = ["body", "sale_month", "month_name", "seasonal_factor", "season
 
 def seasonality_rows(sales: DataFrame, predict: Predictor, index: DataFrame,
                      cfg: SeasonalityConfig = DEFAULT_SEASONALITY,
-                     on_missing: str = "raise") -> DataFrame:
-    """Index-normalised price relative to a reference-month prediction."""
+                     on_missing: str = "raise", keep: list[str] | None = None) -> DataFrame:
+    """Index-normalised price relative to a reference-month prediction.
+
+    ``keep`` lists extra columns (e.g. the row key) carried through."""
     required = FEATURE_COLUMNS + [TARGET_COLUMN]
-    df = sales.select(*required).dropna(how="any", subset=required)
+    keep = list(keep or [])
+    df = sales.select(*keep, *required).dropna(how="any", subset=required)
     df = apply_bounds(df, cfg.bounds)
     df = df.withColumn("body", normalize_key(F.col("body")))
     scored = restore_point(predict(at_reference_point(df, cfg)))
@@ -47,7 +50,7 @@ def seasonality_rows(sales: DataFrame, predict: Predictor, index: DataFrame,
     scored = strict_lookup(scored, index, "cpi_multiplier", on_missing=on_missing)
     norm = F.col(TARGET_COLUMN) / F.col("cpi_multiplier")
     return scored.select(
-        "body", "sale_month", "year_month", norm.alias("normalized_price"),
+        *keep, "body", "sale_month", "year_month", norm.alias("normalized_price"),
         "reference_prediction", (norm / F.col("reference_prediction")).alias("price_ratio"))
 
 

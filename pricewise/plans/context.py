@@ -51,7 +51,7 @@ class Chain:
     @property
     def rows(self) -> DataFrame:
         return self._get("rows", lambda: seasonality_rows(self.sales, self.baseline.transform,
-                                                          self.index, self.cfg))
+                                                          self.index, self.cfg, keep=SALE_KEY))
 
     @property
     def factors(self) -> DataFrame:

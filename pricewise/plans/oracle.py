@@ -66,7 +66,7 @@ gb AS (
 
 ROWS = """
 srows AS (
-  SELECT f.body, f.sale_month, f.year_month,
+  SELECT f.l_orderkey, f.l_partkey, f.l_suppkey, f.l_linenumber, f.body, f.sale_month, f.year_month,
          f.sellingprice / i.cpi_multiplier AS normalized_price,
          greatest(g.prediction, 500.0) AS reference_prediction,
          (f.sellingprice / i.cpi_multiplier) / greatest(g.prediction, 500.0) AS price_ratio
@@ -74,25 +74,30 @@ srows AS (
   JOIN idx i ON f.year_month = i.year_month
   WHERE f.sale_month BETWEEN 1 AND 12)"""
 
-FACTORS = """
-body_stats AS (
+def factors_cte(src: str = "srows", p: str = "") -> str:
+    """CTE chain computing the factor table ``{p}factors`` from rows ``src``."""
+    return (FACTORS_TEMPLATE.replace("{src}", src).replace("{p}", p))
+
+
+FACTORS_TEMPLATE = """
+{p}body_stats AS (
   SELECT body, median(price_ratio) AS body_ratio_median, count(*) AS body_observations
-  FROM srows GROUP BY body),
-cells AS (
+  FROM {src} GROUP BY body),
+{p}cells AS (
   SELECT r.body, r.sale_month, median(r.price_ratio / b.body_ratio_median) AS raw, count(*) AS n
-  FROM srows r JOIN body_stats b ON r.body = b.body GROUP BY r.body, r.sale_month),
-grid AS (
+  FROM {src} r JOIN {p}body_stats b ON r.body = b.body GROUP BY r.body, r.sale_month),
+{p}grid AS (
   SELECT b.body, b.body_observations, CAST(m.m AS BIGINT) AS sale_month
-  FROM body_stats b CROSS JOIN range(1, 13) m(m)),
-g AS (
+  FROM {p}body_stats b CROSS JOIN range(1, 13) m(m)),
+{p}g AS (
   SELECT grid.body, grid.sale_month, grid.body_observations,
          CAST(coalesce(cells.n, 0) AS BIGINT) AS observations,
          coalesce(cells.raw, 1.0) AS raw,
          CASE WHEN coalesce(cells.n, 0) > 0 THEN
               least(greatest(1.0 + (cells.raw - 1.0) * (cells.n / (cells.n + 1000)), 0.85), 1.15)
               ELSE 1.0 END AS factor
-  FROM grid LEFT JOIN cells ON grid.body = cells.body AND grid.sale_month = cells.sale_month),
-rec AS (
+  FROM {p}grid grid LEFT JOIN {p}cells cells ON grid.body = cells.body AND grid.sale_month = cells.sale_month),
+{p}rec AS (
   SELECT body,
          CAST(sum(CASE WHEN observations >= 100 THEN 1 ELSE 0 END) AS BIGINT) AS recommendation_eligible_months,
          coalesce(arg_max(sale_month, (factor, -sale_month)) FILTER (WHERE observations >= 100),
@@ -103,11 +108,11 @@ rec AS (
                   arg_min(sale_month, (factor, sale_month)) FILTER (WHERE observations > 0), 2) AS worst_month,
          coalesce(arg_min(factor, (factor, sale_month)) FILTER (WHERE observations >= 100),
                   arg_min(factor, (factor, sale_month)) FILTER (WHERE observations > 0), 1.0) AS worst_factor
-  FROM g GROUP BY body),
-mn AS (
+  FROM {p}g GROUP BY body),
+{p}mn AS (
   SELECT * FROM (VALUES (1, 'Jan'), (2, 'Feb'), (3, 'Mar'), (4, 'Apr'), (5, 'May'), (6, 'Jun'),
                         (7, 'Jul'), (8, 'Aug'), (9, 'Sep'), (10, 'Oct'), (11, 'Nov'), (12, 'Dec')) t(m, name)),
-factors AS (
+{p}factors AS (
   SELECT g.body, g.sale_month, m1.name AS month_name,
          round(g.factor, 4) AS seasonal_factor,
          round((g.factor - 1.0) * 100, 1) AS seasonal_delta_pct,
@@ -122,9 +127,10 @@ factors AS (
          round(rec.best_factor, 4) AS best_factor,
          CAST(rec.worst_month AS BIGINT) AS worst_month, m3.name AS worst_month_name,
          round(rec.worst_factor, 4) AS worst_factor
-  FROM g JOIN rec ON g.body = rec.body
-  JOIN mn m1 ON m1.m = g.sale_month JOIN mn m2 ON m2.m = rec.best_month
-  JOIN mn m3 ON m3.m = rec.worst_month)"""
+  FROM {p}g g JOIN {p}rec rec ON g.body = rec.body
+  JOIN {p}mn m1 ON m1.m = g.sale_month JOIN {p}mn m2 ON m2.m = rec.best_month
+  JOIN {p}mn m3 ON m3.m = rec.worst_month)"""
+FACTORS = factors_cte()
 
 
 def with_(*ctes: str) -> str:
@@ -178,3 +184,388 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, body, target_month, year_
        CASE WHEN coalesce(f_obs, 0) <> 0 AND NOT (dpct > 2.0) AND dpct < -2.0 AND rec
             THEN f_best_name END AS hint_month
 FROM final"""
+
+
+KEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
+KEYTEXT = "concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber)"
+BUCKET = f"(('0x' || substr(md5({KEYTEXT}), 1, 8))::BIGINT % 100)"
+SALE_TIME = "'Tue Dec 16 2014 12:30:00 GMT-0800 (PST)'"
+STRIP_U = r"regexp_replace({x}, '^[\s\pZ]+|[\s\pZ]+$', '', 'g')"
+
+
+def norm_category(x: str) -> str:
+    stripped = STRIP_U.format(x=x)
+    return (f"nullif(replace(regexp_replace(lower({stripped}), '[\\s\\pZ]+', ' ', 'g'), "
+            f"'navitgation', 'navigation'), '')")
+
+
+ORACLE["record_repair"] = f"""
+WITH lp AS (
+  SELECT 'p' || CAST(p_partkey AS VARCHAR) AS line_id,
+         concat_ws(',', CAST(1990 + p_size % 30 AS VARCHAR), p_brand, p_name,
+                   CASE WHEN p_partkey % 3 = 0 THEN replace(p_name, ' ', ', ')
+                        WHEN p_partkey % 3 = 1 THEN '"' || replace(p_name, ' ', ', ') || '"'
+                        ELSE p_name END,
+                   p_type, 'automatic', 'vin' || CAST(p_partkey AS VARCHAR), 'ca',
+                   CAST(p_size % 5 + 1 AS VARCHAR), CAST(p_size * 1000 AS VARCHAR), 'black', 'gray',
+                   'dealer', CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS VARCHAR),
+                   CAST(CAST(round(p_retailprice * 100) AS BIGINT) AS VARCHAR), {SALE_TIME}) AS line
+  FROM part),
+ld AS (
+  SELECT 'd' || CAST(doc_id AS VARCHAR) AS line_id,
+         concat_ws(',', '2012', source, lang,
+                   CASE WHEN doc_id % 2 = 0 THEN '"' || replace(text, '"', '""') || '"'
+                        ELSE replace(text, chr(10), ' ') END,
+                   'sedan', 'automatic', 'doc' || CAST(doc_id AS VARCHAR), 'ca', '3',
+                   CAST(n_chars AS VARCHAR), 'black', 'gray', 'dealer', '10000', '10000', {SALE_TIME}) AS line
+  FROM documents),
+lines AS (SELECT * FROM lp UNION ALL SELECT * FROM ld),
+tok AS (
+  SELECT line_id,
+         list_transform(regexp_extract_all(line || ',', '("[^"]*(?:""[^"]*)*"|[^,]*),', 1),
+                        lambda t: CASE WHEN starts_with(t, '"') AND ends_with(t, '"') AND length(t) >= 2
+                                  THEN replace(substr(t, 2, length(t) - 2), '""', '"') ELSE t END) AS f
+  FROM lines),
+rep AS (
+  SELECT line_id, CAST(len(f) AS BIGINT) AS n_fields,
+         CASE WHEN len(f) = 16 THEN 'ok' WHEN len(f) = 17 THEN 'repaired' ELSE 'bad' END AS status,
+         CASE WHEN len(f) = 16 THEN f
+              WHEN len(f) = 17 THEN list_concat(f[1:3], [f[4] || ', ' || {STRIP_U.format(x='f[5]')}], f[6:17])
+         END AS g
+  FROM tok)
+SELECT line_id, n_fields, status, g[1] AS year, g[2] AS make, g[3] AS model, g[4] AS trim,
+       g[5] AS body, g[7] AS vin, g[15] AS sellingprice
+FROM rep"""
+
+_NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+ORACLE["numeric_coercion"] = f"""
+WITH ev AS (
+  SELECT 'events' AS source, event_id AS id, regexp_extract(props, ':(.*)\\}}', 1) AS raw FROM events),
+pt AS (
+  SELECT 'part' AS source, p_partkey AS id,
+         unnest(list_concat(string_split(p_name, ' '),
+                            [CAST(p_retailprice AS VARCHAR), CAST(p_size AS VARCHAR) || 'd',
+                             regexp_extract(p_brand, '#(.*)', 1),
+                             ' ' || CAST(p_size AS VARCHAR) || 'e1 '])) AS raw
+  FROM part),
+u AS (SELECT * FROM ev UNION ALL SELECT * FROM pt),
+s AS (SELECT source, id, raw, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS t FROM u)
+SELECT source, id, raw,
+       CASE WHEN regexp_matches(t, '{_NUM}') THEN TRY_CAST(t AS DOUBLE) END AS value
+FROM s"""
+
+ORACLE["category_normalise"] = f"""
+WITH a AS (
+  SELECT 'part' AS source, CAST(p_partkey AS VARCHAR) AS id,
+         CASE p_partkey % 4 WHEN 0 THEN ' ' || upper(p_name) || chr(9)
+                            WHEN 1 THEN chr(160) || replace(p_name, ' ', '   ')
+                            WHEN 2 THEN 'Navitgation  ' || p_brand
+                            ELSE '   ' END AS raw
+  FROM part),
+b AS (SELECT 'documents' AS source, CAST(doc_id AS VARCHAR) AS id,
+             chr(9) || upper(source) || '  ' AS raw FROM documents)
+SELECT source, id, {norm_category('raw')} AS value FROM a
+UNION ALL SELECT source, id, {norm_category('raw')} AS value FROM b
+UNION ALL
+SELECT 'transmission' AS source, {KEYTEXT} AS id,
+       coalesce({norm_category("nullif(l_returnflag, 'N')")}, 'unknown') AS value
+FROM lineitem"""
+
+_LOCAL = "(l_shipdate + to_hours(CAST(l_partkey % 24 AS BIGINT)))"
+ORACLE["sale_time_parse"] = f"""
+WITH a AS (
+  SELECT {KEYTEXT} AS id,
+         (CASE WHEN l_orderkey % 50 = 0 THEN 'Xyz' ELSE strftime({_LOCAL}, '%a') END) || ' ' ||
+         strftime({_LOCAL}, '%b %d %Y %H:%M:%S') || ' GMT' ||
+         (['-0800', '+0100', '-0500'])[l_suppkey % 3 + 1] ||
+         ([' (PST)', '', ' (pst)', ' (EST)'])[l_linenumber % 4 + 1] AS text
+  FROM lineitem),
+b AS (
+  SELECT 'e' || CAST(event_id AS VARCHAR) AS id,
+         strftime(ts, '%a %b %d %Y %H:%M:%S') || ' GMT' || (['+0000', '-0800', '+0530'])[event_id % 3 + 1] AS text
+  FROM events),
+t AS (
+  SELECT id, timezone('UTC', try_strptime(regexp_replace(text, ' \\([A-Z]{{3}}\\)$', ''),
+                                          '%a %b %d %Y %H:%M:%S GMT%z')) AS ts
+  FROM (SELECT * FROM a UNION ALL SELECT * FROM b))
+SELECT id, strftime(ts, '%Y-%m-%d %H:%M:%S') || '+0000' AS saledate_utc,
+       CAST(year(ts) AS BIGINT) AS sale_year, CAST(month(ts) AS BIGINT) AS sale_month,
+       strftime(ts, '%Y-%m') AS year_month
+FROM t"""
+
+ORACLE["integer_cast"] = f"""
+SELECT {KEYS}, CAST(l_quantity AS BIGINT) AS quantity, CAST(l_quantity * 1000 AS BIGINT) AS odometer
+FROM lineitem"""
+
+_FEATURE_OK = ("year IS NOT NULL AND make IS NOT NULL AND model IS NOT NULL AND body IS NOT NULL "
+               "AND condition IS NOT NULL AND odometer IS NOT NULL AND saledate IS NOT NULL "
+               "AND sellingprice IS NOT NULL")
+ORACLE["clean_accounting"] = with_(SALE) + f"""
+SELECT CAST(count(*) AS BIGINT) AS rows_loaded,
+       CAST(count_if({_FEATURE_OK}) AS BIGINT) AS rows_written,
+       CAST(count(*) - count_if({_FEATURE_OK}) AS BIGINT) AS rows_removed
+FROM sale"""
+
+ORACLE["feature_rows"] = with_(SALE) + f"""
+SELECT {KEYS}, vehicle_age, year_month, sale_month, make, model, odometer, condition, body,
+       sellingprice
+FROM sale WHERE {_FEATURE_OK}"""
+
+ORACLE["modeling_frame"] = with_(SALE) + f"""
+SELECT {KEYS}, vehicle_age, sale_month, odometer, condition, year_month, make, model, body, sellingprice
+FROM sale
+WHERE vehicle_age IS NOT NULL AND sale_month IS NOT NULL AND odometer IS NOT NULL
+  AND condition IS NOT NULL AND year_month IS NOT NULL AND make IS NOT NULL
+  AND model IS NOT NULL AND body IS NOT NULL AND sellingprice IS NOT NULL
+  AND sellingprice BETWEEN 5000 AND 100000 AND odometer BETWEEN 1000 AND 45000
+  AND vehicle_age BETWEEN 0 AND 5
+ORDER BY md5(concat_ws('|', {KEYS}, '42')), {KEYS}
+LIMIT 10000"""
+
+ORACLE["index_last_value"] = """
+SELECT event_type AS series, strftime(ts, '%Y-%m-%d %H') AS period,
+       arg_max(value, (ts, event_id)) FILTER (WHERE value IS NOT NULL) AS value
+FROM events GROUP BY 1, 2"""
+
+ORACLE["index_align"] = with_(INDEX) + """
+SELECT year_month, round(price, 6) AS price, round(quantity, 6) AS quantity, volume FROM filled"""
+
+IDX1 = PRICE + """,
+idx1 AS (
+  SELECT year_month, price,
+         price / (SELECT avg(price) FROM price WHERE substr(year_month, 1, 4) = '1998') AS cpi_multiplier
+  FROM price)"""
+
+GAPPY = PRICE + """,
+gp AS (SELECT * FROM price WHERE substr(year_month, 6, 2) <> '04' AND year_month >= '1995-06'),
+gidx AS (
+  SELECT year_month, price,
+         price / (SELECT avg(price) FROM gp WHERE substr(year_month, 1, 4) = '1998') AS cpi_multiplier
+  FROM gp)"""
+
+
+def asof(src: str, index: str, month: str = "year_month") -> str:
+    """Rows of ``src`` with the resolved month of ``index`` (exact, else the
+    latest earlier month, clamped to the index range)."""
+    return f"""(
+  SELECT s.*, (SELECT max(i.year_month) FROM {index} i
+               WHERE i.year_month <= least(greatest(s.{month}, b.lo), b.hi)) AS resolved_month
+  FROM {src} s CROSS JOIN (SELECT min(year_month) AS lo, max(year_month) AS hi FROM {index}) b)"""
+
+
+ORACLE["index_base_ratio"] = with_(IDX1) + """
+SELECT year_month, round(price, 6) AS price, round(cpi_multiplier, 6) AS cpi_multiplier FROM idx1"""
+
+ORACLE["enrich_left"] = with_(SALE, IDX1) + f"""
+SELECT {', '.join('s.' + k for k in KEYS.split(', '))}, s.year_month, round(i.price, 6) AS price,
+       round(i.cpi_multiplier, 6) AS cpi_multiplier
+FROM sale s LEFT JOIN idx1 i ON s.year_month = i.year_month"""
+
+ORACLE["enrich_missing_audit"] = with_(SALE, IDX1) + """
+SELECT CAST(count_if(i.cpi_multiplier IS NULL) AS BIGINT) AS rows_without_index,
+       coalesce(string_agg(DISTINCT CASE WHEN i.cpi_multiplier IS NULL THEN s.year_month END, ','
+                           ORDER BY CASE WHEN i.cpi_multiplier IS NULL THEN s.year_month END), '')
+       AS missing_months
+FROM sale s LEFT JOIN idx1 i ON s.year_month = i.year_month"""
+
+ORACLE["index_asof"] = with_(SALE, GAPPY) + f""",
+r AS {asof('sale', 'gidx')}
+SELECT {', '.join('r.' + k for k in KEYS.split(', '))}, r.year_month, r.resolved_month,
+       r.resolved_month <> r.year_month AS is_carried,
+       round(i.cpi_multiplier, 6) AS cpi_multiplier,
+       round(r.sellingprice * i.cpi_multiplier, 6) AS adjusted_price
+FROM r JOIN gidx i ON i.year_month = r.resolved_month"""
+
+ORACLE["index_snapshot"] = with_(IDX1) + f""",
+months AS (SELECT DISTINCT strftime(l_shipdate, '%Y-%m') AS year_month FROM lineitem),
+r AS {asof('months', 'idx1')}
+SELECT r.year_month, r.resolved_month, round(i.cpi_multiplier, 4) AS cpi_multiplier,
+       round(i.price, 6) AS price
+FROM r JOIN idx1 i ON i.year_month = r.resolved_month"""
+
+TEST_PRED = f""",
+fb AS (SELECT *, {BUCKET} AS bucket FROM frame),
+train AS (SELECT * FROM fb WHERE bucket >= 20),
+test AS (SELECT * FROM fb WHERE bucket < 20),
+gbt AS (
+  SELECT make, body, CAST(sum(CAST(sellingprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS prediction
+  FROM train GROUP BY make, body),
+fbt AS (SELECT CAST(sum(CAST(sellingprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS fallback FROM train),
+tp AS (
+  SELECT t.*, coalesce(g.prediction, f.fallback) AS prediction
+  FROM test t LEFT JOIN gbt g ON t.make = g.make AND t.body = g.body CROSS JOIN fbt f)"""
+
+_FIXED = ", ".join(f"('{m}')" for m in FORWARD_PROJECTION_MONTHS)
+ORACLE["index_projection"] = with_(SALE, FRAME, GAPPY) + TEST_PRED + f""",
+base AS (SELECT median(prediction) AS stage1_baseline FROM tp),
+months AS (
+  SELECT DISTINCT year_month FROM (
+    SELECT strftime(l_shipdate, '%Y-%m') AS year_month FROM lineitem
+    UNION ALL SELECT * FROM (VALUES {_FIXED}) v(year_month))),
+r AS {asof('months', 'gidx')}
+SELECT r.year_month, r.resolved_month, round(i.cpi_multiplier, 4) AS cpi_multiplier,
+       round(b.stage1_baseline, 0) AS stage1_baseline,
+       round(b.stage1_baseline * i.cpi_multiplier, 0) AS stage2_price,
+       round((i.cpi_multiplier - 1.0) * 100, 1) AS delta_pct
+FROM r JOIN gidx i ON i.year_month = r.resolved_month CROSS JOIN base b"""
+
+
+def metrics_sql(y: str, p: str, prefix: str = "", extended: bool = False) -> str:
+    e = f"({y} - {p})"
+    cols = [f"round(avg(abs({e})), 6) AS {prefix}mae",
+            f"round(sqrt(avg({e} * {e})), 6) AS {prefix}rmse",
+            f"round(1 - sum({e} * {e}) / (count(*) * var_pop({y})), 6) AS {prefix}r2",
+            f"round(avg(abs({e} / {y})) * 100, 6) AS {prefix}mape_percent"]
+    if extended:
+        cols += [f"round(avg(abs({e})) / avg({y}) * 100, 6) AS {prefix}mae_relative_percent",
+                 f"round(avg({y}), 6) AS {prefix}mean_price"]
+    return ",\n       ".join(cols)
+
+
+ORACLE["index_backtest"] = with_(SALE, INDEX, FRAME) + TEST_PRED + f""",
+r AS {asof('tp', 'idx')},
+t AS (SELECT r.*, i.cpi_multiplier, r.prediction * i.cpi_multiplier AS stage2
+      FROM r JOIN idx i ON i.year_month = r.resolved_month)
+SELECT CAST(count(*) AS BIGINT) AS test_rows,
+       {metrics_sql('sellingprice', 'prediction', 'stage1_')},
+       {metrics_sql('sellingprice', 'stage2', 'stage2_')},
+       round(min(cpi_multiplier), 6) AS multiplier_min, round(max(cpi_multiplier), 6) AS multiplier_max,
+       round(avg(cpi_multiplier), 6) AS multiplier_mean, round(median(prediction), 6) AS stage1_median
+FROM t"""
+
+ORACLE["split_holdout"] = f"""
+SELECT {KEYS}, {BUCKET} AS bucket, {BUCKET} < 20 AS is_test FROM lineitem"""
+
+ORACLE["group_baseline"] = with_(SALE, FRAME) + f""",
+fb AS (SELECT CAST(sum(CAST(sellingprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS fallback FROM frame),
+p AS (SELECT f.*, coalesce(g.prediction, fb.fallback) AS prediction
+      FROM frame f LEFT JOIN gb g ON f.make = g.make AND f.body = g.body CROSS JOIN fb)
+SELECT {KEYS}, make, body, round(prediction, 6) AS prediction,
+       round(greatest(prediction, 500.0), 6) AS floored_prediction,
+       round(sellingprice / greatest(prediction, 500.0), 6) AS price_ratio
+FROM p"""
+
+ORACLE["median_baseline"] = with_(SALE, FRAME) + TEST_PRED + f""",
+m AS (SELECT median(sellingprice) AS med FROM train),
+s AS (SELECT t.sellingprice, m.med AS prediction FROM test t CROSS JOIN m)
+SELECT CAST(count(*) AS BIGINT) AS n, {metrics_sql('sellingprice', 'prediction', extended=True)}
+FROM s"""
+
+ORACLE["regression_metrics"] = with_(SALE, FRAME) + TEST_PRED + f"""
+SELECT CAST(count(*) AS BIGINT) AS n, {metrics_sql('sellingprice', 'prediction', extended=True)}
+FROM tp"""
+
+_SEGS = ("('Budget', 500, 5000, '$500–$5,000'), ('Economy', 5000, 10000, '$5,000–$10,000'), "
+         "('Mid-Range', 10000, 20000, '$10,000–$20,000'), "
+         "('Premium', 20000, 40000, '$20,000–$40,000'), "
+         "('Luxury', 40000, 150000, '$40,000–$150,000')")
+ORACLE["segment_metrics"] = with_(SALE, FRAME) + TEST_PRED + f""",
+seg AS (SELECT * FROM (VALUES {_SEGS}) v(segment, lo, hi, price_range)),
+j AS (SELECT tp.sellingprice, tp.prediction, seg.segment, seg.price_range
+      FROM tp JOIN seg ON tp.sellingprice BETWEEN seg.lo AND seg.hi)
+SELECT segment, price_range, CAST(count(*) AS BIGINT) AS n,
+       round(avg(abs(sellingprice - prediction)), 6) AS mae,
+       round(sqrt(avg((sellingprice - prediction) * (sellingprice - prediction))), 6) AS rmse,
+       round(avg(abs((sellingprice - prediction) / sellingprice)) * 100, 6) AS mape_percent
+FROM j GROUP BY segment, price_range HAVING count(*) >= 10"""
+
+ORACLE["seasonality_rows"] = with_(SALE, INDEX, FRAME, ROWS) + f"""
+SELECT {KEYS}, body, sale_month, year_month, round(normalized_price, 6) AS normalized_price,
+       round(reference_prediction, 6) AS reference_prediction, round(price_ratio, 6) AS price_ratio
+FROM srows"""
+
+ORACLE["seasonality_backfill"] = CHAIN + """
+SELECT body, sale_month, observations,
+       CAST(sum(CASE WHEN observations >= 100 THEN 1 ELSE 0 END) OVER (PARTITION BY body) AS BIGINT)
+         AS recommendation_eligible_months,
+       sum(CASE WHEN observations >= 100 THEN 1 ELSE 0 END) OVER (PARTITION BY body) >= 2
+         AS has_recommendation
+FROM factors"""
+
+ORACLE["seasonality_lookup"] = CHAIN + f""",
+s AS (
+  SELECT {KEYS}, sale_month, sellingprice,
+         lower(trim(CASE WHEN l_linenumber = 7 THEN 'Wagon' ELSE ' ' || upper(body) || ' ' END)) AS bkey
+  FROM sale)
+SELECT {', '.join('s.' + k for k in KEYS.split(', '))}, s.sale_month,
+       coalesce(f.seasonal_factor, 1.0) AS seasonal_factor,
+       coalesce(f.confidence, 'no_data') AS confidence,
+       coalesce(f.observations, 0) AS observations,
+       coalesce(f.best_month, s.sale_month) AS best_month,
+       coalesce(f.worst_month, s.sale_month) AS worst_month,
+       round(s.sellingprice * coalesce(f.seasonal_factor, 1.0), 6) AS adjusted_price
+FROM s LEFT JOIN factors f ON f.body = s.bkey AND f.sale_month = s.sale_month"""
+
+ORACLE["seasonality_holdout"] = with_(SALE, INDEX, FRAME, ROWS) + f""",
+flag AS (SELECT *, {BUCKET} < 20 AS is_test FROM srows),
+trows AS (SELECT * FROM flag WHERE NOT is_test),
+{factors_cte('trows', 't_').strip()},
+j AS (SELECT f.*, coalesce(tf.seasonal_factor, 1.0) AS factor
+      FROM flag f LEFT JOIN t_factors tf ON f.body = tf.body AND f.sale_month = tf.sale_month),
+m AS (
+  SELECT CAST(count_if(NOT is_test) AS BIGINT) AS training_rows,
+         CAST(count_if(is_test) AS BIGINT) AS test_rows,
+         avg(CASE WHEN is_test THEN abs(normalized_price - reference_prediction) END) AS baseline_mae,
+         avg(CASE WHEN is_test THEN abs(normalized_price - reference_prediction * factor) END) AS stage3_mae
+  FROM j)
+SELECT training_rows, test_rows, round(baseline_mae, 6) AS baseline_mae, round(stage3_mae, 6) AS stage3_mae,
+       round(stage3_mae - baseline_mae, 6) AS mae_change,
+       round((stage3_mae / baseline_mae - 1.0) * 100, 6) AS mae_change_percent
+FROM m"""
+
+ORACLE["seasonality_summary"] = CHAIN + """,
+per AS (
+  SELECT body, max(body_observations) AS total_observations,
+         CAST(sum(CAST(is_observed AS INTEGER)) AS BIGINT) AS observed_months,
+         max(best_month_name) AS best_month, max(best_factor) AS best_factor,
+         max(worst_month_name) AS worst_month, max(worst_factor) AS worst_factor,
+         bool_or(has_recommendation) AS has_recommendation
+  FROM factors GROUP BY body),
+cov AS (
+  SELECT CAST(count(*) AS BIGINT) AS bodies_total,
+         CAST(count_if(has_recommendation) AS BIGINT) AS bodies_with_recommendation,
+         CAST(count_if(NOT has_recommendation) AS BIGINT) AS bodies_without_recommendation
+  FROM per),
+top AS (SELECT * FROM per ORDER BY total_observations DESC, body ASC LIMIT 12)
+SELECT top.*, cov.* FROM top CROSS JOIN cov"""
+
+ORACLE["unobserved_months"] = with_(SALE) + """,
+s AS (SELECT DISTINCT lower(trim(body)) AS body, sale_month FROM sale),
+grid AS (SELECT b.body, CAST(m.m AS BIGINT) AS sale_month
+         FROM (SELECT DISTINCT body FROM s) b CROSS JOIN range(1, 13) m(m)),
+mn AS (SELECT * FROM (VALUES (1, 'Jan'), (2, 'Feb'), (3, 'Mar'), (4, 'Apr'), (5, 'May'), (6, 'Jun'),
+                             (7, 'Jul'), (8, 'Aug'), (9, 'Sep'), (10, 'Oct'), (11, 'Nov'), (12, 'Dec')) t(m, name))
+SELECT g.body, g.sale_month, mn.name AS month_name
+FROM grid g JOIN mn ON mn.m = g.sale_month
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.body = g.body AND s.sale_month = g.sale_month)"""
+
+ORACLE["catalogue"] = """
+SELECT p_brand AS make, array_to_string(list_sort(list_distinct(list(p_name))), '|') AS models,
+       CAST(count(DISTINCT p_name) AS BIGINT) AS n_models
+FROM part GROUP BY p_brand"""
+
+_CATS = ["year_month", "make", "model", "body"]
+_LEVELS = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level FROM frame"
+                             for c in _CATS)
+ORACLE["rare_levels"] = with_(SALE, FRAME) + f""",
+lv AS ({_LEVELS})
+SELECT feature, level, CAST(count(*) AS BIGINT) AS n, count(*) < 50 AS is_rare,
+       CASE WHEN count(*) < 50 THEN '__rare__' ELSE level END AS encoded_level
+FROM lv GROUP BY feature, level"""
+
+ORACLE["ordinal_codes"] = with_(SALE, FRAME) + f""",
+lv AS (SELECT DISTINCT * FROM ({_LEVELS}))
+SELECT feature, level, CAST(row_number() OVER (PARTITION BY feature ORDER BY level) - 1 AS BIGINT) AS code
+FROM lv"""
+
+_NUMS = ["vehicle_age", "sale_month", "odometer", "condition"]
+ORACLE["scaled_numerics"] = with_(SALE, FRAME) + "\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(stddev_pop({c}), 6) AS sd FROM frame"
+    for c in _NUMS)
+
+ORACLE["log_linear_by_body"] = with_(SALE, FRAME) + """
+SELECT body, CAST(count(*) AS BIGINT) AS n,
+       round(regr_slope(ln(1 + sellingprice), CAST(odometer AS DOUBLE)), 12) AS slope,
+       round(regr_intercept(ln(1 + sellingprice), CAST(odometer AS DOUBLE)), 6) AS intercept,
+       round(regr_r2(ln(1 + sellingprice), CAST(odometer AS DOUBLE)), 6) AS r2
+FROM frame GROUP BY body"""
