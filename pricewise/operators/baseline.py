@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from pricewise.config import TARGET_COLUMN
 from pricewise.functions.numeric import money_mean
-from pricewise.operators.dims import checked_broadcast
+from pricewise.operators.dims import checked_broadcast, materialise
 from pricewise.operators.median import grouped_median
 
 
@@ -40,7 +40,7 @@ def fit_group_baseline(train: DataFrame, keys=("make", "body"), target: str = TA
                                      F.count(F.lit(1)).alias("n"))
     if broadcast_check:
         table = checked_broadcast(table)
-    fallback = train.agg(money_mean(F.col(target)).alias("_fallback"))
+    fallback = materialise(train.agg(money_mean(F.col(target)).alias("_fallback")))
     return GroupBaseline(table, keys, fallback)
 
 

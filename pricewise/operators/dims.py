@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,17 +10,20 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      materialise: bool = True) -> DataFrame:
+def materialise(df: DataFrame) -> DataFrame:
+    """Persist (memory, spilling to disk) so several consumers share one
+    computation. A lost executor's blocks are recomputed from the lineage."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
-    The table is checkpointed first (to the shared ``spark.checkpoint.dir``)
-    so the count and the later join read the same materialised rows and the
-    lineage is cut. Beyond the limit the frame is returned unhinted and the
-    join falls back to a shuffle join (with AQE skew handling).
+    The table is materialised first, so the size check and the later join
+    read the same rows and the upstream plan runs once. Beyond the limit the
+    frame is returned unhinted and the join stays a shuffle join (with AQE
+    skew handling).
     """
-    if materialise:
-        df = df.checkpoint(eager=True)
-    n = df.limit(max_rows + 1).count()
+    df = materialise(df)
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
-

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.functions.dates import month_start, year_month
+from pricewise.operators.dims import checked_broadcast, materialise
 
 MONTH = "year_month"
 
@@ -119,20 +120,30 @@ def missing_months(sales: DataFrame, index: DataFrame, value_col: str = "cpi_mul
 
 def strict_lookup(sales: DataFrame, index: DataFrame, value_col: str = "cpi_multiplier",
                   on_missing: str = "raise") -> DataFrame:
-    """Exact-month lookup; with ``raise`` any unmatched month fails the job
-    with the sorted list of all missing months (computed in the same plan)."""
+    """Exact-month lookup of ``value_col``.
+
+    ``raise``     the joined rows are materialised once; if any month has no
+                  index value the call fails with the sorted list of all
+                  missing months (a list bounded by the calendar).
+    ``fail_fast`` no extra action: the first unmatched row fails its task.
+    ``keep``      unmatched rows keep a null value.
+    """
     j = sales.join(index.select(MONTH, value_col), MONTH, "left")
     if on_missing == "keep":
         return j
+    if on_missing == "fail_fast":
+        return j.withColumn(value_col, F.when(F.col(value_col).isNull(), F.raise_error(F.concat(
+            F.lit("Missing CPI multipliers for historical sale months: "), F.col(MONTH))))
+            .otherwise(F.col(value_col)))
     if on_missing != "raise":
-        raise ValueError("on_missing must be 'raise' or 'keep'")
-    miss = j.agg(F.array_sort(F.collect_set(F.when(F.col(value_col).isNull(), F.col(MONTH))))
-                 .alias("_missing"))
-    checked = j.crossJoin(F.broadcast(miss))  # one row
-    guard = F.when(F.size("_missing") > 0, F.raise_error(F.concat(
-        F.lit("Missing CPI multipliers for historical sale months: "),
-        F.array_join("_missing", ", ")))).otherwise(F.col(value_col))
-    return checked.withColumn(value_col, guard).drop("_missing")
+        raise ValueError("on_missing must be 'raise', 'fail_fast' or 'keep'")
+    j = materialise(j)
+    missing = [r[0] for r in j.where(F.col(value_col).isNull()).select(MONTH).distinct()
+               .orderBy(MONTH).collect()]
+    if missing:
+        raise ValueError("Missing CPI multipliers for historical sale months: "
+                         + ", ".join(str(m) for m in missing))
+    return j
 
 
 # ---------------------------------------------------------------- J3
@@ -144,9 +155,8 @@ def dense_calendar(index: DataFrame, cols: list[str]) -> DataFrame:
     """
     bounds = index.agg(F.min(MONTH).alias("_lo"), F.max(MONTH).alias("_hi"))
     cal = bounds.select(F.explode(F.sequence(month_start(F.col("_lo")), month_start(F.col("_hi")),
-                                             F.expr("interval 1 month"))).alias("_d"),
-                        "_lo", "_hi")
-    cal = cal.select(year_month(F.col("_d")).alias(MONTH), "_lo", "_hi")
+                                             F.expr("interval 1 month"))).alias("_d"))
+    cal = cal.select(year_month(F.col("_d")).alias(MONTH))
     present = index.select(F.col(MONTH).alias("_m"))
     cal = cal.join(present, cal[MONTH] == present["_m"], "left")
     w = Window.orderBy(MONTH).rowsBetween(Window.unboundedPreceding, 0)
@@ -162,14 +172,16 @@ def asof_lookup(facts: DataFrame, index: DataFrame, cols: list[str],
     Exact month if present, else the latest index month before it, else (for
     months before the index) the earliest one. Months after the index resolve
     to its last month. Adds ``resolved_month``, ``is_carried`` and ``cols``.
-    """
-    cal = dense_calendar(index, cols).select(
-        F.col(MONTH).alias("_key"), "_lo", "_hi", "resolved_month", *cols)
-    bounds = cal.select("_lo", "_hi").limit(1)
-    f = facts.crossJoin(F.broadcast(bounds))  # one row
-    key = F.least(F.greatest(F.col(month_col), F.col("_lo")), F.col("_hi"))
-    f = f.withColumn("_key", key).drop("_lo", "_hi")
-    # the calendar spans the index months only (12 per year): broadcast is bounded
-    out = f.join(F.broadcast(cal.drop("_lo", "_hi")), "_key", "left").drop("_key")
-    return out.withColumn("is_carried", F.col("resolved_month") != F.col(month_col))
 
+    The dense calendar has one row per month spanned by the index (12 per
+    year), so it is broadcast after a size check; the fact side is never
+    shuffled. The two range bounds are read once to the driver.
+    """
+    cal = checked_broadcast(dense_calendar(index, cols))
+    first = cal.agg(F.min(MONTH).alias("lo"), F.max(MONTH).alias("hi")).first()
+    if first is None or first["lo"] is None:
+        raise ValueError("as-of lookup needs a non-empty index")
+    key = F.least(F.greatest(F.col(month_col), F.lit(first["lo"])), F.lit(first["hi"]))
+    f = facts.withColumn("_key", key)
+    out = f.join(cal.select(F.col(MONTH).alias("_key"), "resolved_month", *cols), "_key", "left")
+    return out.drop("_key").withColumn("is_carried", F.col("resolved_month") != F.col(month_col))
