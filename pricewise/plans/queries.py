@@ -7,17 +7,20 @@ Doubles whose last bits depend on summation order are rounded to 6 decimals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pricewise.config import (FORWARD_PROJECTION_MONTHS, PREDICTION_FLOOR, RANDOM_STATE,
-                              TEST_BOUNDS)
+from pricewise.config import (FEATURE_COLUMNS, FORWARD_PROJECTION_MONTHS, PREDICTION_FLOOR,
+                              RANDOM_STATE, TEST_BOUNDS)
 from pricewise.functions.dates import parse_sale_time, utc_text, year_month
 from pricewise.functions.numeric import coerce_number, r6, safe_int
 from pricewise.functions.text import normalize_category
 from pricewise.operators.baseline import fit_group_baseline, median_baseline, scalar_median
 from pricewise.operators.clean import accounting, repair_records
-from pricewise.operators.dims import checked_broadcast
+from pricewise.operators.dims import checked_broadcast, materialise
 from pricewise.operators.encoders import level_counts, ordinal_codes, scaling_stats
 from pricewise.operators.evaluation import (body_summary, catalogue, holdout_evaluation,
                                             unobserved_cells)
@@ -26,6 +29,8 @@ from pricewise.operators.features import (FEATURE_INPUT, at_reference_point, fea
 from pricewise.operators.index import (align, asof_lookup, base_ratio, enrich, forward_fill,
                                        missing_months, monthly_last)
 from pricewise.operators.metrics import metric_columns, regression_metrics, segment_metrics
+from pricewise.operators.models import (REFERENCE_SPECS, ModelSpec, fit_model,
+                                        impurity_importance, permutation_importance)
 from pricewise.operators.quote import quote
 from pricewise.operators.seasonality import backfill_factor_columns, lookup_factors
 from pricewise.operators.split import bucket, is_test, key_text, seeded_sample, split
@@ -452,3 +457,76 @@ def q_log_linear_by_body(spark: SparkSession, sf: str) -> DataFrame:
                                 F.regr_r2(y, x).alias("r2"))
     return out.select("body", "n", F.round("slope", 12).alias("slope"),
                       r6(F.col("intercept")).alias("intercept"), r6(F.col("r2")).alias("r2"))
+
+
+# ------------------------------------------------------------------ Spark ML (rows-only check)
+# The registered checks fit the reference model families with fewer boosting
+# rounds / trees than the reference settings (REFERENCE_SPECS) so that the
+# whole suite stays within the check's time budget; the library defaults are
+# the reference settings.
+QUICK = {"gbt": dict(maxIter=20), "gbt_sampled": dict(maxIter=20),
+         "forest": dict(numTrees=20, maxDepth=10)}
+
+
+def quick_spec(key: str) -> ModelSpec:
+    spec = REFERENCE_SPECS[key]
+    return replace(spec, params={**spec.params, **QUICK.get(key, {})})
+
+
+def _scores(spark: SparkSession, sf: str, key: str) -> DataFrame:
+    c = Chain(spark, sf)
+    train, test = split(c.frame, SALE_KEY)
+    model = fit_model(train, quick_spec(key))
+    return model.transform(test).select(*SALE_KEY, "sellingprice",
+                                        r6(F.col("prediction")).alias("prediction"))
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(spark, sf, "gbt")
+
+
+@register("forest_scores")
+def q_forest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(spark, sf, "forest")
+
+
+@register("ridge_scores")
+def q_ridge_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(spark, sf, "ridge")
+
+
+@register("lasso_scores")
+def q_lasso_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _scores(spark, sf, "lasso")
+
+
+@register("model_comparison")
+def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """Median baseline and every model family on one split; sorted by MAE."""
+    c = Chain(spark, sf)
+    train, test = split(c.frame, SALE_KEY)
+    train = materialise(train)
+    parts = [regression_metrics(median_baseline(train, test), extended=True)
+             .withColumn("model", F.lit("Median baseline")).withColumn("train_seconds", F.lit(0.0))]
+    for key in ("linear", "ridge", "lasso", "forest", "gbt"):
+        m = fit_model(train, quick_spec(key))
+        parts.append(regression_metrics(m.transform(test), extended=True)
+                     .withColumn("model", F.lit(m.spec.name))
+                     .withColumn("train_seconds", F.lit(round(m.train_seconds, 2))))
+    out = reduce(DataFrame.unionByName, parts)
+    return out.withColumn("rank", F.row_number().over(Window.orderBy("mae", "model")))
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Top 15 features by permutation importance (<= 2000 test rows, 5
+    repeats) with the boosted trees' impurity importance alongside."""
+    c = Chain(spark, sf)
+    train, test = split(c.frame, SALE_KEY)
+    model = fit_model(train, quick_spec("gbt"))
+    sample = seeded_sample(test, 2_000, SALE_KEY, RANDOM_STATE)
+    perm = permutation_importance(model, sample, SALE_KEY, FEATURE_COLUMNS)
+    imp = impurity_importance(model, spark).withColumnRenamed("importance", "impurity_importance")
+    out = perm.join(imp, "feature", "left")
+    return out.orderBy(F.col("importance").desc(), "feature").limit(15)
