@@ -181,7 +181,9 @@ def asof_lookup(facts: DataFrame, index: DataFrame, cols: list[str],
     first = cal.agg(F.min(MONTH).alias("lo"), F.max(MONTH).alias("hi")).first()
     if first is None or first["lo"] is None:
         raise ValueError("as-of lookup needs a non-empty index")
-    key = F.least(F.greatest(F.col(month_col), F.lit(first["lo"])), F.lit(first["hi"]))
+    # greatest/least skip nulls: a null month must stay unresolved
+    key = F.when(F.col(month_col).isNotNull(),
+                 F.least(F.greatest(F.col(month_col), F.lit(first["lo"])), F.lit(first["hi"])))
     f = facts.withColumn("_key", key)
     out = f.join(cal.select(F.col(MONTH).alias("_key"), "resolved_month", *cols), "_key", "left")
     return out.drop("_key").withColumn("is_carried", F.col("resolved_month") != F.col(month_col))

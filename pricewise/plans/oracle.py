@@ -349,7 +349,8 @@ def asof(src: str, index: str, month: str = "year_month") -> str:
     latest earlier month, clamped to the index range)."""
     return f"""(
   SELECT s.*, (SELECT max(i.year_month) FROM {index} i
-               WHERE i.year_month <= least(greatest(s.{month}, b.lo), b.hi)) AS resolved_month
+               WHERE s.{month} IS NOT NULL
+                 AND i.year_month <= least(greatest(s.{month}, b.lo), b.hi)) AS resolved_month
   FROM {src} s CROSS JOIN (SELECT min(year_month) AS lo, max(year_month) AS hi FROM {index}) b)"""
 
 
