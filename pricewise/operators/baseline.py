@@ -44,14 +44,14 @@ def fit_group_baseline(train: DataFrame, keys=("make", "body"), target: str = TA
     return GroupBaseline(table, keys, fallback)
 
 
-def scalar_median(df: DataFrame, value: str, out: str = "median", mode: str = "exact") -> DataFrame:
+def scalar_median(df: DataFrame, value: str, out: str = "median", mode: str = "auto") -> DataFrame:
     """One-row median of a column; ``ranked`` spreads the sort over all tasks."""
     g = df.select(F.lit(0).alias("_g"), value)
     return grouped_median(g, ["_g"], value, out=out, count_col="_n", mode=mode).select(out)
 
 
 def median_baseline(train: DataFrame, test: DataFrame, target: str = TARGET_COLUMN,
-                    out: str = "prediction", mode: str = "exact") -> DataFrame:
+                    out: str = "prediction", mode: str = "auto") -> DataFrame:
     """Every test row gets the median of the training target."""
     med = scalar_median(train, target, out, mode)
     return test.crossJoin(F.broadcast(med))  # one row

@@ -1,4 +1,4 @@
-"""Exact grouped medians in three modes.
+"""Exact grouped medians: one function, four modes.
 
 ``exact``   built-in ``median`` (= ``percentile(x, 0.5)``, linear interpolation).
             Partial aggregation, but each group's buffer holds all of its
@@ -10,6 +10,9 @@
             has to fit in one task. Same result as ``exact`` (property-tested).
 ``approx``  ``percentile_approx(x, 0.5, accuracy)``: bounded memory, returns an
             element of the data (no interpolation on even counts).
+``auto``    (default) counts rows per group first; ``exact`` while the largest
+            group has at most ``max_group_rows`` rows, else ``ranked``. Both
+            give the same values, so the choice only affects the plan.
 """
 
 from __future__ import annotations
@@ -18,15 +21,23 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MODES = ("exact", "ranked", "approx")
+from pricewise.operators.dims import checked_broadcast
+
+MODES = ("auto", "exact", "ranked", "approx")
+# Largest group the built-in exact median may hold in one task's buffer.
+MAX_GROUP_ROWS = 5_000_000
 
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                   count_col: str = "n", mode: str = "exact",
-                   accuracy: int = 10_000, partitions: int | None = None) -> DataFrame:
+                   count_col: str = "n", mode: str = "auto",
+                   accuracy: int = 10_000, partitions: int | None = None,
+                   max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """One row per group: ``keys``, median of ``value`` as ``out``, row count as ``count_col``."""
     if mode not in MODES:
         raise ValueError(f"unknown median mode {mode!r}; use one of {MODES}")
+    if mode == "auto":
+        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        mode = "exact" if largest <= max_group_rows else "ranked"
     if mode == "exact":
         return df.groupBy(*keys).agg(F.median(value).alias(out),
                                      F.count(F.lit(1)).alias(count_col))
@@ -62,8 +73,8 @@ def _ranked_median(df: DataFrame, keys: list[str], value: str, out: str,
                .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
                .select(*keys, "_pid", (F.col("_pos0") + F.col("_rank") - F.col("_off")).alias("_pos"),
                        "_rank"))
-    # at most two target rows per group
-    picked = ordered.join(F.broadcast(targets), [*keys, "_pid", "_pos"])
+    # at most two target rows per group; broadcast after a size check
+    picked = ordered.join(checked_broadcast(targets), [*keys, "_pid", "_pos"])
     med = picked.groupBy(*keys).agg(
         F.min_by(value, "_rank").alias("_lo"), F.max_by(value, "_rank").alias("_hi"))
     med = med.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
