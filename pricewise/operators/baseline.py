@@ -14,34 +14,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.config import TARGET_COLUMN
-from pricewise.functions.numeric import money_mean
-from pricewise.operators.dims import checked_broadcast, materialise
+from pricewise.operators.dims import checked_broadcast
 from pricewise.operators.median import grouped_median
 
 
 @dataclass
 class GroupBaseline:
-    """Fitted mean-by-group predictor (a small table + a global fallback)."""
+    """Fitted mean-by-group predictor: a small table plus a global fallback
+    (the overall mean, a single scalar fixed at fit time) for unseen groups."""
 
     table: DataFrame          # keys..., prediction, n
     keys: list[str]
-    fallback: DataFrame       # one row: _fallback
+    fallback: float | None
 
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         t = self.table.select(*self.keys, F.col("prediction").alias("_pred"))
-        j = df.join(t, self.keys, "left").crossJoin(F.broadcast(self.fallback))
-        return j.withColumn(out, F.coalesce("_pred", "_fallback")).drop("_pred", "_fallback")
+        j = df.join(t, self.keys, "left")
+        return j.withColumn(out, F.coalesce(F.col("_pred"), F.lit(self.fallback).cast("double"))) \
+            .drop("_pred")
 
 
 def fit_group_baseline(train: DataFrame, keys=("make", "body"), target: str = TARGET_COLUMN,
                        broadcast_check: bool = True) -> GroupBaseline:
     keys = list(keys)
-    table = train.groupBy(*keys).agg(money_mean(F.col(target)).alias("prediction"),
+    table = train.groupBy(*keys).agg(F.sum(F.col(target).cast("decimal(18,2)")).alias("_sum"),
                                      F.count(F.lit(1)).alias("n"))
+    table = table.withColumn("prediction", F.col("_sum").cast("double") / F.col("n"))
     if broadcast_check:
         table = checked_broadcast(table)
-    fallback = materialise(train.agg(money_mean(F.col(target)).alias("_fallback")))
-    return GroupBaseline(table, keys, fallback)
+    # overall mean from the exact group sums: no second pass over the rows
+    tot = table.agg(F.sum("_sum").cast("double").alias("s"), F.sum("n").alias("n")).first()
+    fallback = tot["s"] / tot["n"] if tot["n"] else None
+    return GroupBaseline(table.drop("_sum"), keys, fallback)
 
 
 def scalar_median(df: DataFrame, value: str, out: str = "median", mode: str = "auto") -> DataFrame:

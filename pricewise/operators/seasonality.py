@@ -45,8 +45,10 @@ def seasonality_rows(sales: DataFrame, predict: Predictor, index: DataFrame,
     df = apply_bounds(df, cfg.bounds)
     df = df.withColumn("body", normalize_key(F.col("body")))
     scored = restore_point(predict(at_reference_point(df, cfg)))
-    scored = scored.withColumn("reference_prediction",
-                               F.greatest(F.col("prediction"), F.lit(cfg.prediction_floor)))
+    # only what the rows need is carried into the (materialised) lookup
+    scored = scored.select(*keep, "body", "sale_month", "year_month", TARGET_COLUMN,
+                           F.greatest(F.col("prediction"), F.lit(cfg.prediction_floor))
+                           .alias("reference_prediction"))
     scored = strict_lookup(scored, index, "cpi_multiplier", on_missing=on_missing)
     norm = F.col(TARGET_COLUMN) / F.col("cpi_multiplier")
     return scored.select(

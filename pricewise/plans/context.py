@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricewise.config import DEFAULT_BOUNDS, DEFAULT_SEASONALITY, SeasonalityConfig
 from pricewise.operators.baseline import GroupBaseline, fit_group_baseline
-from pricewise.operators.dims import checked_broadcast, materialise
+from pricewise.operators.dims import checked_broadcast
 from pricewise.operators.features import modeling_frame
 from pricewise.operators.index import build_index
 from pricewise.operators.seasonality import seasonality_factors, seasonality_rows
@@ -31,10 +31,9 @@ class Chain:
 
     @property
     def sales(self) -> DataFrame:
-        """The sale view, materialised once: the baseline fit, the seasonal
-        rows and the quotes all read it, and each recomputation would repeat
-        the lineitem-orders-part join (a shuffle join at scale)."""
-        return self._get("sales", lambda: materialise(sale_view(self.spark, self.sf_dir)))
+        """The sale view (lazy). Not persisted: most queries read it once,
+        and the seasonal rows, which are reused, are materialised instead."""
+        return self._get("sales", lambda: sale_view(self.spark, self.sf_dir))
 
     @property
     def index(self) -> DataFrame:
