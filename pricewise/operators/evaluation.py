@@ -65,3 +65,11 @@ def catalogue(df: DataFrame) -> DataFrame:
     per = df.groupBy("make").agg(F.array_sort(F.collect_set("model")).alias("_m"))
     return per.select("make", F.array_join("_m", "|").alias("models"),
                       F.size("_m").cast("bigint").alias("n_models"))
+
+
+def listed_that_exist(factors: DataFrame, bodies: list[str]) -> DataFrame:
+    """Factor rows of the listed bodies that exist in the table (semi join
+    against a literal list), ordered for display."""
+    spark = factors.sparkSession
+    wanted = spark.createDataFrame([(b,) for b in bodies], "body string")
+    return factors.join(F.broadcast(wanted), "body", "left_semi")  # the list is a parameter

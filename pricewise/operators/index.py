@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.functions.dates import month_start, year_month
-from pricewise.operators.dims import checked_broadcast, materialise
+from pricewise.operators.dims import DEFAULT_MAX_BROADCAST_ROWS, materialise
 
 MONTH = "year_month"
 
@@ -88,10 +88,13 @@ def forward_fill(wide: DataFrame, names: list[str], order_col: str = MONTH) -> D
 def base_ratio(index: DataFrame, value_col: str, base_year: int,
                out: str = "cpi_multiplier") -> DataFrame:
     """value / mean(value over the months of ``base_year``); error if the base is empty."""
+    # Mean of the (at most 12) base-year values, summed in sorted order: the
+    # result does not depend on partitioning or engine, down to the last bit.
+    vals = F.array_sort(F.collect_list(value_col))
     base = index.where(F.substring(MONTH, 1, 4) == F.lit(f"{base_year:04d}")).agg(
-        F.avg(value_col).alias("_base"))
+        (F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals)).alias("_base"))
     joined = index.crossJoin(F.broadcast(base))  # one row
-    ratio = F.when(F.col("_base").isNull(), F.raise_error(
+    ratio = F.when(F.col("_base").isNull() | F.isnan("_base"), F.raise_error(
         F.lit(f"base year {base_year} has no {value_col} value"))).otherwise(
         F.col(value_col) / F.col("_base"))
     return joined.withColumn(out, ratio).drop("_base")
@@ -177,10 +180,14 @@ def asof_lookup(facts: DataFrame, index: DataFrame, cols: list[str],
     year), so it is broadcast after a size check; the fact side is never
     shuffled. The two range bounds are read once to the driver.
     """
-    cal = checked_broadcast(dense_calendar(index, cols))
-    first = cal.agg(F.min(MONTH).alias("lo"), F.max(MONTH).alias("hi")).first()
-    if first is None or first["lo"] is None:
+    cal = materialise(dense_calendar(index, cols))
+    # one job gives both the size check and the range bounds
+    first = cal.agg(F.count(F.lit(1)).alias("n"), F.min(MONTH).alias("lo"),
+                    F.max(MONTH).alias("hi")).first()
+    if first["lo"] is None:
         raise ValueError("as-of lookup needs a non-empty index")
+    if first["n"] <= DEFAULT_MAX_BROADCAST_ROWS:
+        cal = F.broadcast(cal)
     # greatest/least skip nulls: a null month must stay unresolved
     key = F.when(F.col(month_col).isNotNull(),
                  F.least(F.greatest(F.col(month_col), F.lit(first["lo"])), F.lit(first["hi"])))

@@ -25,7 +25,8 @@ QUOTE_INPUT = ["model_year", "odometer", "condition", "make", "model", "body",
 
 
 def quote(vehicles: DataFrame, predict: Predictor, index: DataFrame, factors: DataFrame,
-          cfg: SeasonalityConfig = DEFAULT_SEASONALITY, max_age: int = 30) -> DataFrame:
+          cfg: SeasonalityConfig = DEFAULT_SEASONALITY, max_age: int = 30,
+          factors_checked: bool = False) -> DataFrame:
     df = vehicles.withColumn(
         "vehicle_age", clip(F.col("target_year") - F.col("model_year"), 0, max_age).cast("bigint")
     ).withColumn(
@@ -36,7 +37,7 @@ def quote(vehicles: DataFrame, predict: Predictor, index: DataFrame, factors: Da
         .withColumnRenamed("prediction", "stage1_price")
     scored = asof_lookup(scored, index, ["cpi_multiplier"])
     scored = scored.withColumn("stage2_price", F.col("stage1_price") * F.col("cpi_multiplier"))
-    scored = lookup_factors(scored, factors, "body", "target_month")
+    scored = lookup_factors(scored, factors, "body", "target_month", size_checked=factors_checked)
     factor = F.col("sf_seasonal_factor")
     has_rec = F.col("sf_has_recommendation")
     delta_pct = (factor - 1.0) * 100

@@ -20,7 +20,7 @@ from pricewise.functions.text import normalize_key
 from pricewise.operators.dims import checked_broadcast
 from pricewise.operators.features import apply_bounds, at_reference_point, restore_point
 from pricewise.operators.index import strict_lookup
-from pricewise.operators.median import grouped_median
+from pricewise.operators.median import MAX_GROUP_ROWS, grouped_median
 
 Predictor = Callable[[DataFrame], DataFrame]   # adds a ``prediction`` column
 
@@ -64,15 +64,22 @@ def month_grid(bodies: DataFrame) -> DataFrame:
 
 def seasonality_factors(rows: DataFrame, cfg: SeasonalityConfig = DEFAULT_SEASONALITY) -> DataFrame:
     """Shrunken, clipped body x month factors with best/worst month (18 columns)."""
-    mode = cfg.median_mode
+    mode_body = mode_cell = cfg.median_mode
+    if cfg.median_mode == "auto":
+        # one count job decides both median levels
+        cells_n = rows.groupBy("body", "sale_month").count()
+        st = cells_n.groupBy("body").agg(F.sum("count").alias("b"), F.max("count").alias("c")) \
+            .agg(F.max("b").alias("b"), F.max("c").alias("c")).first()
+        mode_body = "exact" if (st["b"] or 0) <= MAX_GROUP_ROWS else "ranked"
+        mode_cell = "exact" if (st["c"] or 0) <= MAX_GROUP_ROWS else "ranked"
     body = grouped_median(rows, ["body"], "price_ratio", out="body_ratio_median",
-                          count_col="body_observations", mode=mode)
+                          count_col="body_observations", mode=mode_body)
     # one row per body, materialised once and joined back to every row of that body
     body = checked_broadcast(body)
     rel = rows.join(body.select("body", "body_ratio_median"), "body") \
         .withColumn("relative_ratio", F.col("price_ratio") / F.col("body_ratio_median"))
     cells = grouped_median(rel, ["body", "sale_month"], "relative_ratio", out="raw", count_col="n",
-                           mode=mode)
+                           mode=mode_cell)
     grid = month_grid(body.select("body", "body_observations"))
     g = grid.join(cells, ["body", "sale_month"], "left")
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
@@ -146,11 +153,12 @@ def backfill_factor_columns(factors: DataFrame, cfg: SeasonalityConfig = DEFAULT
 
 
 def lookup_factors(facts: DataFrame, factors: DataFrame, body_col: str = "body",
-                   month_col: str = "sale_month") -> DataFrame:
+                   month_col: str = "sale_month", size_checked: bool = False) -> DataFrame:
     """Composite-key lookup with neutral defaults for unseen (body, month).
 
     Months outside 1..12 fail the job. Defaults: factor 1.0, no_data, the
-    own month as best and worst month.
+    own month as best and worst month. ``size_checked`` marks a factor table
+    already materialised and counted by ``checked_broadcast``.
     """
     f = facts.withColumn("_body", normalize_key(F.col(body_col))) \
         .withColumn("_month", check_month(F.col(month_col)).cast("bigint"))
@@ -158,7 +166,8 @@ def lookup_factors(facts: DataFrame, factors: DataFrame, body_col: str = "body",
     fac = factors.select(F.col("body").alias("_body"), F.col("sale_month").alias("_month"),
                          *[F.col(c).alias(f"_f_{c}") for c in cols])
     # 12 rows per body; broadcast after a size check
-    j = f.join(checked_broadcast(fac), ["_body", "_month"], "left")
+    fac = F.broadcast(fac) if size_checked else checked_broadcast(fac)
+    j = f.join(fac, ["_body", "_month"], "left")
     matched = F.col("_f_month_name").isNotNull()
     mname = month_name(F.col("_month"))
     defaults = {

@@ -50,7 +50,8 @@ filled AS (
   WINDOW w AS (ORDER BY year_month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
 idx AS (
   SELECT f.year_month, f.price, f.quantity, f.volume, f.price / b.base AS cpi_multiplier
-  FROM filled f, (SELECT avg(price) AS base FROM filled WHERE substr(year_month, 1, 4) = '1998') b)"""
+  FROM filled f, (SELECT list_reduce(list_sort(list(price)), lambda a, x: a + x) / count(price) AS base
+                 FROM filled WHERE substr(year_month, 1, 4) = '1998') b)"""
 
 FRAME = """
 frame AS (
@@ -333,14 +334,16 @@ SELECT year_month, round(price, 6) AS price, round(quantity, 6) AS quantity, vol
 IDX1 = PRICE + """,
 idx1 AS (
   SELECT year_month, price,
-         price / (SELECT avg(price) FROM price WHERE substr(year_month, 1, 4) = '1998') AS cpi_multiplier
+         price / (SELECT list_reduce(list_sort(list(price)), lambda a, x: a + x) / count(price)
+                  FROM price WHERE substr(year_month, 1, 4) = '1998') AS cpi_multiplier
   FROM price)"""
 
 GAPPY = PRICE + """,
 gp AS (SELECT * FROM price WHERE substr(year_month, 6, 2) <> '04' AND year_month >= '1995-06'),
 gidx AS (
   SELECT year_month, price,
-         price / (SELECT avg(price) FROM gp WHERE substr(year_month, 1, 4) = '1998') AS cpi_multiplier
+         price / (SELECT list_reduce(list_sort(list(price)), lambda a, x: a + x) / count(price)
+                  FROM gp WHERE substr(year_month, 1, 4) = '1998') AS cpi_multiplier
   FROM gp)"""
 
 
@@ -413,12 +416,12 @@ FROM r JOIN gidx i ON i.year_month = r.resolved_month CROSS JOIN base b"""
 
 def metrics_sql(y: str, p: str, prefix: str = "", extended: bool = False) -> str:
     e = f"({y} - {p})"
-    cols = [f"round(avg(abs({e})), 6) AS {prefix}mae",
-            f"round(sqrt(avg({e} * {e})), 6) AS {prefix}rmse",
-            f"round(1 - sum({e} * {e}) / (count(*) * var_pop({y})), 6) AS {prefix}r2",
-            f"round(avg(abs({e} / {y})) * 100, 6) AS {prefix}mape_percent"]
+    cols = [f"round(avg(abs({e})), 2) AS {prefix}mae",
+            f"round(sqrt(avg({e} * {e})), 2) AS {prefix}rmse",
+            f"round(1 - sum({e} * {e}) / (count(*) * var_pop({y})), 4) AS {prefix}r2",
+            f"round(avg(abs({e} / {y})) * 100, 2) AS {prefix}mape_percent"]
     if extended:
-        cols += [f"round(avg(abs({e})) / avg({y}) * 100, 6) AS {prefix}mae_relative_percent",
+        cols += [f"round(avg(abs({e})) / avg({y}) * 100, 2) AS {prefix}mae_relative_percent",
                  f"round(avg({y}), 6) AS {prefix}mean_price"]
     return ",\n       ".join(cols)
 
@@ -465,9 +468,9 @@ seg AS (SELECT * FROM (VALUES {_SEGS}) v(segment, lo, hi, price_range)),
 j AS (SELECT tp.sellingprice, tp.prediction, seg.segment, seg.price_range
       FROM tp JOIN seg ON tp.sellingprice BETWEEN seg.lo AND seg.hi)
 SELECT segment, price_range, CAST(count(*) AS BIGINT) AS n,
-       round(avg(abs(sellingprice - prediction)), 6) AS mae,
-       round(sqrt(avg((sellingprice - prediction) * (sellingprice - prediction))), 6) AS rmse,
-       round(avg(abs((sellingprice - prediction) / sellingprice)) * 100, 6) AS mape_percent
+       round(avg(abs(sellingprice - prediction)), 2) AS mae,
+       round(sqrt(avg((sellingprice - prediction) * (sellingprice - prediction))), 2) AS rmse,
+       round(avg(abs((sellingprice - prediction) / sellingprice)) * 100, 2) AS mape_percent
 FROM j GROUP BY segment, price_range HAVING count(*) >= 10"""
 
 ORACLE["seasonality_rows"] = with_(SALE, INDEX, FRAME, ROWS) + f"""
@@ -509,9 +512,9 @@ m AS (
          avg(CASE WHEN is_test THEN abs(normalized_price - reference_prediction) END) AS baseline_mae,
          avg(CASE WHEN is_test THEN abs(normalized_price - reference_prediction * factor) END) AS stage3_mae
   FROM j)
-SELECT training_rows, test_rows, round(baseline_mae, 6) AS baseline_mae, round(stage3_mae, 6) AS stage3_mae,
-       round(stage3_mae - baseline_mae, 6) AS mae_change,
-       round((stage3_mae / baseline_mae - 1.0) * 100, 6) AS mae_change_percent
+SELECT training_rows, test_rows, round(baseline_mae, 2) AS baseline_mae, round(stage3_mae, 2) AS stage3_mae,
+       round(stage3_mae - baseline_mae, 2) AS mae_change,
+       round((stage3_mae / baseline_mae - 1.0) * 100, 2) AS mae_change_percent
 FROM m"""
 
 ORACLE["seasonality_summary"] = CHAIN + """,
@@ -570,3 +573,8 @@ SELECT body, CAST(count(*) AS BIGINT) AS n,
        round(regr_intercept(ln(1 + sellingprice), CAST(odometer AS DOUBLE)), 6) AS intercept,
        round(regr_r2(ln(1 + sellingprice), CAST(odometer AS DOUBLE)), 6) AS r2
 FROM frame GROUP BY body"""
+
+
+ORACLE["example_bodies"] = CHAIN + """
+SELECT body, sale_month, month_name, seasonal_factor, seasonal_delta_pct, observations, confidence
+FROM factors WHERE body IN (SELECT * FROM (VALUES ('compact'), ('coupe'), ('large'), ('suv')) v(b))"""

@@ -23,7 +23,7 @@ from pricewise.operators.clean import accounting, repair_records
 from pricewise.operators.dims import checked_broadcast, materialise
 from pricewise.operators.encoders import level_counts, ordinal_codes, scaling_stats
 from pricewise.operators.evaluation import (body_summary, catalogue, holdout_evaluation,
-                                            unobserved_cells)
+                                            listed_that_exist, unobserved_cells)
 from pricewise.operators.features import (FEATURE_INPUT, at_reference_point, feature_rows,
                                           modeling_frame, restore_point)
 from pricewise.operators.index import (align, asof_lookup, base_ratio, enrich, forward_fill,
@@ -54,7 +54,7 @@ def register(name: str):
 @register("quote_chain")
 def q_quote_chain(spark: SparkSession, sf: str) -> DataFrame:
     c = Chain(spark, sf)
-    q = quote(c.vehicles(), c.baseline.transform, c.index, c.factors, c.cfg)
+    q = quote(c.vehicles(), c.baseline.transform, c.index, c.factors, c.cfg, factors_checked=True)
     return q.select(
         *SALE_KEY, "body", "target_month", "year_month", "resolved_month", "is_carried",
         "vehicle_age", r6(F.col("stage1_price")).alias("stage1_price"),
@@ -310,9 +310,21 @@ def q_index_projection(spark: SparkSession, sf: str) -> DataFrame:
                     F.round((F.col("cpi_multiplier") - 1.0) * 100, 1).alias("delta_pct"))
 
 
+# Report precision of the original metrics: money errors and percentages at
+# 2 decimals, R² at 4; other doubles at 6 (sums whose last bits depend on order).
+_REPORT_2 = ("mae", "rmse", "mape_percent", "mae_relative_percent", "mae_change",
+             "mae_change_percent")
+
+
 def _r6_all(df: DataFrame) -> DataFrame:
-    return df.select(*[r6(F.col(c)).alias(c) if t == "double" else F.col(c)
-                       for c, t in df.dtypes])
+    def fmt(c: str):
+        base = c.split("_", 1)[1] if c.startswith(("stage1_", "stage2_")) else c
+        if base in _REPORT_2 or base in ("baseline_mae", "stage3_mae"):
+            return F.round(F.col(c), 2).alias(c)
+        if base == "r2":
+            return F.round(F.col(c), 4).alias(c)
+        return r6(F.col(c)).alias(c)
+    return df.select(*[fmt(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 @register("index_backtest")
@@ -396,7 +408,7 @@ def q_seasonality_lookup(spark: SparkSession, sf: str) -> DataFrame:
     s = c.sales.select(*SALE_KEY, "sale_month", "sellingprice",
                        F.when(F.col("l_linenumber") == 7, F.lit("Wagon"))
                        .otherwise(F.concat(F.lit(" "), F.upper("body"), F.lit(" "))).alias("body_input"))
-    j = lookup_factors(s, c.factors, "body_input", "sale_month")
+    j = lookup_factors(s, c.factors, "body_input", "sale_month", size_checked=True)
     return j.select(*SALE_KEY, "sale_month", F.col("sf_seasonal_factor").alias("seasonal_factor"),
                     F.col("sf_confidence").alias("confidence"),
                     F.col("sf_observations").alias("observations"),
@@ -416,6 +428,17 @@ def q_seasonality_summary(spark: SparkSession, sf: str) -> DataFrame:
     return body_summary(Chain(spark, sf).factors, top_n=12)
 
 
+# Bodies shown as examples in the seasonal report (a display parameter)
+EXAMPLE_BODIES = ["compact", "coupe", "large", "suv"]
+
+
+@register("example_bodies")
+def q_example_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    f = listed_that_exist(Chain(spark, sf).factors, EXAMPLE_BODIES)
+    return f.select("body", "sale_month", "month_name", "seasonal_factor", "seasonal_delta_pct",
+                    "observations", "confidence")
+
+
 @register("unobserved_months")
 def q_unobserved_months(spark: SparkSession, sf: str) -> DataFrame:
     return unobserved_cells(sale_view(spark, sf))
