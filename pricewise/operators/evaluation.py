@@ -69,7 +69,7 @@ def catalogue(df: DataFrame) -> DataFrame:
 
 def listed_that_exist(factors: DataFrame, bodies: list[str]) -> DataFrame:
     """Factor rows of the listed bodies that exist in the table (semi join
-    against a literal list), ordered for display."""
+    against a literal list), kept in the table's order."""
     spark = factors.sparkSession
     wanted = spark.createDataFrame([(b,) for b in bodies], "body string")
     return factors.join(F.broadcast(wanted), "body", "left_semi")  # the list is a parameter

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricewise.config import DEFAULT_BOUNDS, DEFAULT_SEASONALITY, SeasonalityConfig
 from pricewise.operators.baseline import GroupBaseline, fit_group_baseline
-from pricewise.operators.dims import checked_broadcast
+from pricewise.operators.dims import checked_broadcast, materialise
 from pricewise.operators.features import modeling_frame
 from pricewise.operators.index import build_index
 from pricewise.operators.seasonality import seasonality_factors, seasonality_rows
@@ -22,6 +22,7 @@ class Chain:
     spark: SparkSession
     sf_dir: str
     cfg: SeasonalityConfig = field(default=DEFAULT_SEASONALITY)
+    persist_sales: bool = False
     _cache: dict = field(default_factory=dict)
 
     def _get(self, name, build):
@@ -31,9 +32,14 @@ class Chain:
 
     @property
     def sales(self) -> DataFrame:
-        """The sale view (lazy). Not persisted: most queries read it once,
-        and the seasonal rows, which are reused, are materialised instead."""
-        return self._get("sales", lambda: sale_view(self.spark, self.sf_dir))
+        """The sale view. Lazy by default (most queries read it once); with
+        ``persist_sales`` it is materialised once for queries that read it
+        three times (model fit, seasonal rows, quotes), where each extra read
+        would repeat the lineitem-orders-part join (a shuffle join at scale)."""
+        def build():
+            s = sale_view(self.spark, self.sf_dir)
+            return materialise(s) if self.persist_sales else s
+        return self._get("sales", build)
 
     @property
     def index(self) -> DataFrame:

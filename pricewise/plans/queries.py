@@ -53,7 +53,7 @@ def register(name: str):
 # ------------------------------------------------------------------ flagship
 @register("quote_chain")
 def q_quote_chain(spark: SparkSession, sf: str) -> DataFrame:
-    c = Chain(spark, sf)
+    c = Chain(spark, sf, persist_sales=True)
     q = quote(c.vehicles(), c.baseline.transform, c.index, c.factors, c.cfg, factors_checked=True)
     return q.select(
         *SALE_KEY, "body", "target_month", "year_month", "resolved_month", "is_carried",
