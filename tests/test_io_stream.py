@@ -88,3 +88,16 @@ def test_streaming_quotes_equal_batch(spark):
     assert sorted(map(tuple, streamed.select(*cols).collect())) == \
         sorted(map(tuple, batch.select(*cols).collect()))
     spark.catalog.clearCache()
+
+
+def test_series_files_skip_missing_and_take_last_value(spark, tmp_path):
+    from pricewise.operators.index import monthly_last
+    from pricewise.sources.series import read_series_csv
+    p = tmp_path / "oil.csv"
+    p.write_text("observation_date,DCOIL\n2020-01-02,10.5\n2020-01-31,.\n2020-01-30,11.0\n"
+                 "2020-02-03,12.0\n2020-03-02,.\n")
+    long, skipped = read_series_csv(spark, {"oil": str(p), "gone": str(tmp_path / "missing.csv")})
+    assert skipped == ["gone"]
+    got = {r["year_month"]: r["value"] for r in monthly_last(long).collect()}
+    # last non-null value in date order; a month with only nulls keeps a null row
+    assert got == {"2020-01": 11.0, "2020-02": 12.0, "2020-03": None}
