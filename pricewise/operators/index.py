@@ -92,9 +92,10 @@ def base_ratio(index: DataFrame, value_col: str, base_year: int,
     # result does not depend on partitioning or engine, down to the last bit.
     vals = F.array_sort(F.collect_list(value_col))
     base = index.where(F.substring(MONTH, 1, 4) == F.lit(f"{base_year:04d}")).agg(
-        (F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x) / F.size(vals)).alias("_base"))
+        F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
+               / F.size(vals)).alias("_base"))
     joined = index.crossJoin(F.broadcast(base))  # one row
-    ratio = F.when(F.col("_base").isNull() | F.isnan("_base"), F.raise_error(
+    ratio = F.when(F.col("_base").isNull(), F.raise_error(
         F.lit(f"base year {base_year} has no {value_col} value"))).otherwise(
         F.col(value_col) / F.col("_base"))
     return joined.withColumn(out, ratio).drop("_base")
