@@ -29,7 +29,7 @@ from pricewise.operators.features import (FEATURE_INPUT, at_reference_point, fea
 from pricewise.operators.index import (align, asof_lookup, base_ratio, enrich, forward_fill,
                                        missing_months, monthly_last)
 from pricewise.operators.metrics import metric_columns, regression_metrics, segment_metrics
-from pricewise.operators.models import (REFERENCE_SPECS, ModelSpec, fit_model,
+from pricewise.operators.models import (REFERENCE_SPECS, ModelSpec, fit_model, fit_models,
                                         impurity_importance, permutation_importance)
 from pricewise.operators.quote import quote
 from pricewise.operators.seasonality import backfill_factor_columns, lookup_factors
@@ -532,8 +532,8 @@ def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
     train = materialise(train)
     parts = [regression_metrics(median_baseline(train, test), extended=True)
              .withColumn("model", F.lit("Median baseline")).withColumn("train_seconds", F.lit(0.0))]
-    for key in ("linear", "ridge", "lasso", "forest", "gbt"):
-        m = fit_model(train, quick_spec(key))
+    keys = ("linear", "ridge", "lasso", "forest", "gbt")
+    for m in fit_models(train, [quick_spec(k) for k in keys]):
         parts.append(regression_metrics(m.transform(test), extended=True)
                      .withColumn("model", F.lit(m.spec.name))
                      .withColumn("train_seconds", F.lit(round(m.train_seconds, 2))))
