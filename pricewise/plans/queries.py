@@ -295,13 +295,13 @@ def test_predictions(c: Chain) -> DataFrame:
 @register("index_projection")
 def q_index_projection(spark: SparkSession, sf: str) -> DataFrame:
     c = Chain(spark, sf)
-    base = scalar_median(test_predictions(c), "prediction", "stage1_baseline")
+    base = scalar_median(test_predictions(c), "prediction", "m").first()["m"]
     ship = read_table(spark, sf, "lineitem", ["l_shipdate"]).select(
         year_month(F.col("l_shipdate")).alias("year_month")).distinct()
     fixed = spark.range(len(FORWARD_PROJECTION_MONTHS)).select(
         F.element_at(F.array(*[F.lit(m) for m in FORWARD_PROJECTION_MONTHS]),
                      (F.col("id") + 1).cast("int")).alias("year_month"))
-    scenario = ship.union(fixed).distinct().crossJoin(F.broadcast(base))  # base: one row
+    scenario = ship.union(fixed).distinct().withColumn("stage1_baseline", F.lit(base).cast("double"))
     p = asof_lookup(scenario, gappy_price_index(spark, sf), ["cpi_multiplier"])
     return p.select("year_month", "resolved_month",
                     F.round("cpi_multiplier", 4).alias("cpi_multiplier"),
