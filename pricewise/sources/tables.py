@@ -16,10 +16,27 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | None = None) -> DataFrame:
-    """Read one table; with ``columns`` only those reach the parquet reader."""
+               columns: list[str] | None = None, spread: bool = False) -> DataFrame:
+    """Read one table; with ``columns`` only those reach the parquet reader.
+
+    ``spread`` is for CPU-heavy row-wise work (regex, parsing): see
+    ``spread_narrow_scan``.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return spread_narrow_scan(df) if spread else df
+
+
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the default parallelism.
+
+    A small table stored as one large row group is read by one task, so any
+    per-row CPU work after it runs on one core. Such a scan is redistributed
+    round-robin. Scans of large tables already have at least as many splits
+    as cores and are returned unchanged, so at scale no shuffle is added.
+    """
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
