@@ -84,7 +84,7 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
     for odd ids, so texts with two or more commas are malformed records.
     """
     p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_type", "p_size",
-                                       "p_retailprice"], spread=True)
+                                       "p_retailprice"])
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint").cast("string")
     trim_p = (F.when(F.col("p_partkey") % 3 == 0, F.replace("p_name", F.lit(" "), F.lit(", ")))
               .when(F.col("p_partkey") % 3 == 1,
@@ -97,7 +97,7 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
                               (F.col("p_size") % 5 + 1).cast("string"),
                               (F.col("p_size") * 1000).cast("string"), F.lit("black"), F.lit("gray"),
                               F.lit("dealer"), cents, cents, F.lit(SAMPLE_SALE_TIME)).alias("line"))
-    d = read_table(spark, sf, "documents", ["doc_id", "text", "lang", "source", "n_chars"], spread=True)
+    d = read_table(spark, sf, "documents", ["doc_id", "text", "lang", "source", "n_chars"])
     trim_d = F.when(F.col("doc_id") % 2 == 0,
                     F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))) \
         .otherwise(F.replace("text", F.lit("\n"), F.lit(" ")))
@@ -122,11 +122,10 @@ def q_record_repair(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("numeric_coercion")
 def q_numeric_coercion(spark: SparkSession, sf: str) -> DataFrame:
-    ev = read_table(spark, sf, "events", ["event_id", "props"], spread=True).select(
+    ev = read_table(spark, sf, "events", ["event_id", "props"]).select(
         F.lit("events").alias("source"), F.col("event_id").alias("id"),
         F.regexp_extract("props", r":(.*)\}", 1).alias("raw"))
-    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"],
-                   spread=True)
+    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"])
     texts = F.array(F.col("p_retailprice").cast("string"),
                     F.concat(F.col("p_size").cast("string"), F.lit("d")),
                     F.regexp_extract("p_brand", "#(.*)", 1),
@@ -139,7 +138,7 @@ def q_numeric_coercion(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("category_normalise")
 def q_category_normalise(spark: SparkSession, sf: str) -> DataFrame:
-    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand"], spread=True)
+    p = read_table(spark, sf, "part", ["p_partkey", "p_name", "p_brand"])
     k = F.col("p_partkey") % 4
     raw = (F.when(k == 0, F.concat(F.lit(" "), F.upper("p_name"), F.lit("\t")))
            .when(k == 1, F.concat(F.lit("\u00a0"), F.replace("p_name", F.lit(" "), F.lit("   "))))
@@ -147,10 +146,10 @@ def q_category_normalise(spark: SparkSession, sf: str) -> DataFrame:
            .otherwise(F.lit("   ")))
     a = p.select(F.lit("part").alias("source"), F.col("p_partkey").cast("string").alias("id"),
                  normalize_category(raw).alias("value"))
-    d = read_table(spark, sf, "documents", ["doc_id", "source"], spread=True)
+    d = read_table(spark, sf, "documents", ["doc_id", "source"])
     b = d.select(F.lit("documents").alias("source"), F.col("doc_id").cast("string").alias("id"),
                  normalize_category(F.concat(F.lit("\t"), F.upper("source"), F.lit("  "))).alias("value"))
-    li = read_table(spark, sf, "lineitem", SALE_KEY + ["l_returnflag"], spread=True)
+    li = read_table(spark, sf, "lineitem", SALE_KEY + ["l_returnflag"])
     c = li.select(F.lit("transmission").alias("source"), key_text(SALE_KEY).alias("id"),
                   F.coalesce(normalize_category(F.nullif("l_returnflag", F.lit("N"))),
                              F.lit("unknown")).alias("value"))
@@ -159,7 +158,9 @@ def q_category_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 def sale_time_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Sale-time text in the raw format, made from ship dates and event times:
-    varying hour, zone offset, suffix, and some invalid weekday names."""
+    varying hour, zone offset, suffix, and some invalid weekday names.
+    Formatting and parsing cost far more per row than the scan, so a scan of
+    fewer splits than cores is spread first (never the case on large input)."""
     li = read_table(spark, sf, "lineitem", SALE_KEY + ["l_shipdate"], spread=True)
     local = F.expr("timestampadd(HOUR, CAST(l_partkey % 24 AS INT), l_shipdate)")
     off = F.element_at(F.array(F.lit("-0800"), F.lit("+0100"), F.lit("-0500")),
