@@ -136,3 +136,17 @@ def test_golden_projection(spark):
     for ym, (m, price, d) in PUBLISHED.items():
         assert got[ym][:3] == (m, price, d), ym
     assert got["2026-06"][3] == "2026-04"   # carried forward
+
+
+def test_quote_chain_independent_of_partition_count(spark):
+    cols = [*SALE_KEY, "final_price", "seasonal_factor", "verdict", "resolved_month"]
+    got = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted(map(tuple, REGISTRY["quote_chain"](spark, SF_SMALL).select(*cols).collect())))
+            spark.catalog.clearCache()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1]
