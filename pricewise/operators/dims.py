@@ -16,7 +16,7 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only if it has at most ``max_rows`` rows.
 
     The table is materialised first, so the size check and the later join
@@ -24,6 +24,14 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
     frame is returned unhinted and the join stays a shuffle join (with AQE
     skew handling).
     """
+    limit = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
     df = materialise(df)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    ok = df.count() <= limit
+    out = F.broadcast(df) if ok else df
+    out._broadcast_ok = ok      # consumers of projections of ``out`` re-apply the verdict
+    return out
+
+
+def broadcast_ok(df: DataFrame) -> bool:
+    """True if ``df`` came out of ``checked_broadcast`` under the limit."""
+    return bool(getattr(df, "_broadcast_ok", False))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.config import RARE_LEVEL_MIN_COUNT
+from pricewise.operators.dims import broadcast_ok
 
 RARE = "__rare__"
 
@@ -44,7 +45,8 @@ def ordinal_codes(df: DataFrame, columns: list[str]) -> DataFrame:
 def apply_ordinal(df: DataFrame, codes: DataFrame, column: str, out: str | None = None) -> DataFrame:
     c = codes.where(F.col("feature") == column).select(
         F.col("level").alias("_lvl"), F.col("code").alias("_code"))
-    j = df.join(F.broadcast(c), df[column].cast("string") == c["_lvl"], "left")
+    c = F.broadcast(c) if broadcast_ok(codes) else c
+    j = df.join(c, df[column].cast("string") == c["_lvl"], "left")
     return j.withColumn(out or f"{column}_code", F.coalesce("_code", F.lit(-1)).cast("double")) \
         .drop("_lvl", "_code")
 
@@ -66,7 +68,8 @@ def rare_mapped(df: DataFrame, levels: DataFrame, columns: list[str]) -> DataFra
     for c in columns:
         m = levels.where((F.col("feature") == c) & F.col("is_rare")).select(
             F.col("level").alias(f"_r_{c}"))
-        out = out.join(F.broadcast(m), out[c].cast("string") == m[f"_r_{c}"], "left") \
+        m = F.broadcast(m) if broadcast_ok(levels) else m
+        out = out.join(m, out[c].cast("string") == m[f"_r_{c}"], "left") \
             .withColumn(c, F.when(F.col(f"_r_{c}").isNotNull(), F.lit(RARE))
                         .otherwise(F.col(c).cast("string"))).drop(f"_r_{c}")
     return out

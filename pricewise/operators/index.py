@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.functions.dates import month_start, year_month
-from pricewise.operators.dims import DEFAULT_MAX_BROADCAST_ROWS, materialise
+from pricewise.operators import dims
+from pricewise.operators.dims import materialise
 
 MONTH = "year_month"
 
@@ -187,7 +188,7 @@ def asof_lookup(facts: DataFrame, index: DataFrame, cols: list[str],
                     F.max(MONTH).alias("hi")).first()
     if first["lo"] is None:
         raise ValueError("as-of lookup needs a non-empty index")
-    if first["n"] <= DEFAULT_MAX_BROADCAST_ROWS:
+    if first["n"] <= dims.DEFAULT_MAX_BROADCAST_ROWS:
         cal = F.broadcast(cal)
     # greatest/least skip nulls: a null month must stay unresolved
     key = F.when(F.col(month_col).isNotNull(),

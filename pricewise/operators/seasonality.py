@@ -17,7 +17,7 @@ from pricewise.config import (DEFAULT_SEASONALITY, FEATURE_COLUMNS, TARGET_COLUM
 from pricewise.functions.labels import check_month, confidence, month_name
 from pricewise.functions.numeric import clip
 from pricewise.functions.text import normalize_key
-from pricewise.operators.dims import checked_broadcast
+from pricewise.operators.dims import broadcast_ok, checked_broadcast
 from pricewise.operators.features import apply_bounds, at_reference_point, restore_point
 from pricewise.operators.index import strict_lookup
 from pricewise.operators.median import MAX_GROUP_ROWS, grouped_median
@@ -166,7 +166,10 @@ def lookup_factors(facts: DataFrame, factors: DataFrame, body_col: str = "body",
     fac = factors.select(F.col("body").alias("_body"), F.col("sale_month").alias("_month"),
                          *[F.col(c).alias(f"_f_{c}") for c in cols])
     # 12 rows per body; broadcast after a size check
-    fac = F.broadcast(fac) if size_checked else checked_broadcast(fac)
+    if size_checked:
+        fac = F.broadcast(fac) if broadcast_ok(factors) else fac
+    else:
+        fac = checked_broadcast(fac)
     j = f.join(fac, ["_body", "_month"], "left")
     matched = F.col("_f_month_name").isNotNull()
     mname = month_name(F.col("_month"))

@@ -150,3 +150,24 @@ def test_quote_chain_independent_of_partition_count(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert got[0] == got[1]
+
+
+def test_shuffle_join_fallback_gives_the_same_quotes(spark, monkeypatch):
+    """With every size check failing and auto-broadcast off, all lookups run
+    as shuffle joins and still produce the same quotes."""
+    from pricewise.operators import dims
+    cols = [*SALE_KEY, "final_price", "seasonal_factor", "verdict"]
+    want = sorted(map(tuple, REGISTRY["quote_chain"](spark, SF_SMALL).select(*cols).collect()))
+    spark.catalog.clearCache()
+    monkeypatch.setattr(dims, "DEFAULT_MAX_BROADCAST_ROWS", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = REGISTRY["quote_chain"](spark, SF_SMALL)
+        got = sorted(map(tuple, df.select(*cols).collect()))
+        plan = _plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.catalog.clearCache()
+    assert got == want
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
