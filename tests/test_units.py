@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.errors import PySparkException
 
 from pricewise.config import RAW_SALE_COLUMNS, SeasonalityConfig
 from pricewise.functions.dates import parse_sale_time, utc_text
@@ -185,3 +184,29 @@ def test_required_columns_sorted():
         columns = ["b"]
     with pytest.raises(ValueError, match="Missing required columns: a, c"):
         require_columns(D(), ["c", "a", "b"])
+
+
+def test_strict_lookup_fail_fast_and_keep(spark):
+    idx = spark.createDataFrame([("2020-02", 1.0)], "year_month string, cpi_multiplier double")
+    facts = spark.createDataFrame([("2020-02",), ("2020-03",)], "year_month string")
+    kept = {r["year_month"]: r["cpi_multiplier"] for r in strict_lookup(facts, idx, on_missing="keep").collect()}
+    assert kept == {"2020-02": 1.0, "2020-03": None}
+    with pytest.raises(Exception, match="historical sale months: 2020-03"):
+        strict_lookup(facts, idx, on_missing="fail_fast").collect()
+
+
+def test_approx_median_returns_an_element(spark):
+    from pricewise.operators.median import grouped_median
+    df = spark.createDataFrame([("a", float(v)) for v in [1, 2, 3, 4]], "g string, v double")
+    exact = grouped_median(df, ["g"], "v", mode="exact").first()["median"]
+    approx = grouped_median(df, ["g"], "v", mode="approx").first()["median"]
+    assert exact == 2.5 and approx in (2.0, 3.0)
+
+
+def test_loose_bounds_variant(spark):
+    from pricewise.config import LOOSE_BOUNDS
+    from pricewise.operators.features import apply_bounds
+    df = spark.createDataFrame([(1000.0, 0, 40), (1000.0, 600_000, 1), (400.0, 10, 1)],
+                               "sellingprice double, odometer bigint, vehicle_age bigint")
+    # price range and odometer <= 500,000 only: odometer 0 and age 40 are kept
+    assert apply_bounds(df, LOOSE_BOUNDS).count() == 1
