@@ -1,0 +1,333 @@
+"""Native operators and the quality classifier against brute force."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_common import SF_MED, SF_SMALL, no_docs, odd_docs  # noqa: F401 - fixtures
+
+from pricewise.llm import license_scan, pii, quality_model, quality_rules, queries, url_filter
+
+
+def documents(spark, sf):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+# ---- URL filters ---------------------------------------------------------------------------------
+
+def brute_url(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host):])[0]
+    return re.sub("[A-Z]", lambda m: m[0].lower(), host), path
+
+
+def brute_rule(host, path, rules=url_filter.RULES):
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.name), default=None)
+
+
+def test_op4_query(spark):
+    pages = spark.read.parquet(f"{SF_MED}/pages.parquet").collect()
+    got = {r.page_id: r for r in queries.REGISTRY["op4_urls"](spark, SF_MED).collect()}
+    assert len(got) == len(pages)
+    for p in pages:
+        host, path = brute_url(p.url)
+        rule = brute_rule(host, path)
+        g = got[p.page_id]
+        assert (g.host, g.path, g.rule) == (host, path, rule.name if rule else None)
+        assert g.verdict == (rule.verdict if rule else "allow")     # no page of this table has an alias
+
+
+def test_url_aliases(spark):
+    link = '<html><head><LINK href="{}" rel="canonical"></head>'
+    meta = "<meta http-equiv=refresh content='0; URL={}'>"
+    rows = [
+        (1, "http://x.net/a", link.format("http://A.com/de/z#f")),          # alias of a blocked url
+        (2, "http://y.net/b?q=1", meta.format("http://x.net/a")),           # by two steps
+        (3, "http://z.net/c", link.format("/d")), (4, "https://z.net/d", None),
+        (5, "http://w.net/e", link.format("http://c.com/de/1")), (6, "http://w.net/f", link.format("http://w.net/e")),
+        (7, "http://c.org/f", meta.format("http://w.net/f")),               # an explicit allow among them
+        (8, None, link.format("http://c.com/de/1")), (9, "no url", ""), (10, "HTTP://B.EXAMPLE.ORG", None),
+        (11, "http://c.com/de/1", None), (None, "http://u.example.org/en/12?x", None), (10, "x://example.org/es/", None),
+        (12, "http://v.net/dir/p", link.format("q")), (13, "http://v.net/dir/q", link.format("//c.com/de/2")),
+    ]
+    df = spark.createDataFrame([(*r, "k") for r in rows], "page_id long, url string, html string, key string")
+    got = [(r.page_id, r.rule, r.verdict) for r in url_filter.judge(df).collect()]
+    want = [(1, None, "block"), (2, None, "block"), (3, None, "allow"), (4, None, "allow"), (5, None, "allow"),
+            (6, None, "allow"), (7, "org/", "allow"), (8, None, "allow"), (9, None, "allow"), (10, None, "allow"),
+            (11, "com/de/", "block"), (None, "example.org/en/1", "block"), (10, "example.org/es/", "block"),
+            (12, None, "block"), (13, None, "block")]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert url_filter.judge(df.filter("false")).count() == 0
+
+
+# ---- licenses ------------------------------------------------------------------------------------
+
+def words_of(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text)
+
+
+def places(words, phrase):
+    p = phrase.split()
+    return [i for i in range(len(words)) if words[i:i + len(p)] == p]
+
+
+def brute_license(text):
+    w = words_of(text)
+    starts, base, more, best = [], set(), set(), 0.0
+    for phrase, label in license_scan.BASE:
+        found = places(w, phrase)
+        starts += found
+        base |= {label} if found else set()
+    for label, template, phrases in license_scan.TEMPLATES:
+        t = template.split()
+        for s in range(-len(t) + 1, len(w)):
+            there = [0 <= s + i < len(w) and w[s + i] == x for i, x in enumerate(t)]
+            share = sum(there) / len(t)
+            if share >= license_scan.MIN_SHARE and all(
+                    any(s + o in places(w, p) for o in places(t, p)[:1]) for p in phrases):
+                more.add(label)
+                best = max(best, share)
+    return (len(w), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
+            ",".join(sorted(base | more)), 1.0 if starts else best)
+
+
+def same_licenses(rows, docs):
+    want = sorted((repr(d.doc_id), *map(repr, brute_license(d.text))) for d in docs)
+    got = sorted((repr(r.doc_id), *map(repr, (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score)))
+                 for r in rows)
+    assert got == want
+
+
+def test_op5_query(spark):
+    same_licenses(queries.REGISTRY["op5_licenses"](spark, SF_MED).collect(),
+                  documents(spark, SF_MED).select("doc_id", "text").collect())
+
+
+def test_license_cases(spark, odd_docs, no_docs):
+    texts = ["CC BY. cc-by all rights RESERVED", "cc by cc by cc by", "released under the MIT license; released under the license",
+             "Licensed under the Apache License, Version 2.0.", "licensed under an apache license version 2 0",
+             "general public general public license", "ccby cc\u212aby", "license " * 3000 + "all rights reserved",
+             "Redistribution and use in source and binary forms, with or without modification, are allowed", "version 2 0"]
+    df = spark.createDataFrame([(i, t, 3) for i, t in enumerate(texts)], "doc_id long, text string, ids int")
+    same_licenses(license_scan.scan(df).collect(), df.collect())
+    same_licenses(license_scan.scan(odd_docs).collect(), odd_docs.collect())
+    assert license_scan.scan(no_docs).count() == 0
+
+
+# ---- quality rules -------------------------------------------------------------------------------
+
+def brute_stats(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+    hit = {j for i in range(len(w) - 2) if n[tuple(w[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit),
+            len(w) < 50 or 100 * len(hit) > 50 * len(w))
+
+
+def same_stats(rows, docs):
+    want = sorted((repr(d.doc_id), *brute_stats(d.text)) for d in docs)
+    got = sorted((repr(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+                 for r in rows)
+    assert got == want
+    assert not any(r.kept and r.base_failed for r in rows)
+
+
+def test_op7_query(spark):
+    rows = queries.REGISTRY["op7_rules"](spark, SF_MED).collect()
+    same_stats(rows, documents(spark, SF_MED).collect())
+    marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_MED}/labels.parquet").collect()}
+    good = [r.kept for r in rows if marks.get(r.doc_id) == 1 and not r.base_failed]
+    bad = [r.kept for r in rows if marks.get(r.doc_id) == 0 and not r.base_failed]
+    assert sum(good) > 0.99 * len(good) and sum(bad) < 0.1 * len(bad)
+
+
+def test_rules_odd_rows(spark, odd_docs, no_docs):
+    same_stats(quality_rules.judge(odd_docs).collect(), odd_docs.collect())
+    kept = quality_rules.keep_good(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(
+        r.doc_id for r in quality_rules.judge(odd_docs).collect() if r.kept)
+    assert quality_rules.judge(no_docs).count() == 0 and quality_rules.keep_good(no_docs).count() == 0
+
+
+def brute_mcd(x, scale):
+    """The same estimate in numpy, on one group."""
+    p = x.shape[1]
+    q1, q2, q3 = np.quantile(x, [0.25, 0.5, 0.75], axis=0, method="inverted_cdf")
+    s = np.maximum((q3 - q1) / 1.349, scale)
+    z = (x - q2) / s
+    d = (z * z).sum(1)
+    for _ in range(quality_rules.STEPS):
+        bins = np.floor(np.log2(d + 2.0 ** -10) * quality_rules.BINS)
+        upto = np.sort(bins)[math.ceil(quality_rules.H * len(d)) - 1]
+        core = z[bins <= upto]
+        m = core.mean(0).round(6)
+        c = ((core.T @ core) / len(core) - np.outer(m, m)).round(6) + quality_rules.RIDGE * np.eye(p)
+        d = np.einsum("ij,jk,ik->i", z - m, np.linalg.inv(c), z - m)
+    return d
+
+
+def test_distances_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(400):
+        n = int(rng.integers(60, 900))
+        bad = i % 40 == 0
+        rows.append((i, "en", "s", n, n * int(rng.integers(4, 7)), n * 3 if bad else int(rng.integers(0, 3)),
+                     0, int(rng.integers(2, 20)), int(rng.integers(0, 2)), int(rng.integers(0, n // 4))))
+    names = ["doc_id", "g_lang", "g_source", "n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines",
+             "n_repeat_words"]
+    df = spark.createDataFrame(rows, names)
+    got = {r.doc_id: r for r in quality_rules.verdicts(df, ["doc_id"]).collect()}
+    a = np.array([r[3:] for r in rows], float)
+    w, chars, sym, up, lines, dup, rep = a.T
+    x = np.stack([np.log1p(w), np.log(chars / w + 1), np.sqrt(sym / chars), dup / lines, rep / w, up / chars], 1)
+    d = brute_mcd(x, np.array([s for _, s in quality_rules.FEATURES.values()]))
+    p = x.shape[1]
+    shrink = quality_rules.H / quality_rules._chi2_cdf(quality_rules._chi2_quantile(quality_rules.H, p), p + 2)
+    for i in range(400):
+        assert got[i].distance == pytest.approx(d[i] / shrink, rel=1e-3)
+    assert {i for i in got if not got[i].kept} == {i for i in range(400) if i % 40 == 0}
+
+
+# ---- PII -----------------------------------------------------------------------------------------
+
+def luhn(s):
+    t = 0
+    for i, c in enumerate(reversed(s)):
+        v = int(c) * (2 if i % 2 else 1)
+        t += v - 9 if v > 9 else v
+    return t % 10 == 0
+
+
+SIMPLE = {"email": r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+          "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)", "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{40}|[0-9A-F]{40})(?![A-Za-z0-9])",
+          "phone": r"\+1 \(\d{3}\) \d{3}-\d{4}", "card": r"(?<!\d)\d{16}(?!\d)"}
+
+
+def find(kind, text):
+    found = re.findall(SIMPLE[kind], text or "")
+    if kind == "card":
+        return [x for x in found if luhn(x)]
+    return [x for x in found if kind != "ip" or all(int(o) < 256 and str(int(o)) == o for o in x.split("."))]
+
+
+def check_surrogates(before, after):
+    """No entity is left, shapes hold, and equal entities and only those have equal surrogates."""
+    whole = "\x00".join(t or "" for t in after)
+    fixed = re.compile("|".join(SIMPLE.values()))
+    total = 0
+    for kind in SIMPLE:
+        there, back = {}, {}
+        for a, b in zip(before, after):
+            x, y = find(kind, a), find(kind, b)
+            assert len(x) == len(y), (kind, x, y)
+            for old, new in zip(x, y):
+                total += 1
+                assert old not in whole and old != new
+                k = old.lower()
+                assert there.setdefault(k, new.lower()) == new.lower() and back.setdefault(new.lower(), k) == k
+                if kind != "ip":
+                    shape = lambda s: re.sub("[A-Z]", "A", re.sub("[a-z]", "a", re.sub(r"\d", "9", s)))     # noqa: E731
+                    assert kind in ("email", "secret") or shape(old) == shape(new)
+                assert (old.upper() == old) == (new.upper() == new)
+    for a, b in zip(before, after):
+        assert (a is None) == (b is None)
+        if a is not None:           # what lies between entities stays
+            decoy = lambda m: m[0] if re.fullmatch(r"\d{16}", m[0]) and not luhn(m[0]) or (     # noqa: E731
+                re.fullmatch(SIMPLE["ip"], m[0]) and not find("ip", m[0])) else "\x01"
+            assert fixed.sub(decoy, a) == fixed.sub(decoy, b)
+    return total
+
+
+def test_op8_query(spark):
+    old = {r.doc_id: r.text for r in documents(spark, SF_MED).collect()}
+    rows = queries.REGISTRY["op8_pii"](spark, SF_MED).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(old)
+    assert check_surrogates([old[r.doc_id] for r in rows], [r.text for r in rows]) == sum(r.n_entities for r in rows) > 20
+
+
+def test_pii_odd_rows(spark, odd_docs, no_docs):
+    out = pii.with_surrogates(odd_docs)
+    assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+    old = sorted(((r.doc_id is not None, r.doc_id or 0, r.text or "", r.lang or ""), r.text) for r in odd_docs.collect())
+    keep = {r.doc_id: r.text for r in out.collect()}
+    for (known, doc, _, _), text in old:
+        if known and doc != 12:
+            assert keep[doc] == text
+    assert "jo.12@" not in keep[12] and "123-4567" not in keep[12]
+    assert pii.with_surrogates(no_docs).count() == 0
+
+
+def test_names_collisions_and_formats(spark):
+    texts = ["Mary Smith met Mr. Smith and Frau Müller.", "MARY spoke to John Smith", "Анна Иванова и г-н Иванова",
+             "John Brown", "a@b.com A@B.COM b@b.com c@b.com d@b.com", "call +1 (555) 010-9999 or 555-010-9999",
+             "DE44 5001 0517 5407 3249 31 and 4539 1488 0343 6467", "ssn 123-45-6789; id 4539148803436468", "1.2.3.4, 1.2.3.300"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.report(df).collect()}
+    s = got[0].text
+    given, surname = re.match(r"([\w-]+) (\w+) met Mr\. (\w+) and Frau (\w+)\.", s).group(1, 2)
+    assert given.split("-")[0] in pii.NAMES["latin", "f"] and given != "Mary"
+    assert s.split("Mr. ")[1].split(" ")[0] == surname != "Smith"
+    assert got[1].text.startswith("MARY spoke to ") and got[1].text.endswith(surname)
+    assert re.fullmatch(r"[А-Яа-я-]+ [А-Я][а-я]+ и г-н [А-Я][а-я]+", got[2].text) and "Иванова" not in got[2].text
+    mails = got[4].text.split(" ")
+    assert len({m.lower() for m in mails}) == 4 and mails[0].upper() == mails[1]
+    assert re.fullmatch(r"call \+1 \(\d{3}\) \d{3}-\d{4} or \d{3}-\d{3}-\d{4}", got[5].text)
+    assert re.fullmatch(r"DE\d\d( \d{4}){4} \d\d and \d{4} \d{4} \d{4} \d{4}", got[6].text)
+    assert luhn(re.sub(r"\D", "", got[6].text.split(" and ")[1]))
+    assert got[7].text.endswith("id 4539148803436468") and "123-45-6789" not in got[7].text
+    assert got[8].text.endswith(", 1.2.3.300") and not got[8].text.startswith("1.2.3.4")
+
+
+def test_many_short_entities_stay_different(spark):
+    """More single-letter mail names than letters: collisions must be resolved."""
+    rows = [(i, f"{c}{j}@m.org") for i, (c, j) in enumerate((c, j) for c in "abcdefghijklmnopqrstuvwxyz" for j in range(10))]
+    df = spark.createDataFrame(rows[::3], "doc_id long, text string")
+    out = [r.text for r in pii.report(df).collect()]
+    assert len(set(out)) == len(out) and not set(out) & {t for _, t in rows[::3]}
+
+
+# ---- quality classifier --------------------------------------------------------------------------
+
+def test_op3_query(spark):
+    rows = {r.doc_id: r for r in queries.REGISTRY["op3_quality"](spark, SF_MED).collect()}
+    docs = documents(spark, SF_MED)
+    assert len(rows) == docs.count()
+    marks = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF_MED}/labels.parquet").collect()}
+    for i, r in rows.items():
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)
+    held = [(rows[i].predicted, q, rows[i].score) for i, q in marks.items() if rows[i].held_out]
+    assert sum(p == q for p, q, _ in held) >= 0.9 * len(held)       # about 90 rows
+    good, bad = [s for _, q, s in held if q == 1], [s for _, q, s in held if q == 0]
+    assert sum(a > b for a in good for b in bad) >= 0.97 * len(good) * len(bad)
+
+
+def test_held_out_labels_change_nothing(spark):
+    docs, labels = documents(spark, SF_SMALL), spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    flipped = labels.selectExpr("doc_id", "case when crc32(cast(cast(doc_id as string) as binary)) % 4 = 2 "
+                                          "then 1 - quality else quality end as quality")
+    a = {r.doc_id: r.score for r in quality_model.classify(docs, labels).collect()}
+    b = {r.doc_id: r.score for r in quality_model.classify(docs, flipped).collect()}
+    assert a == pytest.approx(b, abs=1e-9)
+
+
+def test_classifier_odd_rows(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (4, None, 0), (None, 1, 0), (7, 1, 1), (99, 0, 0)],
+                                   "doc_id long, quality int, x int")
+    rows = quality_model.classify(odd_docs, labels).collect()
+    assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+    assert quality_model.classify(no_docs, labels).count() == 0
+    none = quality_model.classify(odd_docs, labels.filter("false")).collect()
+    assert {r.score for r in none} == {0.5}
