@@ -51,6 +51,17 @@ def unpack(df: DataFrame, columns: Sequence[str], *extra: str) -> DataFrame:
     return df.select(*[F.col(ROW)[c].alias(c) for c in columns], *extra)
 
 
+BATCH_ROWS = 1000       # rows of whole texts handed to Python at a time
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower Spark's row count per Arrow batch (10,000 by default): whole texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def text_bytes(col: str = "text") -> Column:
     """The UTF-8 bytes of a text column."""
     return F.col(col).cast("binary")

@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import text_bytes
+from .base import small_batches, text_bytes
 
 MAX_STATES = 250_000        # lazily built transducer states kept per worker
 MAX_FITS = 500_000          # checked token pairs kept per worker
 EMIT_EVERY = 256            # bytes of one pre-token between two emissions
-MAX_MEMO = 400_000          # pre-tokens whose ids are kept per worker
+MAX_MEMO = 700_000          # pre-tokens whose ids are kept per worker
 MEMO_BYTES = 48             # longer pre-tokens always run through the transducer
 DECODE_STEP = 65_536        # ids decoded at a time
 
@@ -245,17 +245,28 @@ class Utf8Machine:
         step = self.steps[state][token] = ("".join(out), at)
         return step
 
-    def feed(self, ids: Iterable[int]) -> Iterator[str]:
-        """Finished text pieces, one per id, then what is left at the end."""
-        state, row = b"", self.steps.setdefault(b"", {})
+    def feed(self, ids: Iterable[int], state: bytes = b"") -> tuple[str, bytes]:
+        """Finished text of some ids, and the state to go on with."""
+        row, out = self.steps.setdefault(state, {}), []
+        add = out.append
         for i in ids:
-            step = row.get(i) or self._step(state, i)
-            yield step[0]
+            step = row.get(i)
+            if step is None:
+                step = self._step(state, i)
+            add(step[0])
             if step[1] != state:
                 state = step[1]
                 row = self.steps.setdefault(state, {})
+        return "".join(out), state
+
+    def decode(self, ids: array) -> Iterator[str]:
+        """Text of all ids, in pieces; an unfinished character at the end becomes U+FFFD."""
+        state = b""
+        for at in range(0, len(ids), DECODE_STEP):
+            text, state = self.feed(ids[at:at + DECODE_STEP], state)
+            yield text
         if state:
-            yield "�"
+            yield "\ufffd"
 
 
 # Fixed values of UTF-8: sequence length by first byte, narrower second-byte ranges.
@@ -313,7 +324,7 @@ class Codec:
         a.frombytes(ids)
         if sys.byteorder != "little":
             a.byteswap()
-        return self.utf8.feed(a)
+        return self.utf8.decode(a)
 
 
 @lru_cache(maxsize=4)
@@ -328,14 +339,9 @@ def default_vocabulary() -> tuple[str, str]:
 
 
 def _digest(pieces: Iterator[str]) -> str:
-    h, held, size = hashlib.sha256(), [], 0
+    h = hashlib.sha256()
     for p in pieces:
-        held.append(p)
-        size += 1
-        if size >= DECODE_STEP:
-            h.update("".join(held).encode("utf-8"))
-            held, size = [], 0
-    h.update("".join(held).encode("utf-8"))
+        h.update(p.encode("utf-8"))
     return h.hexdigest()
 
 
@@ -352,6 +358,7 @@ def encode(docs: DataFrame, columns: list[str], path: str | None = None, pattern
     size is that of the vocabulary) and broadcast.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     if path is None:
         path, default = default_vocabulary()
         pattern = pattern or default

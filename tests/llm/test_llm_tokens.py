@@ -3,6 +3,7 @@
 import hashlib
 import random
 import struct
+from array import array
 
 import public_tokenizers
 import pytest
@@ -72,7 +73,12 @@ def test_streaming_decode(codec):
     for _ in range(3000):
         data = bytes(rng.choice([0x41, 0x80, 0xBF, 0xC2, 0xC0, 0xE0, 0xA0, 0x9F, 0xED, 0xF0, 0x90, 0xF4, 0x8F, 0xFF, 0xE2])
                      for _ in range(rng.randrange(9)))
-        assert "".join(codec.utf8.feed([ranks[data[i:i + 1]] for i in range(len(data))])) == data.decode("utf-8", "replace")
+        ids = array("I", [ranks[data[i:i + 1]] for i in range(len(data))])
+        assert "".join(codec.utf8.decode(ids)) == data.decode("utf-8", "replace")
+        cut = rng.randrange(len(ids) + 1)
+        first, state = codec.utf8.feed(ids[:cut])
+        second, state = codec.utf8.feed(ids[cut:], state)
+        assert first + second + ("\ufffd" if state else "") == data.decode("utf-8", "replace")
 
 
 def test_op1_query(spark, public):
