@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .base import small_batches
+
 HEAD, TAIL = "### ", "</turn>"
 _CONTROL = re.compile(r"\\|###|</turn>")
 _ROLE_CONTROL = re.compile(r"\\|###|</turn>|:")
@@ -470,6 +472,7 @@ def format_turns(conversations: DataFrame, template: str = TEMPLATE, conv_id: st
     by one task that holds two turns at a time, however many there are; the
     sort before it spills to disk.
     """
+    small_batches(conversations.sparkSession)
     Template(template)      # fail on the driver, not in a task
     src = conversations.select(
         F.col(f"`{conv_id}`").alias("conv_id"), F.col(f"`{turn}`").alias("turn"),

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import ROW, cut, pack, text_bytes, unpack
+from .base import ROW, cut, pack, small_batches, text_bytes, unpack
 
 WINDOW = 10
 MAX_WINDOWS = 500_000       # windows broadcast at a time
@@ -117,6 +117,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
     benchmark hits nothing; null item ids mark words but name no item.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     grams = cut(benchmark_windows(benchmark, item_id, bench_text, window)
                 .groupBy("gram").agg(F.sort_array(F.collect_set("item")).alias("items")), "windows")
     total = grams.count()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import cut, text_bytes
+from .base import cut, small_batches, text_bytes
 
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -68,6 +68,7 @@ WIDTH = N_CLASSES + 5 + 18
 
 def feature_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``x`` (the feature vector) per row."""
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_bytes(text).alias("b"))
     schema = T.StructType([src.schema[0], T.StructField("x", T.ArrayType(T.DoubleType()))])
 

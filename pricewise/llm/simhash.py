@@ -29,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import ROW, cut, pack, text_bytes, unpack
+from .base import ROW, cut, pack, small_batches, text_bytes, unpack
 from .components import connected_components
 
 SHINGLE_WORDS = 3
 DISTANCE = 2
 BLOCKS = 7
 FRONTIER = 200_000          # node pairs expanded at a time
+JOIN_ROWS = 50_000          # rows of whole sub-tries joined at a time, at least
 HASH_STEP = 200_000         # shingles whose bits are counted at a time
 
 
@@ -62,6 +63,7 @@ def fingerprint(data: bytes | None, words_per_shingle: int = SHINGLE_WORDS, seed
 def fingerprints(docs: DataFrame, columns: list[str], text: str = "text",
                  words_per_shingle: int = SHINGLE_WORDS, name: str = "fp") -> DataFrame:
     """``columns`` and the fingerprint as a (signed) long, one row per input row."""
+    small_batches(docs.sparkSession)
     kept = docs.select(*[F.col(f"`{c}`") for c in columns])
     schema = T.StructType([*kept.schema.fields, T.StructField(name, T.LongType())])
 
@@ -178,23 +180,21 @@ def trie_edges(distinct: DataFrame, fp: str = "fp", distance: int = DISTANCE, bl
         return pa.RecordBatch.from_arrays([pa.array(ends[far]), pa.array(ends[labels[far]])], names=["a", "b"])
 
     def run(batches):
-        held: list[tuple] = []          # the last sub-trie seen may go on in the next batch
+        held: list[tuple] = []          # rows not yet joined; the last sub-trie may go on in the next batch
+        size = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            trie, head = cols[0], cols[1]
-            new = np.flatnonzero((trie[1:] != trie[:-1]) | (head[1:] != head[:-1])) + 1
-            if held and (held[-1][0][-1] != trie[0] or held[-1][1][-1] != head[0]):
-                new = np.r_[0, new]
-            if not len(new):
-                held.append(tuple(cols))
+            cols = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            held.append(cols)
+            size += len(cols[0])
+            if size < JOIN_ROWS or (cols[0][0] == cols[0][-1] and cols[1][0] == cols[1][-1]):
                 continue
-            last = int(new[-1])
-            whole = [np.concatenate([h[i] for h in held] + [cols[i][:last]]) for i in range(3)]
-            if len(whole[0]):
-                yield links(*whole)
-            held = [tuple(c[last:] for c in cols)]
+            trie, head, fps = (np.concatenate([h[i] for h in held]) for i in range(3))
+            last = int(np.flatnonzero((trie != trie[-1]) | (head != head[-1]))[-1]) + 1
+            yield links(trie[:last], head[:last], fps[:last])
+            held = [(trie[last:], head[last:], fps[last:])]
+            size = len(held[0][0])
         if held:
             yield links(*(np.concatenate([h[i] for h in held]) for i in range(3)))
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import text_bytes
+from .base import small_batches, text_bytes
 
 MARK = "\u2581".encode()    # fixed value: the word mark of the vocabulary
 MAX_MEMO = 400_000          # words whose counts are kept per worker
@@ -147,6 +147,7 @@ def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pa
     keep their rows; other columns are not read. The vocabulary file is read on
     the driver and broadcast (its size does not depend on the data).
     """
+    small_batches(docs.sparkSession)
     pieces = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path or default_vocabulary()))
     src = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), text_bytes(text).alias("b"))
     schema = T.StructType([src.schema[0]] + [T.StructField(c, T.LongType()) for c in
