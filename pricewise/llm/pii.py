@@ -48,10 +48,15 @@ PATTERNS = {
              r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     "card": r"(?<![\d.\-])\d(?:[ \-]?\d){12,18}(?![\d\-]|\.\d)",
-    "given": rf"(?<![\p{{L}}])(?:{_GIVEN})(?= {_SURNAME})",
-    "surname": rf"(?<=(?<!\p{{L}})(?:{_GIVEN}|{_TITLE}) ){_SURNAME}",
+    "given": rf"(?=\p{{Lu}})(?:{_GIVEN})(?= {_SURNAME})",
+    "surname": rf"(?=\p{{Lu}})(?<= )(?<=(?<!\p{{L}})(?:{_GIVEN}|{_TITLE}) ){_SURNAME}",
 }
-ENTITY = "|".join(PATTERNS[k] for k in PATTERNS)
+# Entities start where no letter or digit precedes. Names need a given name or title before a capital:
+# texts without such a place are searched without the two name patterns, which finds the same.
+_START = r"(?<![\p{L}\p{N}])"
+ENTITY = f"{_START}(?:{'|'.join(PATTERNS.values())})"
+NO_NAMES = f"{_START}(?:{'|'.join(p for k, p in PATTERNS.items() if k not in ('given', 'surname'))})"
+NAME_PLACE = rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:{_GIVEN}|{_TITLE}) \p{{Lu}}"
 MAX_ATTEMPTS = 200
 
 
@@ -194,7 +199,9 @@ def redact(docs: DataFrame, text: str = "text", key: str = "surrogates-1") -> Da
     surrogates as long as the set of entities is the same.
     """
     t = F.col(f"`{text}`")
-    rows = cut(docs.select(pack(docs), F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0)).alias("ents")), "pii-rows")
+    found = F.when(t.rlike(NAME_PLACE), F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))) \
+        .otherwise(F.regexp_extract_all(t, F.lit(NO_NAMES), F.lit(0)))
+    rows = cut(docs.select(pack(docs), found.alias("ents")), "pii-rows")
     has = F.coalesce(F.size("ents") > 0, F.lit(False))
     digest = F.sha2(F.array_join("ents", "\x1f").cast("binary"), 256)
     lists = cut(rows.filter(has).select("ents").groupBy(digest.alias("list")).agg(F.first("ents").alias("ents")),
