@@ -32,6 +32,14 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+BROADCAST_ROWS = 50_000     # rows of a written table of numbers that are broadcast; beyond, the join is shuffled
+
+
+def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of narrow rows, hinted for broadcast if it has at most ``rows`` rows."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete a table written by ``cut`` that nothing will read again."""
     path = getattr(df, "_scratch", None)

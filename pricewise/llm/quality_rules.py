@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import ROW, cut, drop_cut, pack, unpack
+from .base import ROW, cut, drop_cut, pack, small, unpack
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = "\t\n\x0b\x0c\r "
@@ -154,7 +154,7 @@ def verdicts(stats: DataFrame, keep: list[str]) -> DataFrame:
     a base rule take no part in the estimates and have a null distance.
     """
     names, p = list(FEATURES), len(FEATURES)
-    pools = cut(_pools(stats.filter(~base_failed())), "rules-pools")
+    pools = small(cut(_pools(stats.filter(~base_failed())), "rules-pools"))
     x = stats.filter(~base_failed()).join(pools, ["g_lang", "g_source"]).select(
         "pool", *[f().alias(f"x{i}") for i, (f, _) in enumerate(FEATURES.values())])
     start = cut(x.groupBy("pool").agg(F.count("*").alias("size"), *[
@@ -162,25 +162,25 @@ def verdicts(stats: DataFrame, keep: list[str]) -> DataFrame:
         "pool", "size", *[F.col(f"r{i}")[1].alias(f"a{i}") for i in range(p)],
         *[F.greatest((F.col(f"r{i}")[2] - F.col(f"r{i}")[0]) / 1.349, F.lit(FEATURES[names[i]][1])).alias(f"s{i}")
           for i in range(p)]), "rules-start")
-    z = cut(x.join(start.filter(F.col("size") >= MIN_GROUP), "pool").select(
+    z = cut(x.join(small(start).filter(F.col("size") >= MIN_GROUP), "pool").select(
         "pool", *[((F.col(f"x{i}") - F.col(f"a{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i in range(p)]), "rules-z")
     zs = [f"z{i}" for i in range(p)]
     dist = z.select("pool", *zs, reduce(lambda a, b: a + b, [F.col(c) * F.col(c) for c in zs]).alias("d"))
     params = None
     for _ in range(STEPS):
         near = cut(_nearest(dist), "rules-near")
-        core = dist.join(near, "pool").filter(_bin() <= F.col("upto"))
+        core = dist.join(small(near), "pool").filter(_bin() <= F.col("upto"))
         old, params = params, cut(_estimate(core, p), "rules-estimate")
         drop_cut(near)
         if old is not None:
             drop_cut(old)
-        dist = _distance(z, params, p, ["pool", *zs])
+        dist = _distance(z, small(params), p, ["pool", *zs])
     drop_cut(z)
     shrink = H / _chi2_cdf(_chi2_quantile(H, p), p + 2)     # the core's covariance is too small by this
     limit = _chi2_quantile(QUANTILE, p) * shrink
     fit = params.join(start, "pool")
     fit = cut(pools.join(fit, "pool").drop("pool", "size"), "rules-fit")
-    j = stats.join(fit, ["g_lang", "g_source"], "left")
+    j = stats.join(small(fit), ["g_lang", "g_source"], "left")
     j = j.select("*", *[((f() - F.col(f"a{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i, (f, _) in
                         enumerate(FEATURES.values())])
     for i in range(p):
