@@ -37,9 +37,9 @@ from pyspark.sql import types as T
 from .base import small_batches, text_bytes
 
 MAX_STATES = 250_000        # lazily built transducer states kept per worker
-MAX_FITS = 500_000          # checked token pairs kept per worker
+MAX_FITS = 300_000          # checked token pairs kept per worker
 EMIT_EVERY = 256            # bytes of one pre-token between two emissions
-MAX_MEMO = 700_000          # pre-tokens whose ids are kept per worker
+MAX_MEMO = 400_000          # pre-tokens whose ids are kept per worker
 MEMO_BYTES = 48             # longer pre-tokens always run through the transducer
 DECODE_STEP = 65_536        # ids decoded at a time
 
@@ -80,28 +80,31 @@ def _merge(data: bytes, ranks: dict[bytes, int], border: int = 0) -> list[bytes]
 
 
 class Transducer:
-    """Merge transducer of one rank table.
+    """Merge transducer of one rank table; tokens are named by their ranks.
 
     A state is a number; ``about`` holds what it stands for: the shortest end
     of the input that holds every open position, and per open position its
-    offset there and the token that ends at it. ``steps`` maps state and byte
-    to the token that ends after the byte, its length and the next state.
+    offset there and the token that ends at it (-1 at the start), flattened.
+    ``steps`` maps state and byte to one packed number: the token that ends
+    after the byte, its length and the next state. Plain numbers keep a worker
+    small.
     """
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         if len({t for t in ranks if len(t) == 1}) != 256:
             raise ValueError("the rank table lacks single-byte tokens")
         self.ranks, self.max_states = ranks, max_states
+        self.token = {r: t for t, r in ranks.items()}
         self.prefixes = {t[:k] for t in ranks for k in range(1, len(t))}
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
-        self.whole: dict[bytes, bool] = {}
+        self.fits: dict[int, bool] = {}
+        self.whole: dict[int, bool] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.number: dict[tuple, int] = {}
         self.about: list[tuple] = []
-        self.steps: dict[int, tuple[bytes, int, int]] = {}
-        self._state(b"", ((0, b""),))
+        self.steps: dict[int, int] = {}
+        self._state(b"", (0, -1))
 
     def _state(self, tail: bytes, opened: tuple) -> int:
         key = (tail, opened)
@@ -111,39 +114,43 @@ class Transducer:
             self.about.append(key)
         return s
 
-    def _is_token(self, t: bytes) -> bool:
-        ok = self.whole.get(t)
+    def _is_token(self, rank: int) -> bool:
+        ok = self.whole.get(rank)
         if ok is None:
-            ok = self.whole[t] = _merge(t, self.ranks) == [t]
+            t = self.token[rank]
+            ok = self.whole[rank] = _merge(t, self.ranks) == [t]
         return ok
 
-    def _fit(self, u: bytes, v: bytes) -> bool:
-        ok = self.fits.get((u, v))
+    def _fit(self, left: int, right: int) -> bool:
+        key = left << 32 | right
+        ok = self.fits.get(key)
         if ok is None:
             if len(self.fits) >= MAX_FITS:
                 self.fits.clear()
-            ok = self.fits[u, v] = len(_merge(u + v, self.ranks, len(u))) == 2
+            u, v = self.token[left], self.token[right]
+            ok = self.fits[key] = len(_merge(u + v, self.ranks, len(u))) == 2
         return ok
 
-    def _step(self, s: int, byte: int) -> tuple[bytes, int, int]:
+    def _step(self, s: int, byte: int) -> int:
         tail, places = self.about[s]
         tail += bytes((byte,))
-        for offset, left in places:
-            t = tail[offset:]
-            if t in self.ranks and self._is_token(t) and (not left or self._fit(left, t)):
+        for offset, left in zip(places[::2], places[1::2]):
+            rank = self.ranks.get(tail[offset:])
+            if rank is not None and self._is_token(rank) and (left < 0 or self._fit(left, rank)):
                 break
         else:
             raise ValueError("the rank table gives no merge result")
-        opened = [(o, u) for o, u in places if tail[o:] in self.prefixes] + [(len(tail), t)]
+        opened = [(o, u) for o, u in zip(places[::2], places[1::2]) if tail[o:] in self.prefixes]
+        opened.append((len(tail), rank))
         first = opened[0][0]
-        state = self._state(tail[first:], tuple((o - first, u) for o, u in opened))
-        step = self.steps[s << 8 | byte] = (t, len(t), state)
+        state = self._state(tail[first:], tuple(x for o, u in opened for x in (o - first, u)))
+        step = self.steps[s << 8 | byte] = rank << 48 | len(self.token[rank]) << 32 | state
         return step
 
-    def tokens(self, data: bytes) -> list[bytes]:
-        """The merge result of one pre-token."""
-        out: list[bytes] = []
-        ends: list[tuple] = []          # per byte since the last emission: the token ending there
+    def tokens(self, data: bytes) -> list[int]:
+        """The merge result of one pre-token, as ranks."""
+        out: list[int] = []
+        ends: list[int] = []            # per byte since the last emission: the step that reads it
         s, wait, known = 0, EMIT_EVERY, self.steps
         for byte in data:
             step = known.get(s << 8 | byte)
@@ -154,32 +161,32 @@ class Transducer:
                     known, s = self.steps, self._state(*keep)
                 step = self._step(s, byte)
             ends.append(step)
-            s = step[2]
+            s = step & 0xFFFFFFFF
             if len(ends) >= wait:
                 wait = EMIT_EVERY + self._emit(ends, self.about[s], out)
         out += self._chain(ends, len(ends))
         return out
 
     @staticmethod
-    def _chain(ends: list[tuple], at: int) -> list[bytes]:
+    def _chain(ends: list[int], at: int) -> list[int]:
         """The tokens that lead to a position."""
         back = []
         while at:
-            t, n, _ = ends[at - 1]
-            back.append(t)
-            at -= n
+            step = ends[at - 1]
+            back.append(step >> 48)
+            at -= step >> 32 & 0xFFFF
         back.reverse()
         return back
 
-    def _emit(self, ends: list[tuple], state: tuple, out: list[bytes]) -> int:
+    def _emit(self, ends: list[int], state: tuple, out: list[int]) -> int:
         """Emit what all open positions agree on; returns the bytes still held."""
         shared = None
         tail, opened = state
-        for offset, _ in opened:
+        for offset in opened[::2]:
             at, border = len(ends) - len(tail) + offset, set()
             while at > 0:
                 border.add(at)
-                at -= ends[at - 1][1]
+                at -= ends[at - 1] >> 32 & 0xFFFF
             shared = border if shared is None else shared & border
         if shared:
             upto = max(shared)
@@ -197,8 +204,7 @@ class _Memo(dict):
 
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode("utf-8")
-        ranks = self.machine.ranks
-        ids = _le(array("I", [ranks[t] for t in self.machine.tokens(data)]))
+        ids = _le(array("I", self.machine.tokens(data)))
         if len(data) <= MEMO_BYTES:
             if len(self) >= MAX_MEMO:
                 self.clear()
