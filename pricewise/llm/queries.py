@@ -11,6 +11,7 @@ from pricewise.sources.tables import read_table
 
 from . import (bpe, chat, decontaminate, license_scan, pii, quality_model, quality_rules, simhash, url_filter,
                wordpiece)
+from .oracle import ORACLE  # noqa: F401 - registered with the queries
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,5 +77,3 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     return chat.digests(chat.format_turns(said.unionByName(more)))
 
-
-ORACLE: dict[str, str] = {}

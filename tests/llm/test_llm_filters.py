@@ -16,6 +16,15 @@ def documents(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_matches_sql(spark, name):
+    from oracle_harness import compare, duck
+    df = queries.REGISTRY[name](spark, SF_MED)
+    cur = duck(SF_MED).execute(queries.ORACLE[name])
+    ok, said = compare([tuple(r) for r in df.collect()], df.columns, cur.fetchall(), [d[0] for d in cur.description])
+    assert ok, said
+
+
 # ---- URL filters ---------------------------------------------------------------------------------
 
 def brute_url(url):
