@@ -26,19 +26,6 @@ def safe_int(col: Column, name: str = "value") -> Column:
                 col.cast("string")))).cast("bigint"))
 
 
-def money_mean(col: Column) -> Column:
-    """Mean of cent amounts, independent of summation order.
-
-    The sum runs in decimal (exact), one double division follows.
-    """
-    return (F.sum(col.cast("decimal(18,2)")).cast("double")
-            / F.count(col).cast("double"))
-
-
-def money_sum(col: Column) -> Column:
-    return F.sum(col.cast("decimal(18,2)")).cast("double")
-
-
 def clip(col: Column, lo, hi) -> Column:
     return F.least(F.greatest(col, F.lit(lo)), F.lit(hi))
 

@@ -7,8 +7,6 @@ applied with an equi join.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,34 +40,26 @@ def ordinal_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     return lv.select("feature", "level", (F.row_number().over(w) - 1).cast("bigint").alias("code"))
 
 
-def apply_ordinal(df: DataFrame, codes: DataFrame, column: str, out: str | None = None) -> DataFrame:
-    c = codes.where(F.col("feature") == column).select(
-        F.col("level").alias("_lvl"), F.col("code").alias("_code"))
-    c = F.broadcast(c) if broadcast_ok(codes) else c
-    j = df.join(c, df[column].cast("string") == c["_lvl"], "left")
-    return j.withColumn(out or f"{column}_code", F.coalesce("_code", F.lit(-1)).cast("double")) \
-        .drop("_lvl", "_code")
-
-
 def scaling_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Mean and population standard deviation per numeric feature (one pass)."""
     aggs = []
     for c in columns:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_pop(c).alias(f"{c}__sd")]
     wide = df.agg(*aggs)
-    rows = [wide.select(F.lit(c).alias("feature"), F.col(f"{c}__mean").alias("mean"),
-                        F.col(f"{c}__sd").alias("sd")) for c in columns]
-    return reduce(DataFrame.unionByName, rows)
+    cells = ", ".join(f"'{c}', {c}__mean, {c}__sd" for c in columns)
+    return wide.selectExpr(f"stack({len(columns)}, {cells}) AS (feature, mean, sd)")
 
 
 def rare_mapped(df: DataFrame, levels: DataFrame, columns: list[str]) -> DataFrame:
-    """Replace rare levels by the shared infrequent level (before indexing)."""
+    """Add ``{c}_enc`` columns: the level as text, rare ones as the shared infrequent level.
+
+    The caller's own columns stay as they are."""
     out = df
     for c in columns:
         m = levels.where((F.col("feature") == c) & F.col("is_rare")).select(
             F.col("level").alias(f"_r_{c}"))
         m = F.broadcast(m) if broadcast_ok(levels) else m
         out = out.join(m, out[c].cast("string") == m[f"_r_{c}"], "left") \
-            .withColumn(c, F.when(F.col(f"_r_{c}").isNotNull(), F.lit(RARE))
+            .withColumn(f"{c}_enc", F.when(F.col(f"_r_{c}").isNotNull(), F.lit(RARE))
                         .otherwise(F.col(c).cast("string"))).drop(f"_r_{c}")
     return out

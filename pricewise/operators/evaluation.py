@@ -30,7 +30,7 @@ def holdout_evaluation(rows: DataFrame, keys: list[str],
                 F.avg(F.when(F.col("_test"), seas_err)).alias("stage3_mae"))
     return out.withColumns({
         "mae_change": F.col("stage3_mae") - F.col("baseline_mae"),
-        "mae_change_percent": (F.col("stage3_mae") / F.col("baseline_mae") - 1.0) * 100,
+        "mae_change_percent": (F.try_divide(F.col("stage3_mae"), F.col("baseline_mae")) - 1.0) * 100,
     })
 
 
@@ -61,15 +61,13 @@ def unobserved_cells(sales: DataFrame) -> DataFrame:
 
 
 def catalogue(df: DataFrame) -> DataFrame:
-    """Make -> sorted distinct models ('|'-joined) and their number."""
-    per = df.groupBy("make").agg(F.array_sort(F.collect_set("model")).alias("_m"))
-    return per.select("make", F.array_join("_m", "|").alias("models"),
-                      F.size("_m").cast("bigint").alias("n_models"))
+    """Distinct (make, model) rows; a make may have any number of models."""
+    return df.select("make", "model").distinct()
 
 
 def listed_that_exist(factors: DataFrame, bodies: list[str]) -> DataFrame:
     """Factor rows of the listed bodies that exist in the table (semi join
-    against a literal list), kept in the table's order."""
+    against a literal list), in no particular order."""
     spark = factors.sparkSession
     wanted = spark.createDataFrame([(b,) for b in bodies], "body string")
     return factors.join(F.broadcast(wanted), "body", "left_semi")  # the list is a parameter

@@ -72,7 +72,7 @@ def align(series_long: DataFrame, names: list[str], start: str | None = None,
     """
     wide = (series_long.groupBy(MONTH).pivot(series_col, names)
             .agg(F.max(value_col)))
-    wide = wide.where(F.greatest(*[F.col(n).isNotNull() for n in names]))
+    wide = wide.where(F.coalesce(*[F.col(n) for n in names]).isNotNull())
     if start:
         wide = wide.where(F.col(MONTH) >= F.lit(start))
     return wide
@@ -127,9 +127,10 @@ def strict_lookup(sales: DataFrame, index: DataFrame, value_col: str = "cpi_mult
                   on_missing: str = "raise") -> DataFrame:
     """Exact-month lookup of ``value_col``.
 
-    ``raise``     the joined rows are materialised once; if any month has no
-                  index value the call fails with the sorted list of all
-                  missing months (a list bounded by the calendar).
+    ``raise``     the distinct months of the facts are held against the index
+                  first; if any has no value the call fails with the sorted
+                  list of them (bounded by the calendar). Facts are joined
+                  once, later, and are not kept.
     ``fail_fast`` no extra action: the first unmatched row fails its task.
     ``keep``      unmatched rows keep a null value.
     """
@@ -138,16 +139,15 @@ def strict_lookup(sales: DataFrame, index: DataFrame, value_col: str = "cpi_mult
         return j
     if on_missing == "fail_fast":
         return j.withColumn(value_col, F.when(F.col(value_col).isNull(), F.raise_error(F.concat(
-            F.lit("Missing CPI multipliers for historical sale months: "), F.col(MONTH))))
+            F.lit("no index value for month "), F.col(MONTH))))
             .otherwise(F.col(value_col)))
     if on_missing != "raise":
         raise ValueError("on_missing must be 'raise', 'fail_fast' or 'keep'")
-    j = materialise(j)
-    missing = [r[0] for r in j.where(F.col(value_col).isNull()).select(MONTH).distinct()
+    known = index.where(F.col(value_col).isNotNull()).select(MONTH)
+    missing = [r[0] for r in sales.select(MONTH).distinct().join(known, MONTH, "left_anti")
                .orderBy(MONTH).collect()]
     if missing:
-        raise ValueError("Missing CPI multipliers for historical sale months: "
-                         + ", ".join(str(m) for m in missing))
+        raise ValueError("no index value for months: " + ", ".join(str(m) for m in missing))
     return j
 
 

@@ -20,9 +20,6 @@ from pricewise.operators.features import at_reference_point, restore_point
 from pricewise.operators.index import asof_lookup
 from pricewise.operators.seasonality import Predictor, lookup_factors
 
-QUOTE_INPUT = ["model_year", "odometer", "condition", "make", "model", "body",
-               "target_year", "target_month"]
-
 
 def quote(vehicles: DataFrame, predict: Predictor, index: DataFrame, factors: DataFrame,
           cfg: SeasonalityConfig = DEFAULT_SEASONALITY, max_age: int = 30,

@@ -22,7 +22,10 @@ sale AS (
          nullif(l_discount * 50, 0.0) AS condition,
          nullif(l_returnflag, 'N') AS transmission,
          l_extendedprice AS sellingprice
-  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey)"""
+
+# some (body, month) cells without a sale, one sparse body
+SPARSE_SALE = SALE.rstrip()[:-1] + """
   WHERE NOT (p_type = 'LARGE' AND month(l_shipdate) BETWEEN 8 AND 11)
     AND NOT (p_type = 'PROMO' AND l_quantity > 5))"""
 
@@ -143,6 +146,7 @@ CHAIN = with_(SALE, INDEX, FRAME, ROWS, FACTORS)
 ORACLE: dict[str, str] = {}
 
 ORACLE["seasonality_factors"] = CHAIN + "SELECT * FROM factors"
+ORACLE["seasonality_factors_sparse"] = with_(SPARSE_SALE, INDEX, FRAME, ROWS, FACTORS) + "SELECT * FROM factors"
 
 ORACLE["quote_chain"] = with_(SALE, INDEX, FRAME, ROWS, FACTORS) + """,
 fallback AS (SELECT CAST(sum(CAST(sellingprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS fb FROM frame),
@@ -312,14 +316,12 @@ SELECT {KEYS}, vehicle_age, year_month, sale_month, make, model, odometer, condi
        sellingprice
 FROM sale WHERE {_FEATURE_OK}"""
 
-ORACLE["modeling_frame"] = with_(SALE) + f"""
-SELECT {KEYS}, vehicle_age, sale_month, odometer, condition, year_month, make, model, body, sellingprice
-FROM sale
-WHERE vehicle_age IS NOT NULL AND sale_month IS NOT NULL AND odometer IS NOT NULL
-  AND condition IS NOT NULL AND year_month IS NOT NULL AND make IS NOT NULL
-  AND model IS NOT NULL AND body IS NOT NULL AND sellingprice IS NOT NULL
-  AND sellingprice BETWEEN 5000 AND 100000 AND odometer BETWEEN 1000 AND 45000
-  AND vehicle_age BETWEEN 0 AND 5
+_FRAME_COLUMNS = "vehicle_age, sale_month, odometer, condition, year_month, make, model, body, sellingprice"
+ORACLE["modeling_frame"] = with_(SALE, FRAME) + f"""
+SELECT {KEYS}, {_FRAME_COLUMNS} FROM frame"""
+
+ORACLE["modeling_sample"] = with_(SALE, FRAME) + f"""
+SELECT {KEYS}, {_FRAME_COLUMNS} FROM frame
 ORDER BY md5(concat_ws('|', {KEYS}, '42')), {KEYS}
 LIMIT 10000"""
 
@@ -533,7 +535,7 @@ cov AS (
 top AS (SELECT * FROM per ORDER BY total_observations DESC, body ASC LIMIT 12)
 SELECT top.*, cov.* FROM top CROSS JOIN cov"""
 
-ORACLE["unobserved_months"] = with_(SALE) + """,
+ORACLE["unobserved_months"] = with_(SPARSE_SALE) + """,
 s AS (SELECT DISTINCT lower(trim(body)) AS body, sale_month FROM sale),
 grid AS (SELECT b.body, CAST(m.m AS BIGINT) AS sale_month
          FROM (SELECT DISTINCT body FROM s) b CROSS JOIN range(1, 13) m(m)),
@@ -544,9 +546,7 @@ FROM grid g JOIN mn ON mn.m = g.sale_month
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.body = g.body AND s.sale_month = g.sale_month)"""
 
 ORACLE["catalogue"] = """
-SELECT p_brand AS make, array_to_string(list_sort(list_distinct(list(p_name))), '|') AS models,
-       CAST(count(DISTINCT p_name) AS BIGINT) AS n_models
-FROM part GROUP BY p_brand"""
+SELECT DISTINCT p_brand AS make, p_name AS model FROM part"""
 
 _CATS = ["year_month", "make", "model", "body"]
 _LEVELS = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS level FROM frame"

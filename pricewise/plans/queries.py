@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricewise.config import (FEATURE_COLUMNS, FORWARD_PROJECTION_MONTHS, PREDICTION_FLOOR,
-                              RANDOM_STATE, TEST_BOUNDS)
+                              DEFAULT_BOUNDS, RANDOM_STATE)
 from pricewise.functions.dates import parse_sale_time, utc_text, year_month
 from pricewise.functions.numeric import coerce_number, r6, safe_int
 from pricewise.functions.text import normalize_category
@@ -36,7 +36,8 @@ from pricewise.operators.seasonality import backfill_factor_columns, lookup_fact
 from pricewise.operators.split import bucket, is_test, key_text, seeded_sample, split
 from pricewise.plans.context import Chain
 from pricewise.plans.fixtures import (INDEX_BASE_YEAR, INDEX_SERIES, SALE_KEY, gappy_price_index,
-                                      price_series, sale_view, series_long)
+                                      price_series, sale_view, series_long,
+                                      sparse_sale_view)
 from pricewise.sources.sinks import scratch_path, write_table
 from pricewise.sources.tables import read_table
 
@@ -213,12 +214,16 @@ def q_feature_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("modeling_frame")
 def q_modeling_frame(spark: SparkSession, sf: str) -> DataFrame:
-    s = sale_view(spark, sf)
-    frame = modeling_frame(s, TEST_BOUNDS, key=SALE_KEY)
-    return seeded_sample(frame, MODELING_SAMPLE_ROWS, SALE_KEY, RANDOM_STATE)
+    return modeling_frame(sale_view(spark, sf), DEFAULT_BOUNDS, key=SALE_KEY)
+
+
+MODELING_SAMPLE_ROWS = 10_000       # of the sampling operator; a parameter of the original
 
 
-MODELING_SAMPLE_ROWS = 10_000
+@register("modeling_sample")
+def q_modeling_sample(spark: SparkSession, sf: str) -> DataFrame:
+    frame = modeling_frame(sale_view(spark, sf), DEFAULT_BOUNDS, key=SALE_KEY)
+    return seeded_sample(frame, MODELING_SAMPLE_ROWS, SALE_KEY, RANDOM_STATE)
 
 
 # ------------------------------------------------------------------ index
@@ -441,9 +446,17 @@ def q_example_bodies(spark: SparkSession, sf: str) -> DataFrame:
                     "observations", "confidence")
 
 
+@register("seasonality_factors_sparse")
+def q_seasonality_factors_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """The factor table where some months have no sale and one body few."""
+    c = Chain(spark, sf)
+    c._cache["sales"] = sparse_sale_view(spark, sf)
+    return c.factors
+
+
 @register("unobserved_months")
 def q_unobserved_months(spark: SparkSession, sf: str) -> DataFrame:
-    return unobserved_cells(sale_view(spark, sf))
+    return unobserved_cells(sparse_sale_view(spark, sf))
 
 
 @register("catalogue")

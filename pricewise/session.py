@@ -30,8 +30,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app_name: str = "pricewise", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the operators rely on.
 
-    On a cluster the session normally exists already; then only the
-    SQL settings above are applied to it.
+    On a cluster the session normally exists already; then only its time
+    zone and adaptive settings are set, and its shuffle partitions are left.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -43,7 +43,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         conf.update(extra)
     for k, v in conf.items():
         builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    spark = SparkSession.getActiveSession() or builder.getOrCreate()
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(k, conf[k])
@@ -56,8 +56,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a folder on shared storage and is used
-    as it is. Only when it is unset (local runs and tests) a scratch folder
-    is created and registered.
+    as it is. Only when it is unset in local mode (tests) a scratch folder
+    is created and registered; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +66,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="pricewise-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,4 +1,4 @@
-"""Table sinks, run records and their partial update, model persistence.
+"""Table sinks, run records and their partial update.
 
 Scratch outputs go below the shared ``spark.checkpoint.dir`` (never a
 machine-local folder on a cluster).
@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,20 +44,12 @@ def update_run_record(spark: SparkSession, path: str, field: str, value: DataFra
     being read cannot be overwritten). Returns None if no record exists."""
     try:
         rec = spark.read.json(path)
-    except Exception:  # noqa: BLE001 - missing record: skip with notice
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         print(f"run record not found, skipped: {path}")
         return None
     arr = value.agg(F.collect_list(F.struct(*value.columns)).alias(field))
     out = rec.drop(field).crossJoin(arr) if field in rec.columns else rec.crossJoin(arr)
     out.coalesce(1).write.mode("overwrite").json(out_path)
     return out_path
-
-
-def save_model(model, path: str) -> str:
-    model.write().overwrite().save(path)
-    return path
-
-
-def load_model(path: str):
-    from pyspark.ml import PipelineModel
-    return PipelineModel.load(path)

@@ -37,11 +37,3 @@ def spread_narrow_scan(df: DataFrame) -> DataFrame:
     """
     par = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(par) if df.rdd.getNumPartitions() < par else df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every table as a temp view so Spark SQL can run on it."""
-    for name in names:
-        p = table_path(sf_dir, name)
-        if os.path.exists(p):
-            spark.read.parquet(p).createOrReplaceTempView(name)
