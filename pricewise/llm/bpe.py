@@ -39,7 +39,8 @@ from .base import small_batches, text_bytes
 MAX_STATES = 250_000        # lazily built transducer states kept per worker
 MAX_FITS = 300_000          # checked token pairs kept per worker
 EMIT_EVERY = 256            # bytes of one pre-token between two emissions
-MAX_MEMO = 400_000          # pre-tokens whose ids are kept per worker
+MAX_MEMO = 500_000          # pre-tokens whose ids are kept per worker
+SEEN_BYTES = 1 << 22        # size of the map of pre-tokens seen once
 MEMO_BYTES = 48             # longer pre-tokens always run through the transducer
 DECODE_STEP = 65_536        # ids decoded at a time
 
@@ -196,18 +197,30 @@ class Transducer:
 
 
 class _Memo(dict):
-    """Pre-token to its ids as little-endian bytes; short ones are kept."""
+    """Pre-token to its ids as little-endian bytes.
+
+    Short ones are kept from their second occurrence on: a bitmap of hashes
+    remembers first ones, so rare words do not drive out frequent ones. When
+    full, the older half of the entries goes.
+    """
 
     def __init__(self, machine: Transducer):
         super().__init__()
         self.machine = machine
+        self.seen = bytearray(SEEN_BYTES)
 
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode("utf-8")
         ids = _le(array("I", self.machine.tokens(data)))
         if len(data) <= MEMO_BYTES:
+            at = hash(piece) % SEEN_BYTES
+            if not self.seen[at]:
+                self.seen[at] = 1
+                return ids
             if len(self) >= MAX_MEMO:
-                self.clear()
+                for old in list(self)[:MAX_MEMO // 2]:
+                    del self[old]
+                self.seen = bytearray(SEEN_BYTES)
             self[piece] = ids
         return ids
 
