@@ -48,14 +48,15 @@ def fit_group_baseline(train: DataFrame, keys=("make", "body"), target: str = TA
     return GroupBaseline(table.drop("_sum"), keys, fallback)
 
 
-def scalar_median(df: DataFrame, value: str, out: str = "median", mode: str = "auto") -> DataFrame:
-    """One-row median of a column; ``ranked`` spreads the sort over all tasks."""
+def scalar_median(df: DataFrame, value: str, out: str = "median",
+                  partitions: int | None = None) -> DataFrame:
+    """One-row median of a column; the values are spread over all tasks."""
     g = df.select(F.lit(0).alias("_g"), value)
-    return grouped_median(g, ["_g"], value, out=out, count_col="_n", mode=mode).select(out)
+    return grouped_median(g, ["_g"], value, out=out, count_col="_n", partitions=partitions).select(out)
 
 
 def median_baseline(train: DataFrame, test: DataFrame, target: str = TARGET_COLUMN,
-                    out: str = "prediction", mode: str = "auto") -> DataFrame:
+                    out: str = "prediction") -> DataFrame:
     """Every test row gets the median of the training target (a fitted scalar)."""
-    med = scalar_median(train, target, "_m", mode).first()["_m"]
-    return test.withColumn(out, F.lit(med).cast("double"))
+    med = scalar_median(train, target, "_m").first()
+    return test.withColumn(out, F.lit(med["_m"] if med else None).cast("double"))

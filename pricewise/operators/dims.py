@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 # Rows up to which a derived dimension is broadcast (checked, not assumed).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Size of its cached rows up to which it is broadcast, whatever their number.
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -16,8 +18,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def cached_bytes(df: DataFrame) -> int:
+    """Size of a persisted and counted frame, from the statistics of its cached rows."""
+    return int(str(df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
+    """Broadcast ``df`` only if it has at most ``max_rows`` rows and ``MAX_BROADCAST_BYTES``.
 
     The table is materialised first, so the size check and the later join
     read the same rows and the upstream plan runs once. Beyond the limit the
@@ -26,7 +33,7 @@ def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """
     limit = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
     df = materialise(df)
-    ok = df.count() <= limit
+    ok = df.count() <= limit and cached_bytes(df) <= MAX_BROADCAST_BYTES
     out = F.broadcast(df) if ok else df
     out._broadcast_ok = ok      # consumers of projections of ``out`` re-apply the verdict
     return out

@@ -109,10 +109,19 @@ def build_index(series_long: DataFrame, names: list[str], price_series: str,
     return base_ratio(wide, price_series, base_year)
 
 
+def unique_months(index: DataFrame) -> DataFrame:
+    """The index as it is; a month that occurs twice fails the job."""
+    n = F.count(MONTH).over(Window.partitionBy(MONTH))
+    checked = F.when(n > 1, F.raise_error(F.concat(F.lit("index month occurs twice: "), F.col(MONTH)))) \
+        .otherwise(F.col(MONTH))
+    return index.withColumn(MONTH, checked)
+
+
 # ---------------------------------------------------------------- J1 / J4
 def enrich(sales: DataFrame, index: DataFrame) -> DataFrame:
     """Left equi join of sales with every index column on year_month."""
-    return sales.join(index, MONTH, "left")
+    checked = unique_months(index)
+    return sales.join(F.broadcast(checked) if dims.broadcast_ok(index) else checked, MONTH, "left")
 
 
 def missing_months(sales: DataFrame, index: DataFrame, value_col: str = "cpi_multiplier") -> DataFrame:
@@ -134,7 +143,8 @@ def strict_lookup(sales: DataFrame, index: DataFrame, value_col: str = "cpi_mult
     ``fail_fast`` no extra action: the first unmatched row fails its task.
     ``keep``      unmatched rows keep a null value.
     """
-    j = sales.join(index.select(MONTH, value_col), MONTH, "left")
+    checked = unique_months(index.select(MONTH, value_col))
+    j = sales.join(F.broadcast(checked) if dims.broadcast_ok(index) else checked, MONTH, "left")
     if on_missing == "keep":
         return j
     if on_missing == "fail_fast":
@@ -182,7 +192,7 @@ def asof_lookup(facts: DataFrame, index: DataFrame, cols: list[str],
     year), so it is broadcast after a size check; the fact side is never
     shuffled. The two range bounds are read once to the driver.
     """
-    cal = materialise(dense_calendar(index, cols))
+    cal = materialise(dense_calendar(unique_months(index.select(MONTH, *cols)), cols))
     # one job gives both the size check and the range bounds
     first = cal.agg(F.count(F.lit(1)).alias("n"), F.min(MONTH).alias("lo"),
                     F.max(MONTH).alias("hi")).first()

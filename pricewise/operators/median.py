@@ -1,18 +1,14 @@
-"""Exact grouped medians: one function, four modes.
+"""Grouped medians by one method for every group size.
 
-``exact``   built-in ``median`` (= ``percentile(x, 0.5)``, linear interpolation).
-            Partial aggregation, but each group's buffer holds all of its
-            distinct values in one reduce task: fine while groups are small.
-``ranked``  range-partitioned exact median. Rows are range partitioned on
-            (group keys, value) and sorted, so a hot group is spread over many
-            tasks. Per-partition counts give each partition's rank offset; the
-            one or two middle ranks are then picked by position. No group ever
-            has to fit in one task. Same result as ``exact`` (property-tested).
-``approx``  ``percentile_approx(x, 0.5, accuracy)``: bounded memory, returns an
-            element of the data (no interpolation on even counts).
-``auto``    (default) counts rows per group first; ``exact`` while the largest
-            group has at most ``max_group_rows`` rows, else ``ranked``. Both
-            give the same values, so the choice only affects the plan.
+Equal values are counted first (partial aggregation folds heavy ties), then the
+distinct (group, value) rows are range partitioned, so a hot group is spread
+over many tasks. Counts per partition give each partition's rank offset; only
+the one or two partitions that hold the middle ranks are summed up row by row.
+No group has to fit in one task. Null keys form a group like any other; null
+values count as rows but take no part in the median.
+
+With ``accuracy`` the built-in ``percentile_approx`` is used instead: bounded
+memory, and an element of the data (no interpolation on even counts).
 """
 
 from __future__ import annotations
@@ -21,62 +17,47 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewise.operators.dims import checked_broadcast
-
-MODES = ("auto", "exact", "ranked", "approx")
-# Largest group the built-in exact median may hold in one task's buffer.
-MAX_GROUP_ROWS = 5_000_000
-
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
-                   count_col: str = "n", mode: str = "auto",
-                   accuracy: int = 10_000, partitions: int | None = None,
-                   max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                   count_col: str = "n", accuracy: int | None = None,
+                   partitions: int | None = None) -> DataFrame:
     """One row per group: ``keys``, median of ``value`` as ``out``, row count as ``count_col``."""
-    if mode not in MODES:
-        raise ValueError(f"unknown median mode {mode!r}; use one of {MODES}")
-    if mode == "auto":
-        largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        mode = "exact" if largest <= max_group_rows else "ranked"
-    if mode == "exact":
-        return df.groupBy(*keys).agg(F.median(value).alias(out),
-                                     F.count(F.lit(1)).alias(count_col))
-    if mode == "approx":
+    if accuracy is not None:
         return df.groupBy(*keys).agg(
             F.percentile_approx(value, 0.5, accuracy).cast("double").alias(out),
             F.count(F.lit(1)).alias(count_col))
-    return _ranked_median(df, keys, value, out, count_col, partitions)
-
-
-def _ranked_median(df: DataFrame, keys: list[str], value: str, out: str,
-                   count_col: str, partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Null values do not take part in a median but the group still counts them.
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col),
-                                   F.count(value).alias("_nv"))
-    ordered = (df.select(*keys, value).where(F.col(value).isNotNull())
-               .repartitionByRange(n_parts, *keys, value)
-               .sortWithinPartitions(*keys, value)
-               .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_pos", F.monotonically_increasing_id()))
-    # positions are only meaningful for one materialisation of the sort
-    ordered = ordered.persist(StorageLevel.MEMORY_AND_DISK)
-    part = (ordered.groupBy(*keys, "_pid")
-            .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_pos0")))
-    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    part = part.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    part = part.join(counts.select(*keys, "_nv"), keys)
-    ranks = F.array(F.floor((F.col("_nv") - 1) / 2).cast("bigint"),
-                    F.ceil((F.col("_nv") - 1) / 2).cast("bigint"))
-    targets = (part.select(*keys, "_pid", "_off", "_cnt", "_pos0", F.explode(F.array_distinct(ranks)).alias("_rank"))
-               .where((F.col("_rank") >= F.col("_off")) & (F.col("_rank") < F.col("_off") + F.col("_cnt")))
-               .select(*keys, "_pid", (F.col("_pos0") + F.col("_rank") - F.col("_off")).alias("_pos"),
-                       "_rank"))
-    # at most two target rows per group; broadcast after a size check
-    picked = ordered.join(checked_broadcast(targets), [*keys, "_pid", "_pos"])
-    med = picked.groupBy(*keys).agg(
-        F.min_by(value, "_rank").alias("_lo"), F.max_by(value, "_rank").alias("_hi"))
-    med = med.select(*keys, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo"))
-                     .otherwise(F.col("_lo") * 0.5 + F.col("_hi") * 0.5).alias(out))
-    return counts.join(med, keys, "left").select(*keys, out, count_col)
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = df.groupBy(*keys, F.col(value).alias("_x")).agg(F.count(F.lit(1)).alias("_rows"))
+    cells = cells.withColumn("_w", F.when(F.col("_x").isNull(), 0).otherwise(F.col("_rows")))
+    # the partition number of a row is only meaningful for one materialisation
+    cells = (cells.repartitionByRange(n_parts, *keys, "_x")
+             .withColumn("_pid", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK))
+
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = cells.groupBy(*keys, "_pid").agg(F.sum("_rows").alias("_rows"), F.sum("_w").alias("_w"))
+    parts = parts.select(*keys, "_pid", "_w", F.sum("_rows").over(group).alias(count_col),
+                         F.sum("_w").over(group).alias("_all"),
+                         F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_before"))
+    lo, hi = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    middle = parts.where((F.col("_before") <= hi) & (F.col("_before") + F.col("_w") > lo)).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_k_pid"), "_all", "_before")
+
+    same = cells["_pid"] == middle["_k_pid"]
+    for k in keys:
+        same = same & cells[k].eqNullSafe(middle[f"_k_{k}"])
+    run = Window.partitionBy(*keys, "_pid").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_before") + F.sum("_w").over(run)
+    ranked = cells.join(middle, same).select(*keys, "_x", "_all", "_w", end.alias("_end"))
+
+    def at(rank):
+        return F.when((rank >= F.col("_end") - F.col("_w")) & (rank < F.col("_end")),
+                      F.col("_x").cast("double"))
+
+    none = F.lit(None)
+    rows = (parts.select(*keys, count_col, none.cast("double").alias("_lo"), none.cast("double").alias("_hi"))
+            .unionByName(ranked.select(*keys, none.cast("bigint").alias(count_col),
+                                       at(lo).alias("_lo"), at(hi).alias("_hi"))))
+    both = rows.groupBy(*keys).agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
+                                   F.max(count_col).alias(count_col))
+    return both.select(*keys, (F.col("_lo") * 0.5 + F.col("_hi") * 0.5).alias(out), count_col)

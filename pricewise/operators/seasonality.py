@@ -20,7 +20,7 @@ from pricewise.functions.text import normalize_key
 from pricewise.operators.dims import broadcast_ok, checked_broadcast
 from pricewise.operators.features import apply_bounds, at_reference_point, restore_point
 from pricewise.operators.index import strict_lookup
-from pricewise.operators.median import MAX_GROUP_ROWS, grouped_median
+from pricewise.operators.median import grouped_median
 
 Predictor = Callable[[DataFrame], DataFrame]   # adds a ``prediction`` column
 
@@ -64,22 +64,13 @@ def month_grid(bodies: DataFrame) -> DataFrame:
 
 def seasonality_factors(rows: DataFrame, cfg: SeasonalityConfig = DEFAULT_SEASONALITY) -> DataFrame:
     """Shrunken, clipped body x month factors with best/worst month (18 columns)."""
-    mode_body = mode_cell = cfg.median_mode
-    if cfg.median_mode == "auto":
-        # one count job decides both median levels
-        cells_n = rows.groupBy("body", "sale_month").count()
-        st = cells_n.groupBy("body").agg(F.sum("count").alias("b"), F.max("count").alias("c")) \
-            .agg(F.max("b").alias("b"), F.max("c").alias("c")).first()
-        mode_body = "exact" if (st["b"] or 0) <= MAX_GROUP_ROWS else "ranked"
-        mode_cell = "exact" if (st["c"] or 0) <= MAX_GROUP_ROWS else "ranked"
     body = grouped_median(rows, ["body"], "price_ratio", out="body_ratio_median",
-                          count_col="body_observations", mode=mode_body)
+                          count_col="body_observations")
     # one row per body, materialised once and joined back to every row of that body
     body = checked_broadcast(body)
     rel = rows.join(body.select("body", "body_ratio_median"), "body") \
         .withColumn("relative_ratio", F.col("price_ratio") / F.col("body_ratio_median"))
-    cells = grouped_median(rel, ["body", "sale_month"], "relative_ratio", out="raw", count_col="n",
-                           mode=mode_cell)
+    cells = grouped_median(rel, ["body", "sale_month"], "relative_ratio", out="raw", count_col="n")
     grid = month_grid(body.select("body", "body_observations"))
     g = grid.join(cells, ["body", "sale_month"], "left")
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")

@@ -37,20 +37,10 @@ def split(df: DataFrame, keys: list[str], test_percent: int = TEST_PERCENT):
 def seeded_sample(df: DataFrame, n: int, keys: list[str], seed: int = RANDOM_STATE) -> DataFrame:
     """Exactly ``n`` rows (all rows if there are not more), chosen by md5(key|seed).
 
-    Rows are ranked by the hash; a hash-prefix threshold first keeps a little
-    more than ``n`` candidates (a filter, no shuffle), so the final ordered
-    limit only sorts about ``n`` rows instead of the whole table.
+    Rows are counted first, since a task sets aside room for ``n`` rows however
+    few there are. Then every task keeps its ``n`` smallest hashes, which are
+    merged: ``n``, a parameter, bounds what one task holds.
     """
-    if n <= 0:
+    if n <= 0 or df.count() <= n:
         return df
-    h = F.md5(key_text(keys, seed))
-    df = df.withColumn("_h", h)
-    total = df.count()
-    if total <= n:
-        return df.drop("_h")
-    frac = min(1.0, n / total * 1.05 + 1_000 / total)
-    cut = int(frac * 2 ** 32)
-    cand = df.where(F.conv(F.substring("_h", 1, 8), 16, 10).cast("bigint") < F.lit(cut))
-    if frac < 1.0 and cand.count() < n:
-        cand = df
-    return cand.orderBy("_h", *keys).limit(n).drop("_h")
+    return df.withColumn("_h", F.md5(key_text(keys, seed))).orderBy("_h", *keys).limit(n).drop("_h")

@@ -204,7 +204,7 @@ def norm_category(x: str) -> str:
             f"'navitgation', 'navigation'), '')")
 
 
-ORACLE["record_repair"] = f"""
+REPAIRED = f"""
 WITH lp AS (
   SELECT 'p' || CAST(p_partkey AS VARCHAR) AS line_id,
          concat_ws(',', CAST(1990 + p_size % 30 AS VARCHAR), p_brand, p_name,
@@ -237,7 +237,9 @@ rep AS (
          CASE WHEN len(f) = 16 THEN f
               WHEN len(f) = 17 THEN list_concat(f[1:3], [f[4] || ', ' || {STRIP_U.format(x='f[5]')}], f[6:17])
          END AS g
-  FROM tok)
+  FROM tok)"""
+
+ORACLE["record_repair"] = REPAIRED + """
 SELECT line_id, n_fields, status, g[1] AS year, g[2] AS make, g[3] AS model, g[4] AS trim,
        g[5] AS body, g[7] AS vin, g[15] AS sellingprice
 FROM rep"""
@@ -259,6 +261,37 @@ SELECT source, id, raw,
        CASE WHEN regexp_matches(t, '{_NUM}') THEN TRY_CAST(t AS DOUBLE) END AS value
 FROM s"""
 
+_RAW = ["year", "make", "model", "trim", "body", "transmission", "vin", "state", "condition",
+        "odometer", "color", "interior", "seller", "mmr", "sellingprice", "saledate"]
+
+
+def _clean(i: int, name: str) -> str:
+    """Typed value of field ``i`` of a repaired record."""
+    number = f"CASE WHEN regexp_matches(trim(g[{i}]), '{_NUM}') THEN TRY_CAST(trim(g[{i}]) AS DOUBLE) END"
+    if name in ("year", "odometer", "mmr", "sellingprice"):
+        return f"CAST({number} AS BIGINT) AS {name}"
+    if name == "condition":
+        return f"{number} AS {name}"
+    if name == "saledate":
+        return (f"strftime(timezone('UTC', try_strptime(regexp_replace(g[{i}], ' \\([A-Z]{{3}}\\)$', ''), "
+                f"'%a %b %d %Y %H:%M:%S GMT%z')), '%Y-%m-%d %H:%M:%S') || '+0000' AS {name}")
+    text = norm_category(f"g[{i}]")
+    return (f"coalesce({text}, 'unknown')" if name == "transmission" else text) + f" AS {name}"
+
+
+CLEANED = REPAIRED + f""",
+clean AS (SELECT line_id, {", ".join(_clean(i, c) for i, c in enumerate(_RAW, 1))}
+          FROM rep WHERE status <> 'bad')"""
+
+ORACLE["clean_sales"] = CLEANED + """
+SELECT * FROM clean WHERE sellingprice IS NOT NULL AND odometer IS NOT NULL"""
+
+ORACLE["cleaning_accounting"] = CLEANED + """,
+written AS (SELECT count(*) AS n FROM clean WHERE sellingprice IS NOT NULL AND odometer IS NOT NULL)
+SELECT CAST(count(*) AS BIGINT) AS rows_loaded, CAST(any_value(n) AS BIGINT) AS rows_written,
+       CAST(count(*) - any_value(n) AS BIGINT) AS rows_removed
+FROM rep, written"""
+
 ORACLE["category_normalise"] = f"""
 WITH a AS (
   SELECT 'part' AS source, CAST(p_partkey AS VARCHAR) AS id,
@@ -578,3 +611,46 @@ FROM frame GROUP BY body"""
 ORACLE["example_bodies"] = CHAIN + """
 SELECT body, sale_month, month_name, seasonal_factor, seasonal_delta_pct, observations, confidence
 FROM factors WHERE body IN (SELECT * FROM (VALUES ('compact'), ('coupe'), ('large'), ('suv')) v(b))"""
+
+
+def normal_equations(alpha: float) -> str:
+    """Ridge coefficients on scaled numeric features (``alpha`` 0: least squares).
+
+    Gaussian elimination without pivoting on the 4 x 4 system, one CTE a step;
+    the matrix is positive definite.
+    """
+    x = ["vehicle_age", "sale_month", "odometer", "condition"]
+    n = len(x)
+    corr = [f"(count(*) - 1) * corr({x[i]}, {x[j]}) + {alpha if i == j else 0.0} AS a{i}{j}"
+            for i in range(n) for j in range(n)]
+    rhs = [f"(count(*) - 1) * covar_samp({c}, ln(1 + sellingprice)) / stddev_samp({c}) AS a{i}{n}"
+           for i, c in enumerate(x)]
+    ctes = [f"e0 AS (SELECT avg(ln(1 + sellingprice)) AS b, {', '.join(corr + rhs)} FROM frame)"]
+    for k in range(n):
+        row = [f"a{k}{j} / a{k}{k} AS a{k}{j}" for j in range(n + 1)]
+        rest = [f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}"
+                for i in range(n) if i != k for j in range(n + 1)]
+        ctes.append(f"e{k + 1} AS (SELECT b, {', '.join(row + rest)} FROM e{k})")
+    rows = [f"SELECT '{c}' AS feature, round(a{i}{n}, 8) AS coefficient FROM e{n}" for i, c in enumerate(x)]
+    rows.append(f"SELECT '(intercept)' AS feature, round(b, 8) AS coefficient FROM e{n}")
+    return with_(SALE, FRAME) + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(rows)
+
+
+ORACLE["linear_coefficients"] = normal_equations(0.0)
+ORACLE["ridge_coefficients"] = normal_equations(10.0)
+# the penalty exceeds every covariance with the log price: only the intercept is left
+ORACLE["lasso_coefficients"] = with_(SALE, FRAME) + """
+SELECT unnest(['vehicle_age', 'sale_month', 'odometer', 'condition', '(intercept)']) AS feature,
+       unnest([0.0, 0.0, 0.0, 0.0, round(avg(ln(1 + sellingprice)), 8)]) AS coefficient
+FROM frame"""
+
+ORACLE["tree_stump"] = with_(SALE, FRAME) + """,
+per AS (SELECT make, count(*) AS n, sum(ln(1 + sellingprice)) AS s FROM frame GROUP BY make),
+run AS (SELECT make, row_number() OVER (ORDER BY make) - 1 AS code, n, s,
+               sum(n) OVER (ORDER BY make) AS nl, sum(s) OVER (ORDER BY make) AS sl,
+               sum(n) OVER () AS na, sum(s) OVER () AS sa FROM per),
+best AS (SELECT code AS cut, sl / nl AS lo, (sa - sl) / (na - nl) AS hi FROM run WHERE nl < na
+         ORDER BY sl * sl / nl + (sa - sl) * (sa - sl) / (na - nl) DESC, code LIMIT 1)
+SELECT make AS level, CAST(code AS BIGINT) AS code,
+       round(CASE WHEN code <= cut THEN lo ELSE hi END, 8) AS log_price
+FROM run, best"""

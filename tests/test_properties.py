@@ -1,12 +1,13 @@
 """Properties that must hold on any input, plans, and a golden projection."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from pricewise.config import FORWARD_PROJECTION_MONTHS, SeasonalityConfig
+from pricewise.config import FORWARD_PROJECTION_MONTHS
 from pricewise.operators.baseline import scalar_median
 from pricewise.operators.index import asof_lookup, base_ratio
 from pricewise.operators.median import grouped_median
@@ -17,27 +18,36 @@ from pricewise.plans.fixtures import SALE_KEY
 from pricewise.plans.queries import REGISTRY
 
 
-def test_ranked_median_equals_exact(spark):
+def test_median_of_hot_groups_ties_and_nulls(spark):
     rnd = random.Random(7)
     data = []
-    for g, n in [("hot", 3001), ("even", 40), ("one", 1), ("two", 2)]:
-        data += [(g, float(rnd.randint(0, 50)) / 7.0) for _ in range(n)]
-    data += [("nulls", None), ("nulls", 3.0)]
-    df = spark.createDataFrame(data, "g string, v double")
-    exact = {r["g"]: (r["median"], r["n"]) for r in grouped_median(df, ["g"], "v").collect()}
+    for g, n in [("hot", 3001), ("even", 40), ("one", 1), ("two", 2), (None, 4)]:
+        data += [(g, rnd.choice([None, "x"]), float(rnd.randint(0, 50)) / 7.0) for _ in range(n)]
+    data += [("ties", "x", 2.0)] * 5000 + [("ties", "x", 1.0)] * 4999 + [(None, None, 1.0), (None, None, 3.0)]
+    data += [("nulls", "x", None), ("nulls", "x", 3.0), ("none", "x", None)]
+    want = {}
+    for g, h, v in data:
+        want.setdefault((g, h), []).append(v)
+    want = {k: (statistics.median(x for x in v if x is not None) if any(x is not None for x in v) else None, len(v))
+            for k, v in want.items()}
+    df = spark.createDataFrame(data, "g string, h string, v double")
     for parts in (1, 3, 7):
-        ranked = {r["g"]: (r["median"], r["n"])
-                  for r in grouped_median(df, ["g"], "v", mode="ranked", partitions=parts).collect()}
-        assert ranked == exact
+        got = {(r["g"], r["h"]): (r["median"], r["n"])
+               for r in grouped_median(df, ["g", "h"], "v", partitions=parts).collect()}
+        assert got.keys() == want.keys()
+        for k, (m, n) in want.items():
+            assert got[k][1] == n
+            assert got[k][0] == (m if m is None else pytest.approx(m, rel=1e-15))
+    assert grouped_median(df.limit(0), ["g"], "v").count() == 0
+    spark.catalog.clearCache()
 
 
-def test_factors_invariant_to_median_mode_and_partitions(spark):
+def test_factors_invariant_to_partitions(spark):
     c = Chain(spark, SF_SMALL)
     rows = c.rows
-    exact = sorted(tuple(r) for r in seasonality_factors(rows).collect())
-    ranked = sorted(tuple(r) for r in seasonality_factors(rows.repartition(7),
-                                                          SeasonalityConfig(median_mode="ranked")).collect())
-    assert exact == ranked
+    a = sorted(tuple(r) for r in seasonality_factors(rows).collect())
+    b = sorted(tuple(r) for r in seasonality_factors(rows.repartition(7)).collect())
+    assert a == b
     spark.catalog.clearCache()
 
 
@@ -70,10 +80,11 @@ def test_sample_size_exact_and_stable(spark):
     spark.catalog.clearCache()
 
 
-def test_scalar_median_modes(spark):
+def test_scalar_median(spark):
     df = spark.createDataFrame([(float(i),) for i in [5, 1, 9, 3, 7, 2]], "v double")
-    for mode in ("exact", "ranked"):
-        assert scalar_median(df, "v", "m", mode).first()["m"] == 4.0
+    for parts in (1, 4):
+        assert scalar_median(df, "v", "m", parts).first()["m"] == 4.0
+    assert scalar_median(df.limit(0), "v").first() is None
 
 
 def _plan(df):

@@ -8,8 +8,15 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 from pricewise.operators.clean import split_csv_record
-from pricewise.operators.index import align, strict_lookup
+from pricewise.config import FEATURE_COLUMNS
+from pricewise.operators.index import align, asof_lookup, enrich, strict_lookup
 from pricewise.operators.metrics import regression_metrics, segment_metrics
+from pricewise.operators.models import (REFERENCE_SPECS, ModelSpec, fit_models, impurity_importance,
+                                        permutation_importance)
+from pricewise.operators.split import split as split_rows
+from pricewise.plans.context import Chain
+from pricewise.plans.fixtures import SALE_KEY
+from pricewise.plans.queries import compare_models
 
 
 def split(spark, lines):
@@ -62,6 +69,63 @@ def test_one_hot_model_keeps_columns(spark):
     assert before == after
 
 
+def test_index_month_must_be_unique(spark):
+    index = spark.createDataFrame([("2015-01", 1.0), ("2015-01", 2.0)], "year_month string, cpi_multiplier double")
+    facts = spark.createDataFrame([("2015-01",)], "year_month string")
+    for job in (lambda: enrich(facts, index).collect(), lambda: strict_lookup(facts, index).collect(),
+                lambda: asof_lookup(facts, index, ["cpi_multiplier"]).collect()):
+        with pytest.raises(Exception, match="index month occurs twice"):
+            job()
+
+
+SMALL_SPECS = [
+    ModelSpec("Boosted trees", "gbt", "ordinal", dict(maxIter=4, stepSize=0.3, maxDepth=4, maxBins=255)),
+    ModelSpec("Boosted trees (sampled)", "gbt", "onehot",
+              dict(maxIter=3, stepSize=0.3, maxDepth=3, subsamplingRate=0.85, featureSubsetStrategy="0.85")),
+    ModelSpec("Random forest", "forest", "onehot", dict(numTrees=4, maxDepth=5, featureSubsetStrategy="all")),
+]
+
+
+def test_ensembles_comparison_and_importance(spark):
+    """Predictions lie in the target's range, fits beat the median on training rows and repeat exactly."""
+    from pricewise.operators.baseline import scalar_median
+    c = Chain(spark, SF_SMALL)
+    train, test = split_rows(c.frame, SALE_KEY)
+    train, test = train.persist(), test.persist()
+    median = scalar_median(train, "sellingprice", "m").first()["m"]
+    models = fit_models(train, SMALL_SPECS)
+    own = {r.model: r for r in compare_models(train, models, median).where("segment = 'all'").collect()}
+    lo, hi = train.agg(F.min("sellingprice"), F.max("sellingprice")).first()
+    for m, again in zip(models, fit_models(train, SMALL_SPECS)):
+        assert own[m.spec.name].mae < own["Median baseline"].mae
+        a = sorted(tuple(r) for r in m.transform(test).select(*SALE_KEY, "prediction").collect())
+        assert all(lo * 0.99 <= r[-1] <= hi * 1.01 for r in a)
+        b = sorted(tuple(r) for r in again.transform(test).select(*SALE_KEY, "prediction").collect())
+        assert [r[-1] for r in a] == pytest.approx([r[-1] for r in b], rel=1e-9)
+    rows = compare_models(test, models, median).collect()
+    assert {r.model for r in rows} == {s.name for s in SMALL_SPECS} | {"Median baseline"}
+    assert sorted(r.rank for r in rows if r.segment == "all") == [1, 2, 3, 4]
+    assert {r.n for r in rows if r.segment == "all"} == {test.count()}
+    imp = permutation_importance(models[0], test, SALE_KEY, FEATURE_COLUMNS, repeats=2).collect()
+    assert {r.feature for r in imp} == set(FEATURE_COLUMNS)
+    gain = impurity_importance(models[0], spark).agg(F.sum("importance")).first()[0]
+    assert gain == pytest.approx(1.0)
+    spark.catalog.clearCache()
+
+
+def test_quote_chain_with_a_one_hot_model(spark):
+    """The chain keeps every body, also rare ones, when the price model is one-hot."""
+    from pricewise.operators.quote import quote
+    c = Chain(spark, SF_SMALL)
+    model = fit_models(c.frame, [REFERENCE_SPECS["ridge"]])[0]
+    q = quote(c.vehicles(), model.transform, c.index, c.factors, c.cfg, factors_checked=True)
+    base = quote(c.vehicles(), c.baseline.transform, c.index, c.factors, c.cfg, factors_checked=True)
+    cols = [*SALE_KEY, "body", "seasonal_factor", "verdict"]
+    assert sorted(tuple(r) for r in q.select(*cols).collect()) == \
+        sorted(tuple(r) for r in base.select(*cols).collect())
+    spark.catalog.clearCache()
+
+
 def test_existing_session_keeps_its_partitions(spark):
     from pricewise.session import get_session
     old = spark.conf.get("spark.sql.shuffle.partitions")
