@@ -55,6 +55,22 @@ def test_every_code_point_class(codec, public):
         assert ids_of(codec.encode(part)) == public.encode_ordinary(part)
 
 
+def test_ascii_texts_split_alike(codec):
+    rng = random.Random(8)
+    assert codec.ascii is not codec.pattern
+    for _ in range(3000):
+        s = "".join(rng.choice((chr(rng.randrange(128)), " ", "'s", "\n", "\x1c")) for _ in range(rng.randrange(40)))
+        assert codec.ascii.findall(s) == codec.pattern.findall(s)
+    assert bpe.ascii_pattern(r"\p{Lu}+|[^\S]") is None and bpe.ascii_pattern(r"[]a]|\s") is None
+    assert bpe.ascii_pattern(r"[^\r\n\p{L}\p{N}]?\p{L}+|\s*[\r\n]").findall("ab1 \n-c") == ["ab", " \n", "-c"]
+
+
+def test_later_letters_are_found_by_their_lead_bytes(codec):
+    for lo, hi in bpe.LATER_LETTERS + bpe.LATER_NUMBERS:
+        for c in (lo, (lo + hi) // 2, hi):
+            assert chr(c).encode()[0] in codec.later_leads and codec.later.search("é" + chr(c))
+
+
 def test_small_state_and_memo_limits(public, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_MEMO", 3)
     monkeypatch.setattr(bpe, "EMIT_EVERY", 8)
