@@ -8,20 +8,21 @@ from pyspark.sql import functions as F
 # Weekday and month abbreviations accepted in sale-time text
 WEEKDAYS = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
 _SUFFIX = r" \([A-Z]{3}\)$"
-_WEEKDAY = r"^(" + "|".join(WEEKDAYS) + r") "
+_WEEKDAY = r"^(?i:" + "|".join(WEEKDAYS) + r") "
 
 
 def parse_sale_time(col: Column) -> Column:
     """'Tue Dec 16 2014 12:30:00 GMT-0800 (PST)' -> UTC timestamp, bad -> null.
 
     The weekday must be one of the seven names but, as with strptime, it is
-    not checked against the date. Spark refuses the pattern letter E when
+    not checked against the date; names may have any letter case and day and
+    time parts one digit. Spark refuses the pattern letter E when
     parsing, so the token is checked by regex and cut off first.
     """
     s = F.regexp_replace(col, _SUFFIX, "")
     ok = s.rlike(_WEEKDAY)
     body = F.regexp_replace(s, _WEEKDAY, "")
-    ts = F.try_to_timestamp(body, F.lit("MMM dd yyyy HH:mm:ss 'GMT'Z"))
+    ts = F.try_to_timestamp(body, F.lit("MMM d yyyy H:m:s 'GMT'Z"))
     return F.when(ok, ts)
 
 

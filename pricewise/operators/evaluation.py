@@ -43,11 +43,11 @@ def body_summary(factors: DataFrame, top_n: int = 12) -> DataFrame:
         F.max("best_month_name").alias("best_month"), F.max("best_factor").alias("best_factor"),
         F.max("worst_month_name").alias("worst_month"), F.max("worst_factor").alias("worst_factor"),
         F.bool_or("has_recommendation").alias("has_recommendation"))
-    cov = per.agg(F.count(F.lit(1)).alias("bodies_total"),
-                  F.count_if("has_recommendation").alias("bodies_with_recommendation"),
-                  F.count_if(~F.col("has_recommendation")).alias("bodies_without_recommendation"))
+    cov = per.agg(F.count(F.lit(1)).alias("n"), F.count_if("has_recommendation").alias("yes")).first()
     top = per.orderBy(F.col("total_observations").desc(), F.col("body").asc()).limit(top_n)
-    return top.crossJoin(F.broadcast(cov))  # one row
+    return top.withColumns({"bodies_total": F.lit(cov["n"]).cast("bigint"),
+                            "bodies_with_recommendation": F.lit(cov["yes"]).cast("bigint"),
+                            "bodies_without_recommendation": F.lit(cov["n"] - cov["yes"]).cast("bigint")})
 
 
 def unobserved_cells(sales: DataFrame) -> DataFrame:

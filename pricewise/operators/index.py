@@ -8,6 +8,7 @@ by the data volume. Fact tables only ever meet them through equi joins.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,22 +40,27 @@ def monthly_last(series: DataFrame, date_col: str = "observation_date",
 def read_series_csv(spark, paths: dict[str, str]) -> tuple[DataFrame | None, list[str]]:
     """Indicator files (``observation_date,<ID>``, '.' = null) -> long frame.
 
-    A series whose file cannot be read is skipped and reported in the
-    returned list instead of failing the whole index.
+    A series whose file is missing or has fewer than two columns is skipped
+    and reported in the returned list instead of failing the whole index. Any
+    other error is raised.
     """
     frames, skipped = [], []
     for name, path in paths.items():
         try:
             df = (spark.read.option("header", True).option("nullValue", ".")
                   .option("mode", "FAILFAST").csv(path))
-            date_c, value_c = df.columns[0], df.columns[1]
-            df = df.select(F.lit(name).alias("series"),
-                           F.to_date(date_c).alias("observation_date"),
-                           F.col(value_c).try_cast("double").alias("value"))
-            df.schema  # resolves the file listing
-            frames.append(df)
-        except Exception:  # noqa: BLE001 - a failed series is reported, not fatal
+        except AnalysisException as ex:
+            if ex.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             skipped.append(name)
+            continue
+        if len(df.columns) < 2:
+            skipped.append(name)
+            continue
+        date_c, value_c = df.columns[:2]
+        frames.append(df.select(F.lit(name).alias("series"),
+                                F.to_date(date_c).alias("observation_date"),
+                                F.col(value_c).try_cast("double").alias("value")))
     if not frames:
         return None, skipped
     out = frames[0]
@@ -65,13 +71,20 @@ def read_series_csv(spark, paths: dict[str, str]) -> tuple[DataFrame | None, lis
 
 # ---------------------------------------------------------------- J2 + W1
 def align(series_long: DataFrame, names: list[str], start: str | None = None,
-          series_col: str = "series", value_col: str = "value") -> DataFrame:
+          series_col: str = "series", value_col: str = "value",
+          order_col: str | None = None) -> DataFrame:
     """Full outer alignment of k monthly series by one pivot (one shuffle).
 
     Rows where every series is null are dropped; ``start`` trims older months.
+    A month that a series holds twice takes the value that is last by
+    ``order_col``; without one a month must be unique, else the job fails.
     """
-    wide = (series_long.groupBy(MONTH).pivot(series_col, names)
-            .agg(F.max(value_col)))
+    if order_col:
+        value = F.max_by(value_col, order_col)
+    else:
+        value = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(
+            F.lit("a series holds a month twice: "), F.first(MONTH)))).otherwise(F.max(value_col))
+    wide = series_long.groupBy(MONTH).pivot(series_col, names).agg(value)
     wide = wide.where(F.coalesce(*[F.col(n) for n in names]).isNotNull())
     if start:
         wide = wide.where(F.col(MONTH) >= F.lit(start))
@@ -91,11 +104,11 @@ def base_ratio(index: DataFrame, value_col: str, base_year: int,
     """value / mean(value over the months of ``base_year``); error if the base is empty."""
     # Mean of the (at most 12) base-year values, summed in sorted order: the
     # result does not depend on partitioning or engine, down to the last bit.
-    vals = F.array_sort(F.collect_list(value_col))
-    base = index.where(F.substring(MONTH, 1, 4) == F.lit(f"{base_year:04d}")).agg(
-        F.when(F.size(vals) > 0, F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
-               / F.size(vals)).alias("_base"))
-    joined = index.crossJoin(F.broadcast(base))  # one row
+    in_base = F.when(F.substring(MONTH, 1, 4) == F.lit(f"{base_year:04d}"), F.col(value_col))
+    vals = F.array_sort(F.collect_list(in_base).over(Window.partitionBy(F.lit(0))))
+    joined = index.withColumn("_vals", vals)
+    joined = joined.withColumn("_base", F.when(F.size("_vals") > 0, F.aggregate(
+        "_vals", F.lit(0.0), lambda acc, x: acc + x) / F.size("_vals"))).drop("_vals")
     ratio = F.when(F.col("_base").isNull(), F.raise_error(
         F.lit(f"base year {base_year} has no {value_col} value"))).otherwise(
         F.col(value_col) / F.col("_base"))

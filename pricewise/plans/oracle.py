@@ -363,6 +363,20 @@ SELECT event_type AS series, strftime(ts, '%Y-%m-%d %H') AS period,
        arg_max(value, (ts, event_id)) FILTER (WHERE value IS NOT NULL) AS value
 FROM events GROUP BY 1, 2"""
 
+_EVENT_SERIES = ["click", "error", "purchase", "signup", "view"]
+_HOURS = ", ".join(f"max(value) FILTER (WHERE series = '{s}') AS {s}" for s in _EVENT_SERIES)
+_FILLED = ", ".join(f"last_value({s} IGNORE NULLS) OVER (ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING "
+                    f"AND CURRENT ROW) AS {s}" for s in _EVENT_SERIES)
+ORACLE["index_from_events"] = f"""
+WITH last AS ({ORACLE["index_last_value"]}),
+hours AS (SELECT period, {_HOURS} FROM last GROUP BY period),
+filled AS (SELECT period, {_FILLED} FROM hours WHERE coalesce({", ".join(_EVENT_SERIES)}) IS NOT NULL),
+base AS (
+  SELECT list_reduce(list_sort(list(purchase)), lambda a, x: a + x) / count(*) AS base
+  FROM filled WHERE substr(period, 1, 4) = '2024' AND purchase IS NOT NULL)
+SELECT period, {", ".join(_EVENT_SERIES)}, round(purchase / (SELECT base FROM base), 6) AS multiplier
+FROM filled"""
+
 ORACLE["index_align"] = with_(INDEX) + """
 SELECT year_month, round(price, 6) AS price, round(quantity, 6) AS quantity, volume FROM filled"""
 
@@ -435,18 +449,18 @@ tp AS (
   FROM test t LEFT JOIN gbt g ON t.make = g.make AND t.body = g.body CROSS JOIN fbt f)"""
 
 _FIXED = ", ".join(f"('{m}')" for m in FORWARD_PROJECTION_MONTHS)
-ORACLE["index_projection"] = with_(SALE, FRAME, GAPPY) + TEST_PRED + f""",
+ORACLE["index_projection"] = with_(SALE, FRAME, IDX1) + TEST_PRED + f""",
 base AS (SELECT median(prediction) AS stage1_baseline FROM tp),
 months AS (
   SELECT DISTINCT year_month FROM (
     SELECT strftime(l_shipdate, '%Y-%m') AS year_month FROM lineitem
     UNION ALL SELECT * FROM (VALUES {_FIXED}) v(year_month))),
-r AS {asof('months', 'gidx')}
+r AS {asof('months', 'idx1')}
 SELECT r.year_month, r.resolved_month, round(i.cpi_multiplier, 4) AS cpi_multiplier,
        round(b.stage1_baseline, 0) AS stage1_baseline,
        round(b.stage1_baseline * i.cpi_multiplier, 0) AS stage2_price,
        round((i.cpi_multiplier - 1.0) * 100, 1) AS delta_pct
-FROM r JOIN gidx i ON i.year_month = r.resolved_month CROSS JOIN base b"""
+FROM r JOIN idx1 i ON i.year_month = r.resolved_month CROSS JOIN base b"""
 
 
 def metrics_sql(y: str, p: str, prefix: str = "", extended: bool = False) -> str:

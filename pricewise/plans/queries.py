@@ -23,7 +23,7 @@ from pricewise.operators.evaluation import (body_summary, catalogue, holdout_eva
                                             listed_that_exist, unobserved_cells)
 from pricewise.operators.features import (FEATURE_INPUT, at_reference_point, feature_rows,
                                           modeling_frame, restore_point)
-from pricewise.operators.index import (align, asof_lookup, base_ratio, enrich, forward_fill,
+from pricewise.operators.index import (align, asof_lookup, base_ratio, build_index, enrich, forward_fill,
                                        missing_months, monthly_last)
 from pricewise.operators.metrics import (metric_columns, regression_metrics, segment_metrics,
                                          segments_column)
@@ -173,10 +173,8 @@ def q_category_normalise(spark: SparkSession, sf: str) -> DataFrame:
 
 def sale_time_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Sale-time text in the raw format, made from ship dates and event times:
-    varying hour, zone offset, suffix, and some invalid weekday names.
-    Formatting and parsing cost far more per row than the scan, so a scan of
-    fewer splits than cores is spread first (never the case on large input)."""
-    li = read_table(spark, sf, "lineitem", SALE_KEY + ["l_shipdate"], spread=True)
+    varying hour, zone offset, suffix, and some invalid weekday names."""
+    li = read_table(spark, sf, "lineitem", SALE_KEY + ["l_shipdate"])
     local = F.expr("timestampadd(HOUR, CAST(l_partkey % 24 AS INT), l_shipdate)")
     off = F.element_at(F.array(F.lit("-0800"), F.lit("+0100"), F.lit("-0500")),
                        (F.col("l_suppkey") % 3 + 1).cast("int"))
@@ -186,7 +184,7 @@ def sale_time_texts(spark: SparkSession, sf: str) -> DataFrame:
     a = li.select(key_text(SALE_KEY).alias("id"),
                   F.concat(wd, F.lit(" "), F.date_format(local, "MMM dd yyyy HH:mm:ss"), F.lit(" GMT"),
                            off, suffix).alias("text"))
-    ev = read_table(spark, sf, "events", ["event_id", "ts"], spread=True)
+    ev = read_table(spark, sf, "events", ["event_id", "ts"])
     off_e = F.element_at(F.array(F.lit("+0000"), F.lit("-0800"), F.lit("+0530")),
                          (F.col("event_id") % 3 + 1).cast("int"))
     b = ev.select(F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("id"),
@@ -253,6 +251,21 @@ def q_index_last_value(spark: SparkSession, sf: str) -> DataFrame:
                         tiebreak="event_id", period_format="yyyy-MM-dd HH", period_col="period")
 
 
+EVENT_SERIES = ["click", "error", "purchase", "signup", "view"]
+
+
+@register("index_from_events")
+def q_index_from_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole index chain on hourly event values: last value per hour and type,
+    alignment, forward fill, and the ratio of purchases to their mean in 2024."""
+    ev = read_table(spark, sf, "events", ["event_id", "ts", "event_type", "value"])
+    last = monthly_last(ev.withColumnRenamed("event_type", "series"), date_col="ts",
+                        tiebreak="event_id", period_format="yyyy-MM-dd HH")
+    idx = build_index(last, EVENT_SERIES, "purchase", 2024)
+    return idx.select(F.col("year_month").alias("period"), *EVENT_SERIES,
+                      r6(F.col("cpi_multiplier")).alias("multiplier"))
+
+
 @register("index_align")
 def q_index_align(spark: SparkSession, sf: str) -> DataFrame:
     wide = forward_fill(align(series_long(spark, sf), INDEX_SERIES), INDEX_SERIES)
@@ -323,7 +336,7 @@ def q_index_projection(spark: SparkSession, sf: str) -> DataFrame:
         F.element_at(F.array(*[F.lit(m) for m in FORWARD_PROJECTION_MONTHS]),
                      (F.col("id") + 1).cast("int")).alias("year_month"))
     scenario = ship.union(fixed).distinct().withColumn("stage1_baseline", F.lit(base).cast("double"))
-    p = asof_lookup(scenario, gappy_price_index(spark, sf), ["cpi_multiplier"])
+    p = asof_lookup(scenario, orders_index(spark, sf), ["cpi_multiplier"])
     return p.select("year_month", "resolved_month",
                     F.round("cpi_multiplier", 4).alias("cpi_multiplier"),
                     F.round("stage1_baseline", 0).alias("stage1_baseline"),
@@ -417,7 +430,7 @@ def q_seasonality_backfill(spark: SparkSession, sf: str) -> DataFrame:
     and completed."""
     fac = Chain(spark, sf).factors.drop("recommendation_eligible_months", "has_recommendation")
     path = scratch_path(spark, "factors")
-    write_table(fac, path)
+    write_table(fac, path, order_by=["body", "sale_month"])
     back = backfill_factor_columns(spark.read.parquet(path))
     return back.select("body", "sale_month", "observations", "recommendation_eligible_months",
                        "has_recommendation")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricewise.config import DEFAULT_SEASONALITY, SeasonalityConfig
 from pricewise.operators.index import read_series_csv  # noqa: F401  (S3, re-exported)
 from pricewise.operators.seasonality import backfill_factor_columns
+from pricewise.sources.sinks import write_table
 
 INDEX_SCHEMA = ("year_month string, cpi_used_cars double, fedfunds double, consumer_sentiment double, "
                 "unemployment double, total_vehicle_sales double, recession double, "
@@ -29,12 +30,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def load_or_build_factors(spark: SparkSession, path: str, build,
                           cfg: SeasonalityConfig = DEFAULT_SEASONALITY) -> DataFrame:
-    """Read the stored factor table, or build and store it when absent.
+    """Read the stored factor table, or build and store it when absent or unfinished.
 
     ``build`` is a zero-argument callable returning the factor DataFrame.
     Older tables without the recommendation columns are completed.
     """
-    if not _exists(spark, path):
-        build().write.mode("overwrite").parquet(path)
+    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        write_table(build(), path, order_by=["body", "sale_month"])
     return backfill_factor_columns(spark.read.parquet(path), cfg)
 

@@ -21,9 +21,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True) -> str:
-    """Overwrite sink (parquet by default; csv with a header row)."""
-    w = df.write.mode("overwrite")
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", header: bool = True,
+                order_by: list[str] | None = None) -> str:
+    """Overwrite sink (parquet by default; csv with a header row).
+
+    With ``order_by`` the rows are sorted over all files, in the order of the file names."""
+    w = (df.orderBy(*order_by) if order_by else df).write.mode("overwrite")
     if fmt == "csv":
         w = w.option("header", header)
     w.format(fmt).save(path)

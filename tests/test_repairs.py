@@ -7,9 +7,10 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from pricewise.functions.dates import parse_sale_time, utc_text
 from pricewise.operators.clean import split_csv_record
 from pricewise.config import FEATURE_COLUMNS
-from pricewise.operators.index import align, asof_lookup, enrich, strict_lookup
+from pricewise.operators.index import align, asof_lookup, enrich, read_series_csv, strict_lookup
 from pricewise.operators.metrics import regression_metrics, segment_metrics
 from pricewise.operators.models import (REFERENCE_SPECS, ModelSpec, fit_models, impurity_importance,
                                         permutation_importance)
@@ -17,6 +18,7 @@ from pricewise.operators.split import split as split_rows
 from pricewise.plans.context import Chain
 from pricewise.plans.fixtures import SALE_KEY
 from pricewise.plans.queries import compare_models
+from pricewise.sources.series import load_or_build_factors
 
 
 def split(spark, lines):
@@ -136,3 +138,43 @@ def test_existing_session_keeps_its_partitions(spark):
         assert get_session("local[4]").conf.get("spark.sql.shuffle.partitions") == "16"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_sale_time_letter_case_and_short_parts(spark):
+    texts = ["tue dec 6 2014 9:5:3 GMT-0800 (PST)", "TUE DEC 06 2014 09:05:03 GMT-0800", "Xue Dec 6 2014 09:05:03 GMT-0800"]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string")
+    got = [r.t for r in df.select("i", utc_text(parse_sale_time(F.col("x"))).alias("t")).orderBy("i").collect()]
+    assert got == ["2014-12-06 17:05:03+0000", "2014-12-06 17:05:03+0000", None]
+
+
+def test_align_month_held_twice(spark):
+    s = spark.createDataFrame([("p", "2015-01", 9.0, 1), ("p", "2015-01", 1.0, 2), ("q", "2015-01", 5.0, 1)],
+                              "series string, year_month string, value double, at int")
+    assert [tuple(r) for r in align(s, ["p", "q"], order_col="at").collect()] == [("2015-01", 1.0, 5.0)]
+    with pytest.raises(Exception, match="holds a month twice"):
+        align(s, ["p", "q"]).collect()
+
+
+def test_unfinished_factor_table_is_built_again(spark, tmp_path):
+    path = str(tmp_path / "factors")
+    c = Chain(spark, SF_SMALL)
+    c.factors.write.parquet(path)
+    (tmp_path / "factors" / "_SUCCESS").unlink()
+    built = []
+    again = load_or_build_factors(spark, path, lambda: built.append(1) or c.factors)
+    assert built and (tmp_path / "factors" / "_SUCCESS").exists()
+    rows = [(r["body"], r["sale_month"]) for r in again.collect()]
+    assert sorted(rows) == sorted((r["body"], r["sale_month"]) for r in c.factors.collect())
+    names = sorted(p.name for p in (tmp_path / "factors").glob("part-*"))
+    stored = [(r["body"], r["sale_month"]) for n in names
+              for r in spark.read.parquet(f"{path}/{n}").collect()]
+    assert stored == sorted(stored)
+    spark.catalog.clearCache()
+
+
+def test_series_files_with_other_errors_are_not_skipped(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("observation_date\n2015-01-01\n")
+    long, skipped = read_series_csv(spark, {"one": str(tmp_path / "one.csv")})
+    assert long is None and skipped == ["one"]
+    with pytest.raises(Exception):
+        read_series_csv(spark, {"x": "nosuchscheme://a/b.csv"})
