@@ -38,11 +38,14 @@ _GIVEN = "|".join(n for names in NAMES.values() for n in names)
 _TITLE = "|".join(t.replace(".", r"\.") for t in sorted(TITLES, key=len, reverse=True))
 _SURNAME = r"\p{Lu}\p{L}+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+# A last label of a mail host: letters, unless the label goes on after a dash and the host after that.
+_TLD = r"[A-Za-z]{2,}+(?![A-Za-z0-9]|-[A-Za-z0-9\-]*+\.(?:[0-9\-][A-Za-z0-9\-]*+\.)*+[A-Za-z])"
+HEX = r"\A(?:[0-9a-f]+|[0-9A-F]+)\z"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[A-Za-z0-9\-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": rf"(?<![\p{{L}}\p{{N}}._%+\-])[\p{{L}}\p{{N}}._%+\-]++@[A-Za-z0-9\-]++(?:(?:\.(?!{_TLD})[A-Za-z0-9\-]++)*+\.{_TLD})++",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:AKIA|ASIA)[0-9A-Z]{16}|"
-              r"(?:sk|ghp|gho|xoxb)[-_][A-Za-z0-9\-]{16,80})(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|(?:AKIA|ASIA)[0-9A-Z]{16}|"
+              r"(?:sk|ghp|gho|xoxb)[-_][A-Za-z0-9_\-]{16,}+)(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}"
              r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
@@ -103,7 +106,7 @@ def kind_of(raw: Column) -> Column:
 def canonical(kind: Column, raw: Column) -> Column:
     """What two mentions of one entity share."""
     return F.when(kind.isin("phone", "card", "ssn"), _digits(raw)).when(kind == "iban", F.replace(raw, F.lit(" "))) \
-        .when(kind.isin("email", "secret"), F.lower(raw)).otherwise(raw)
+        .when((kind == "email") | (kind == "secret") & raw.rlike(HEX), F.lower(raw)).otherwise(raw)
 
 
 def _random(seed: Column, i: Column) -> Column:
@@ -149,8 +152,10 @@ def surrogate(kind: Column, canon: Column, seed: Column) -> Column:
     card = F.concat(F.array_join(F.transform(body, lambda x: x.cast("string")), ""),
                     ((10 - _luhn_sum(body, 0) % 10) % 10).cast("string"))
     phone = F.concat(F.substr(canon, F.lit(1), F.lit(1)), _shaped(F.substr(canon, F.lit(2), F.length(canon)), seed))
-    out = F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "secret", _shaped(
-        canon, seed, hex_only=True)).when(kind == "card", card).when(kind == "phone", phone) \
+    prefix = F.regexp_extract(canon, r"\A(?:AKIA|ASIA|(?:sk|ghp|gho|xoxb)[-_])", 0)
+    secret = F.when(canon.rlike(HEX), _shaped(canon, seed, hex_only=True)).otherwise(
+        F.concat(prefix, _shaped(F.substr(canon, F.length(prefix) + 1, F.length(canon)), seed)))
+    out = F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "secret", secret).when(kind == "card", card).when(kind == "phone", phone) \
         .when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)),
                                        _shaped(F.substr(canon, F.lit(3), F.length(canon)), seed)))
     for (script, gender), names in NAMES.items():
@@ -198,7 +203,7 @@ def replacement(kind: Column, raw: Column, surr: Column) -> Column:
         surr, F.length(F.replace(F.substr(raw, F.lit(1), i + 1), F.lit(" "))), F.lit(1)))), "")
     upper = (F.upper(raw) == raw) & (F.lower(raw) != raw)
     return F.when(kind.isin("phone", "card", "ssn"), _filled(raw, surr)).when(kind == "iban", spaced) \
-        .when(kind.isin("email", "secret") & upper, F.upper(surr)).otherwise(surr)
+        .when(((kind == "email") | (kind == "secret") & raw.rlike(HEX)) & upper, F.upper(surr)).otherwise(surr)
 
 
 def redact(docs: DataFrame, text: str = "text", key: str = "surrogates-1") -> DataFrame:
