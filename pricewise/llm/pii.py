@@ -50,10 +50,15 @@ PATTERNS = {
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}"
              r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
-    "card": r"(?<![\d.\-])\d(?:[ \-]?\d){12,18}(?![\d\-]|\.\d)",
+    # a run of digit groups, which cards are looked for in; it ends before a group that another entity begins with
+    "card": "",
     "given": rf"(?=\p{{Lu}})(?:{_GIVEN})(?= {_SURNAME})",
     "surname": rf"(?=\p{{Lu}})(?<= )(?<=(?<!\p{{L}})(?:{_GIVEN}|{_TITLE}) ){_SURNAME}",
 }
+_GROUP = r"\d++(?!\.\d|-(?!\d))"
+PATTERNS["card"] = (r"(?<![\d.\-])(?=\d(?:[ \-]?\d){12})" + _GROUP + r"(?:[ \-](?!"
+                    + "|".join(PATTERNS[k] for k in ("email", "secret", "ip", "phone", "ssn")) + f"){_GROUP})*+")
+CARD_GROUPS = ("4-4-4-4", "4-6-5", "4-6-4")      # usual ways to write a card, beside one group
 # Each pattern has its own condition on what precedes. What may not follow a letter or digit (mail, names) is tried at
 # word starts only, the rest first by the characters that it can begin with; this finds the same and is faster.
 _WORD_START = r"(?<![\p{L}\p{N}])"
@@ -90,19 +95,70 @@ def _digit_array(c: Column) -> Column:
 
 
 def kind_of(raw: Column) -> Column:
-    """Entity type of a match; null for what is none after all (a card number without a valid check digit)."""
+    """Entity type of a match or of a part of one; null for what is none (a run of digit groups)."""
     def is_(name: str) -> Column:
         return raw.rlike(rf"\A(?:{PATTERNS[name]})\z")
 
     given = F.when(raw.isin([]), "")
     for (script, gender), names in NAMES.items():
         given = given.when(raw.isin(list(names)), f"given_{script}_{gender}")
-    card = F.when(_luhn_sum(_digit_array(_digits(raw)), 1) % 10 == 0, "card")
     return (F.when(raw.contains("@"), "email").when(is_("iban"), "iban").when(is_("secret"), "secret")
-            .when(is_("ip"), "ip").when(is_("phone"), "phone").when(is_("ssn"), "ssn").when(is_("card"), card)
+            .when(is_("ip"), "ip").when(is_("phone"), "phone").when(is_("ssn"), "ssn").when(raw.rlike("\\A[0-9]"), None)
             .otherwise(F.coalesce(given, F.lit("surname"))))
 
 
+def _let(x: Column, f) -> Column:
+    """``f(x)`` with ``x`` evaluated once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
+
+
+def _cards(raw: Column) -> Column:
+    """Parts of a run of digit groups, in order: ``(part, kind)``, kind null between cards.
+
+    Every 13 to 19 digits from group border to group border with a valid check
+    digit may be a card. Of overlapping ones the usual groupings come first,
+    then 16 digits, then the first and longest.
+    """
+    def sub(tokens: Column, i: Column) -> Column:
+        def one(k: Column) -> Column:
+            own = F.transform(F.slice(tokens, i + 1, k), _digits)
+            digits = F.array_join(own, "")
+            widths = F.array_join(F.transform(own, lambda g: F.length(g).cast("string")), "-")
+            rank = F.when((k == 1) | widths.isin(*CARD_GROUPS), 0).when(F.length(digits) == 16, 1).otherwise(2)
+            return F.struct(rank.alias("rank"), i.alias("i"), (-k).alias("less"), k.alias("k"), digits.alias("digits"))
+
+        return F.filter(F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(tokens) - i)), one),
+                        lambda c: F.length(c.digits).between(13, 19)
+                        & (_luhn_sum(_digit_array(c.digits), 1) % 10 == 0))
+
+    def chosen(tokens: Column) -> Column:
+        valid = F.transform(F.array_sort(F.flatten(F.transform(tokens, lambda x, i: sub(tokens, i)))),
+                            lambda c: F.struct(c.i.alias("i"), c.k.alias("k")))
+        return F.aggregate(valid, F.array().cast("array<struct<i:int,k:int>>"), lambda acc, c: F.when(
+            F.exists(acc, lambda a: (a.i < c.i + c.k) & (c.i < a.i + a.k)), acc).otherwise(F.concat(acc, F.array(c))))
+
+    def part(text: Column, kind: str | None) -> Column:
+        return F.struct(text.alias("part"), F.lit(kind).cast("string").alias("kind"))
+
+    def parts(tokens: Column, cards: Column, x: Column, i: Column) -> Column:
+        at = F.get(F.filter(cards, lambda a: (a.i <= i) & (i < a.i + a.k)), F.lit(0))
+        text = F.array_join(F.slice(tokens, i + 1, at.k), "")
+        return F.when(at.isNull(), F.array(part(x, None))).when(at.i == i, F.array(
+            part(F.regexp_extract(text, "^[ -]?", 0), None),
+            part(F.regexp_replace(text, "^[ -]", ""), "card"))).otherwise(F.array().cast("array<struct<part:string,kind:string>>"))
+
+    # each token with the separator before it
+    return _let(F.regexp_extract_all(raw, F.lit("[ -]?[0-9]+"), F.lit(0)), lambda tokens: _let(
+        chosen(tokens), lambda cards: F.flatten(F.transform(tokens, lambda x, i: parts(tokens, cards, x, i)))))
+
+
+def parts_of(raw: Column) -> Column:
+    """The parts of a match, in order: ``(part, kind)``."""
+    kind = kind_of(raw)
+    return F.when(raw.rlike(rf"\A(?:{PATTERNS['card']})\z") & kind.isNull(), _cards(raw)) \
+        .otherwise(F.array(F.struct(raw.alias("part"), kind.alias("kind"))))
+
+
 def canonical(kind: Column, raw: Column) -> Column:
     """What two mentions of one entity share."""
     return F.when(kind.isin("phone", "card", "ssn"), _digits(raw)).when(kind == "iban", F.replace(raw, F.lit(" "))) \
@@ -222,23 +278,24 @@ def redact(docs: DataFrame, text: str = "text", key: str = "surrogates-1") -> Da
     digest = F.sha2(F.array_join("ents", "\x1f").cast("binary"), 256)
     lists = cut(rows.filter(has).select("ents").groupBy(digest.alias("list")).agg(F.first("ents").alias("ents")),
                 "pii-lists")
-    raw = lists.select(F.explode(F.array_distinct("ents")).alias("raw")).distinct()
-    typed = raw.select("raw", kind_of(F.col("raw")).alias("kind")).filter("kind is not null")
-    typed = cut(typed.select("raw", "kind", canonical(F.col("kind"), F.col("raw")).alias("canon")), "pii-typed")
-    mapping = resolve(typed.select("kind", "canon").distinct(), key)
-    repl = cut(typed.join(mapping, ["kind", "canon"]).select(
-        "raw", "kind", replacement(F.col("kind"), F.col("raw"), F.col("surr")).alias("repl")), "pii-map")
-    each = lists.select("list", F.posexplode("ents").alias("pos", "raw")).join(repl, "raw", "left")
+    raw = cut(lists.select(F.explode(F.array_distinct("ents")).alias("raw")).distinct(), "pii-raw")
+    parts = raw.select("raw", F.posexplode(parts_of(F.col("raw"))).alias("at", "p")).select("raw", "at", "p.part", "p.kind")
+    typed = cut(parts.select("*", canonical(F.col("kind"), F.col("part")).alias("canon")), "pii-typed")
+    mapping = resolve(typed.filter("kind is not null").select("kind", "canon").distinct(), key)
+    new = typed.join(mapping, ["kind", "canon"], "left").select(
+        "raw", "at", "kind", F.coalesce(replacement(F.col("kind"), F.col("part"), F.col("surr")), "part").alias("new"))
+    repl = cut(new.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct("at", "new", "kind"))).alias("n")).select(
+        "raw", F.array_join(F.transform("n", lambda x: x.new), "").alias("repl"),
+        F.filter(F.transform("n", lambda x: x.kind), lambda k: k.isNotNull()).alias("kinds")), "pii-map")
+    each = lists.select("list", F.posexplode("ents").alias("pos", "raw")).join(repl, "raw")
     filled = cut(each.groupBy("list").agg(
-        F.sort_array(F.collect_list(F.struct("pos", F.coalesce("repl", "raw").alias("r"), "kind"))).alias("r")),
-        "pii-filled")
+        F.sort_array(F.collect_list(F.struct("pos", F.col("repl").alias("r"), "kinds"))).alias("r")), "pii-filled")
     pieces = F.split(F.col(ROW)[text], ENTITY, -1)
     joined = rows.filter(has).select(ROW, digest.alias("list")).join(filled, "list").select(
         ROW, F.array_join(F.flatten(F.transform(
             pieces, lambda p, i: F.array(p, F.coalesce(F.get("r", i).r, F.lit(""))))), "").alias("new_text"),
-        F.size(F.filter("r", lambda x: x.kind.isNotNull())).cast("long").alias("n_entities"),
-        F.array_join(F.sort_array(F.array_distinct(F.filter(F.transform("r", lambda x: x.kind),
-                                                            lambda x: x.isNotNull()))), ",").alias("kinds"))
+        F.size(F.flatten(F.transform("r", lambda x: x.kinds))).cast("long").alias("n_entities"),
+        F.array_join(F.sort_array(F.array_distinct(F.flatten(F.transform("r", lambda x: x.kinds)))), ",").alias("kinds"))
     clean = rows.filter(~has).select(ROW, F.col(ROW)[text].alias("new_text"), F.lit(0).cast("long").alias("n_entities"),
                                      F.lit("").alias("kinds"))
     return joined.unionByName(clean)

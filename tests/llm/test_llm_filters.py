@@ -337,6 +337,25 @@ def test_long_secrets_hosts_and_case(spark):
     assert got[-2] == f"to {hosts[1]}.12 End" and got[-1] == f"to {hosts[1]}-x End"
 
 
+def test_cards_beside_numbers(spark):
+    card, split = "4539148803436467", "4539 1488 0343 6467"
+    texts = [f"x {t}." for t in (
+        f"{card} 12/27", f"{card} 123", f"ref 12 {card}", f"{card} 12.50", f"{split} 123 12/27", f"12 {split}", f"{card}-123",
+        f"{card} 555-123-4567", f"{card} 123-45-6789", f"{card} 12@m.org", f"{card} {split}", "4539148803436468 123")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(pii.report(df).collect())
+    new = re.match(r"x (\d{16}) 12/27\.$", got[0].text)[1]
+    apart = " ".join(re.findall("....", new))
+    assert luhn(new) and new != card
+    for r in got[:7]:
+        assert r.text == texts[r.doc_id].replace(card, new).replace(split, apart) and r.n_entities == 1
+    assert [r.kinds for r in got[7:10]] == ["card,phone", "card,ssn", "card,email"]
+    for r, other in zip(got[7:10], ("555-123-4567", "123-45-6789", "12@m.org")):
+        assert r.text.startswith(f"x {new} ") and other not in r.text
+    assert got[10].text == f"x {new} {apart}." and got[10].n_entities == 2
+    assert got[11].text == texts[11] and got[11].n_entities == 0
+
+
 # ---- quality classifier --------------------------------------------------------------------------
 
 def test_op3_query(spark):
