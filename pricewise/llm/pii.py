@@ -16,6 +16,8 @@ their entity list, so copies share their work.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,7 +78,7 @@ ENTITY = _entity(True)
 # Names need a given name or title before a capital: texts without such a place are searched without them.
 NO_NAMES = _entity(False)
 NAME_PLACE = rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:{_GIVEN}|{_TITLE}) \p{{Lu}}"
-MAX_ATTEMPTS = 200
+SAME_SHAPE = 3              # rounds that draw surrogates of the entity's length; each later one draws one character more
 
 
 def _digits(c: Column) -> Column:
@@ -190,13 +192,16 @@ def _shaped(text: Column, seed: Column, hex_only: bool = False) -> Column:
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
-def surrogate(kind: Column, canon: Column, seed: Column) -> Column:
-    """A type-consistent replacement of a canonical entity."""
+def surrogate(kind: Column, canon: Column, seed: Column, longer: int = 0) -> Column:
+    """A type-consistent replacement of a canonical entity, ``longer`` characters longer where its length is free."""
     at = F.expr("instr(canon, '@')")
     host = F.substr(canon, at + 1, F.length(canon))
     tld = F.regexp_extract(host, r"([^.]*)\z", 1)
     label = F.substr(host, F.lit(1), F.length(host) - F.length(tld) - 1)
-    email = F.concat(_shaped(F.substr(canon, F.lit(1), at - 1), seed), F.lit("@"),
+    def more(c: Column, char: str) -> Column:
+        return F.concat(c, F.lit(char * longer)) if longer else c
+
+    email = F.concat(_shaped(more(F.substr(canon, F.lit(1), at - 1), "a"), seed), F.lit("@"),
                      F.regexp_replace(_shaped(F.regexp_replace(label, r"\.?example\z", ""), F.concat(seed, F.lit("h"))), r"\A-|-\z", "x"),
                      F.when(label.rlike(r"(\.|\A)example\z"), F.when(label == "example", "x.example").otherwise(".example"))
                      .otherwise(".example"), F.lit("."), F.when(tld.isin("com", "net", "org"), tld).otherwise("com"))
@@ -207,10 +212,10 @@ def surrogate(kind: Column, canon: Column, seed: Column) -> Column:
                        .otherwise((_random(seed, i) % 10).cast("int")))
     card = F.concat(F.array_join(F.transform(body, lambda x: x.cast("string")), ""),
                     ((10 - _luhn_sum(body, 0) % 10) % 10).cast("string"))
-    phone = F.concat(F.substr(canon, F.lit(1), F.lit(1)), _shaped(F.substr(canon, F.lit(2), F.length(canon)), seed))
+    phone = F.concat(F.substr(canon, F.lit(1), F.lit(1)), _shaped(more(F.substr(canon, F.lit(2), F.length(canon)), "0"), seed))
     prefix = F.regexp_extract(canon, r"\A(?:AKIA|ASIA|(?:sk|ghp|gho|xoxb)[-_])", 0)
-    secret = F.when(canon.rlike(HEX), _shaped(canon, seed, hex_only=True)).otherwise(
-        F.concat(prefix, _shaped(F.substr(canon, F.length(prefix) + 1, F.length(canon)), seed)))
+    secret = F.when(canon.rlike(HEX), _shaped(more(canon, "0"), seed, hex_only=True)).otherwise(
+        F.concat(prefix, _shaped(more(F.substr(canon, F.length(prefix) + 1, F.length(canon)), "a"), seed)))
     out = F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "secret", secret).when(kind == "card", card).when(kind == "phone", phone) \
         .when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)),
                                        _shaped(F.substr(canon, F.lit(3), F.length(canon)), seed)))
@@ -221,18 +226,25 @@ def surrogate(kind: Column, canon: Column, seed: Column) -> Column:
         extra = F.get(pool, (_random(seed, F.lit(1)) % len(names)).cast("int"))
         out = out.when(kind == f"given_{script}_{gender}",
                        F.when(F.col("attempt") < 2, first).otherwise(F.concat(first, F.lit("-"), extra)))
-    return out.otherwise(_shaped(canon, seed))
+    last = F.substr(canon, F.length(canon), F.lit(1))
+    name = F.concat(canon, F.repeat(F.lower(last), F.lit(longer))) if longer else canon
+    return out.when(kind == "surname", _shaped(name, seed)).otherwise(_shaped(canon, seed))
 
 
 def resolve(entities: DataFrame, key: str) -> DataFrame:
-    """``(kind, canon, surr)`` with all surrogates different per type and none an entity."""
+    """``(kind, canon, surr)`` with all surrogates different per type and none an entity.
+
+    A type's short entities can use up the texts of their shape, so surrogates
+    grow from round to round and a free one exists in the end. Cards, SSNs, IPs
+    and IBANs keep their length; each has over 10^9 texts.
+    """
     todo = entities.select("kind", "canon", F.lit(0).alias("attempt"))
     taken = entities.select("kind", F.col("canon").alias("surr"))
     done = None
-    for attempt in range(MAX_ATTEMPTS):
+    for attempt in count():
         seed = F.concat_ws("\x1f", F.lit(key), F.col("kind"), F.col("canon"), F.lit(str(attempt)))
         drawn = todo.select("kind", "canon", F.lit(attempt).alias("attempt")).select(
-            "kind", "canon", surrogate(F.col("kind"), F.col("canon"), seed).alias("surr"))
+            "kind", "canon", surrogate(F.col("kind"), F.col("canon"), seed, max(0, attempt + 1 - SAME_SHAPE)).alias("surr"))
         free = drawn.join(taken, ["kind", "surr"], "left_anti")
         if done is not None:
             free = free.join(done.select("kind", "surr"), ["kind", "surr"], "left_anti")
@@ -243,14 +255,14 @@ def resolve(entities: DataFrame, key: str) -> DataFrame:
         todo = left
         if left.isEmpty():
             return done.select("kind", "canon", "surr")
-    raise ValueError("no different surrogates found")
 
 
 def _filled(raw: Column, digits: Column) -> Column:
-    """``raw`` with its digits replaced in order by ``digits``."""
-    return F.array_join(F.transform(
+    """``raw`` with its digits replaced in order by ``digits``, further ones at its end."""
+    return F.concat(F.array_join(F.transform(
         F.split(raw, ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substr(
-            digits, F.length(_digits(F.substr(raw, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
+            digits, F.length(_digits(F.substr(raw, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), ""),
+        F.substr(digits, F.length(_digits(raw)) + 1, F.length(digits)))
 
 
 def replacement(kind: Column, raw: Column, surr: Column) -> Column:

@@ -356,6 +356,16 @@ def test_cards_beside_numbers(spark):
     assert got[11].text == texts[11] and got[11].n_entities == 0
 
 
+def test_more_short_entities_than_texts_of_their_shape(spark):
+    texts = [f"{i}@example.com" for i in range(10)] + ["1@example.de"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = [r.text for r in pii.report(df).collect()]
+    assert len(set(out)) == len(texts) and not set(out) & set(texts)
+    rows = [(f"Mr {a}{b}",) for a in pii.LETTERS["upper"] for b in pii.LETTERS["lower"]]
+    out = [r.text for r in pii.report(spark.createDataFrame(rows, "text string").selectExpr("1L as doc_id", "text")).collect()]
+    assert len(set(out)) == len(rows) and not set(out) & {r[0] for r in rows}
+
+
 # ---- quality classifier --------------------------------------------------------------------------
 
 def test_op3_query(spark):
