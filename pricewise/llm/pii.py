@@ -36,9 +36,14 @@ TITLES = ("Mr", "Mrs", "Ms", "Mr.", "Mrs.", "Ms.", "Herr", "Frau", "Madame", "Mo
 LETTERS = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
            "cyr_lower": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "cyr_upper": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"}
 
-_GIVEN = "|".join(n for names in NAMES.values() for n in names)
+_GIVEN = "|".join(f"{n}|{n.upper()}" for names in NAMES.values() for n in names)
 _TITLE = "|".join(t.replace(".", r"\.") for t in sorted(TITLES, key=len, reverse=True))
-_SURNAME = r"\p{Lu}\p{L}+"
+# Capitalised words that are no further part of a name.
+STOP = ("The", "A", "An", "And", "Or", "But", "Of", "In", "On", "At", "To", "For", "From", "With", "By", "As", "He", "She", "It",
+        "We", "They", "You", "I", "Is", "Was", "Has", "Had", "Said", "Who", "When", "Der", "Die", "Das", "Und", *TITLES)
+_WORD = r"\p{Lu}(?:\p{L}++(?:['’\-]\p{Lu}\p{L}++)*+|(?:['’\-]\p{Lu}\p{L}++)++)"
+_STOP = rf"(?:{'|'.join(w.replace('.', chr(92) + '.') for w in STOP)})(?!\p{{L}})"
+_SURNAME = rf"{_WORD}(?: (?!{_STOP}){_WORD})*+"     # all parts after the given name or title
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # A last label of a mail host: letters, unless the label goes on after a dash and the host after that.
 _TLD = r"[A-Za-z]{2,}+(?![A-Za-z0-9]|-[A-Za-z0-9\-]*+\.(?:[0-9\-][A-Za-z0-9\-]*+\.)*+[A-Za-z])"
@@ -54,7 +59,7 @@ PATTERNS = {
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     # a run of digit groups, which cards are looked for in; it ends before a group that another entity begins with
     "card": "",
-    "given": rf"(?=\p{{Lu}})(?:{_GIVEN})(?= {_SURNAME})",
+    "given": rf"(?=\p{{Lu}})(?:{_GIVEN})(?= {_WORD})",
     "surname": rf"(?=\p{{Lu}})(?<= )(?<=(?<!\p{{L}})(?:{_GIVEN}|{_TITLE}) ){_SURNAME}",
 }
 _GROUP = r"\d++(?!\.\d|-(?!\d))"
@@ -103,7 +108,7 @@ def kind_of(raw: Column) -> Column:
 
     given = F.when(raw.isin([]), "")
     for (script, gender), names in NAMES.items():
-        given = given.when(raw.isin(list(names)), f"given_{script}_{gender}")
+        given = given.when(raw.isin([x for n in names for x in (n, n.upper())]), f"given_{script}_{gender}")
     return (F.when(raw.contains("@"), "email").when(is_("iban"), "iban").when(is_("secret"), "secret")
             .when(is_("ip"), "ip").when(is_("phone"), "phone").when(is_("ssn"), "ssn").when(raw.rlike("\\A[0-9]"), None)
             .otherwise(F.coalesce(given, F.lit("surname"))))
@@ -157,14 +162,18 @@ def _cards(raw: Column) -> Column:
 def parts_of(raw: Column) -> Column:
     """The parts of a match, in order: ``(part, kind)``."""
     kind = kind_of(raw)
+    words = F.regexp_extract_all(raw, F.lit(" |[^ ]+"), F.lit(0))
     return F.when(raw.rlike(rf"\A(?:{PATTERNS['card']})\z") & kind.isNull(), _cards(raw)) \
+        .when((kind == "surname") & raw.contains(" "), F.transform(words, lambda w: F.struct(
+            w.alias("part"), F.when(w != " ", kind_of(w)).alias("kind")))) \
         .otherwise(F.array(F.struct(raw.alias("part"), kind.alias("kind"))))
 
 
 def canonical(kind: Column, raw: Column) -> Column:
     """What two mentions of one entity share."""
     return F.when(kind.isin("phone", "card", "ssn"), _digits(raw)).when(kind == "iban", F.replace(raw, F.lit(" "))) \
-        .when((kind == "email") | (kind == "secret") & raw.rlike(HEX), F.lower(raw)).otherwise(raw)
+        .when((kind == "email") | (kind == "secret") & raw.rlike(HEX), F.lower(raw)) \
+        .when(kind == "surname", F.lower(raw)).when(kind.startswith("given"), F.initcap(raw)).otherwise(raw)
 
 
 def _random(seed: Column, i: Column) -> Column:
@@ -270,10 +279,28 @@ def replacement(kind: Column, raw: Column, surr: Column) -> Column:
     spaced = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(c == " ", " ").otherwise(F.substr(
         surr, F.length(F.replace(F.substr(raw, F.lit(1), i + 1), F.lit(" "))), F.lit(1)))), "")
     upper = (F.upper(raw) == raw) & (F.lower(raw) != raw)
-    return F.when(kind.isin("phone", "card", "ssn"), _filled(raw, surr)).when(kind == "iban", spaced) \
+    name = F.array_join(F.transform(F.split(surr, ""), lambda c, i: F.when(
+        F.substr(raw, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
+    return F.when((kind == "surname") & ~upper, name).when((kind == "surname") | kind.startswith("given") & upper, F.upper(surr)) \
+        .when(kind.isin("phone", "card", "ssn"), _filled(raw, surr)).when(kind == "iban", spaced) \
         .when(((kind == "email") | (kind == "secret") & raw.rlike(HEX)) & upper, F.upper(surr)).otherwise(surr)
 
 
+def names_of(ents: Column) -> Column:
+    """The words of the names among a text's entities, longest first."""
+    names = F.filter(ents, lambda x: x.rlike(r"\A\p{Lu}[\p{L}'’\- ]+\z") & ~x.rlike(rf"\A(?:{PATTERNS['secret']})\z"))
+    words = F.array_distinct(F.flatten(F.transform(names, lambda x: F.split(x, " "))))
+    words = F.filter(words, lambda w: ~w.isin(*STOP))
+    return F.transform(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))),
+                       lambda x: x.w)
+
+
+def _with_names(names: Column) -> Column:
+    """The expression of all entities, then those names standing alone, capitalised or in capitals."""
+    return F.concat(F.lit(rf"(?:{ENTITY})|{_WORD_START}(?=\p{{Lu}})(?iu:"), F.array_join(names, "|"),
+                    F.lit(r")(?![\p{L}\p{N}])"))
+
+
 def redact(docs: DataFrame, text: str = "text", key: str = "surrogates-1") -> DataFrame:
     """Packed rows of ``docs`` with ``new_text``, ``n_entities`` (long) and ``kinds`` (sorted, joined).
 
@@ -283,9 +310,17 @@ def redact(docs: DataFrame, text: str = "text", key: str = "surrogates-1") -> Da
     surrogates as long as the set of entities is the same.
     """
     t = F.col(f"`{text}`")
-    found = F.when(t.rlike(NAME_PLACE), F.regexp_extract_all(t, F.lit(ENTITY), F.lit(0))) \
-        .otherwise(F.regexp_extract_all(t, F.lit(NO_NAMES), F.lit(0)))
-    rows = cut(docs.select(pack(docs), found.alias("ents")), "pii-rows")
+    def found(pattern: str | Column) -> Column:
+        return F.regexp_extract_all(t, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
+
+    def both(names: Column, ents: Column) -> Column:
+        return F.struct(names.alias("names"), ents.alias("ents"))
+
+    # a text with names is searched again, for their words standing alone
+    named = _let(found(ENTITY), lambda e: _let(names_of(e), lambda n: both(
+        n, F.when(F.size(n) > 0, found(_with_names(n))).otherwise(e))))
+    f = F.when(t.rlike(NAME_PLACE), named).otherwise(both(F.array().cast("array<string>"), found(NO_NAMES)))
+    rows = cut(docs.select(pack(docs), f.alias("f")), "pii-rows").select(ROW, "f.names", "f.ents")
     has = F.coalesce(F.size("ents") > 0, F.lit(False))
     digest = F.sha2(F.array_join("ents", "\x1f").cast("binary"), 256)
     lists = cut(rows.filter(has).select("ents").groupBy(digest.alias("list")).agg(F.first("ents").alias("ents")),
@@ -302,8 +337,9 @@ def redact(docs: DataFrame, text: str = "text", key: str = "surrogates-1") -> Da
     each = lists.select("list", F.posexplode("ents").alias("pos", "raw")).join(repl, "raw")
     filled = cut(each.groupBy("list").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.col("repl").alias("r"), "kinds"))).alias("r")), "pii-filled")
-    pieces = F.split(F.col(ROW)[text], ENTITY, -1)
-    joined = rows.filter(has).select(ROW, digest.alias("list")).join(filled, "list").select(
+    pieces = F.when(F.size("names") > 0, F.split(F.col(ROW)[text], _with_names(F.col("names")), -1)) \
+        .otherwise(F.split(F.col(ROW)[text], ENTITY, -1))
+    joined = rows.filter(has).select(ROW, "names", digest.alias("list")).join(filled, "list").select(
         ROW, F.array_join(F.flatten(F.transform(
             pieces, lambda p, i: F.array(p, F.coalesce(F.get("r", i).r, F.lit(""))))), "").alias("new_text"),
         F.size(F.flatten(F.transform("r", lambda x: x.kinds))).cast("long").alias("n_entities"),

@@ -366,6 +366,23 @@ def test_more_short_entities_than_texts_of_their_shape(spark):
     assert len(set(out)) == len(rows) and not set(out) & {r[0] for r in rows}
 
 
+def test_every_mention_of_a_name(spark):
+    texts = ["John Smith left. Smith said. John said, SMITH too; Smithers and Johnny stay", "by Mary O'Brien; O'Brien's",
+             "Carlos García López, then López and García", "Mary Anne Smith came. Anne did", "JOHN SMITH and John Smith",
+             "Frau Müller-Lüdenscheidt The end", "Smith and John alone"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in sorted(pii.report(df).collect())]
+    john, smith = re.match(r"([\w-]+) (\w+) left", got[0]).groups()
+    assert {john, smith}.isdisjoint({"John", "Smith"})
+    assert got[0] == f"{john} {smith} left. {smith} said. {john} said, {smith.upper()} too; Smithers and Johnny stay"
+    assert re.fullmatch(r"by [\w-]+ (\w'\w+); \1's", got[1]) and "O'Brien" not in got[1] and "Mary" not in got[1]
+    assert re.fullmatch(r"[\w-]+ (\w+) (\w+), then \2 and \1", got[2]) and not re.search("Carlos|García|López", got[2])
+    assert re.fullmatch(rf"[\w-]+ (\w+) {smith} came\. \1 did", got[3]) and "Anne" not in got[3]
+    assert got[4] == f"{john.upper()} {smith.upper()} and {john} {smith}"
+    assert re.fullmatch(r"Frau \w+-\w+ The end", got[5]) and not re.search("Müller|Lüdenscheidt", got[5])
+    assert got[6] == texts[6]       # no given name or title before a capital in this text
+
+
 # ---- quality classifier --------------------------------------------------------------------------
 
 def test_op3_query(spark):
