@@ -38,13 +38,17 @@ QUANTILE = 0.9999           # of the chi-square distribution, where rejection st
 RIDGE = 0.25                # added to variances, in units of the robust scale
 BINS = 64                   # distance histogram bins per power of two
 
+# Least scale of a share that is mostly zero, in its range past the base rules: with the ridge a document of a clean
+# group reaches the limit at SHARE_SCALE * sqrt(limit * RIDGE), about 0.51 of the range, by this statistic alone.
+SHARE_SCALE = 1 / 6
 # transformed statistic and the least robust scale that a group may have in it
 FEATURES = {
     "log_words": (lambda: F.log1p(F.col("n_words")), 0.8),
     "log_word_length": (lambda: F.log(F.col("word_chars") / F.greatest("n_words", F.lit(1)) + 1), 0.1),
     "symbols": (lambda: F.sqrt(F.col("n_symbols") / F.greatest("word_chars", F.lit(1))), 0.06),
-    "dup_lines": (lambda: F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)), 0.25),
-    "repeats": (lambda: F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)), 0.25),
+    "dup_lines": (lambda: F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1)), SHARE_SCALE),
+    "repeats": (lambda: F.col("n_repeat_words") / F.greatest("n_words", F.lit(1)),
+                SHARE_SCALE * MAX_REPEAT / 100),
     "upper": (lambda: F.col("n_upper") / F.greatest("word_chars", F.lit(1)), 0.06),
 }
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

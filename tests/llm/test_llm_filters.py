@@ -209,6 +209,26 @@ def test_distances_against_numpy(spark):
     assert {i for i in got if not got[i].kept} == {i for i in range(400) if i % 40 == 0}
 
 
+STATS = ["doc_id", "g_lang", "g_source", "n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines",
+         "n_repeat_words"]
+
+
+def clean_rows(n, lang="en", source="s", seed=5, start=0):
+    rng = np.random.default_rng(seed)
+    sizes = rng.integers(200, 600, n)
+    return [(start + i, lang, source, int(w), int(w) * 5, 0, int(w) // 20, 20, 0, 0) for i, w in enumerate(sizes)]
+
+
+def test_repeats_or_duplicate_lines_alone_are_outliers(spark):
+    rows = clean_rows(300)
+    for i in (7, 70):
+        rows[i] = (*rows[i][:9], rows[i][3] * 45 // 100)
+    for i in (8, 80):
+        rows[i] = (*rows[i][:8], 12, 0)
+    got = quality_rules.verdicts(spark.createDataFrame(rows, STATS), ["doc_id"]).collect()
+    assert {r.doc_id for r in got if not r.kept} == {7, 70, 8, 80} and not any(r.base_failed for r in got)
+
+
 # ---- PII -----------------------------------------------------------------------------------------
 
 def luhn(s):
