@@ -7,8 +7,8 @@ steps: start from medians and interquartile ranges, keep the ``H`` share of
 documents with the smallest distances, re-estimate mean and covariance from
 them, and repeat. A document is rejected if its Mahalanobis distance to the
 final estimate exceeds a chi-square quantile. Sources with few documents are
-pooled by language, then over all languages; a pool that is still small
-rejects nothing.
+pooled by language, then over all languages; what is still few is judged by
+the estimate over all documents.
 
 Everything is grouped sums: moments and distance histograms are partially
 aggregated per task, so a source with a third of all rows is one more group of
@@ -102,15 +102,19 @@ def _chi2_quantile(p: float, df: int) -> float:
     return (lo + hi) / 2
 
 
+ALL = "all"
+
+
 def _pools(stats: DataFrame) -> DataFrame:
-    """Pool of every (language, source): its own, the language's or the common one."""
+    """Pool of every (language, source): its own, the language's, the common one of the rest or that of all documents."""
     n = stats.groupBy("g_lang", "g_source").agg(F.count("*").alias("n"))
     n = n.select("*", (F.col("n") >= MIN_GROUP).alias("own"))
     rest = n.filter("not own").groupBy("g_lang").agg(F.sum("n").alias("m"))
-    n = n.join(rest, "g_lang", "left")
+    left = rest.filter(F.col("m") < MIN_GROUP).agg(F.coalesce(F.sum("m"), F.lit(0)).alias("few"))
+    n = n.join(rest, "g_lang", "left").crossJoin(F.broadcast(left))
     return n.select("g_lang", "g_source", F.when(F.col("own"), F.concat_ws("\x1f", F.lit("s"), "g_lang", "g_source"))
                     .when(F.col("m") >= MIN_GROUP, F.concat_ws("\x1f", F.lit("l"), "g_lang"))
-                    .otherwise("a").alias("pool"))
+                    .when(F.col("few") >= MIN_GROUP, "a").otherwise(ALL).alias("pool"))
 
 
 def _distance(rows: DataFrame, params: DataFrame, p: int, keep: list[str]) -> DataFrame:
@@ -161,12 +165,15 @@ def verdicts(stats: DataFrame, keep: list[str]) -> DataFrame:
     pools = small(cut(_pools(stats.filter(~base_failed())), "rules-pools"))
     x = stats.filter(~base_failed()).join(pools, ["g_lang", "g_source"]).select(
         "pool", *[f().alias(f"x{i}") for i, (f, _) in enumerate(FEATURES.values())])
+    if not pools.filter(F.col("pool") == ALL).isEmpty():
+        # every document takes part in this estimate, also those of other pools
+        x = x.filter(F.col("pool") != ALL).unionByName(x.withColumn("pool", F.lit(ALL)))
     start = cut(x.groupBy("pool").agg(F.count("*").alias("size"), *[
         F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 10000).alias(f"r{i}") for i in range(p)]).select(
         "pool", "size", *[F.col(f"r{i}")[1].alias(f"a{i}") for i in range(p)],
         *[F.greatest((F.col(f"r{i}")[2] - F.col(f"r{i}")[0]) / 1.349, F.lit(FEATURES[names[i]][1])).alias(f"s{i}")
           for i in range(p)]), "rules-start")
-    z = cut(x.join(small(start).filter(F.col("size") >= MIN_GROUP), "pool").select(
+    z = cut(x.join(small(start), "pool").select(
         "pool", *[((F.col(f"x{i}") - F.col(f"a{i}")) / F.col(f"s{i}")).alias(f"z{i}") for i in range(p)]), "rules-z")
     zs = [f"z{i}" for i in range(p)]
     dist = z.select("pool", *zs, reduce(lambda a, b: a + b, [F.col(c) * F.col(c) for c in zs]).alias("d"))

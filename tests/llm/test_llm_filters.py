@@ -229,6 +229,18 @@ def test_repeats_or_duplicate_lines_alone_are_outliers(spark):
     assert {r.doc_id for r in got if not r.kept} == {7, 70, 8, 80} and not any(r.base_failed for r in got)
 
 
+def test_few_documents_are_judged(spark):
+    spam = lambda r: (*r[:5], r[4] // 2, *r[6:])    # noqa: E731 - half of the characters are symbols
+    few = clean_rows(50, seed=6)
+    few[3] = spam(few[3])
+    got = quality_rules.verdicts(spark.createDataFrame(few, STATS), ["doc_id"]).collect()
+    assert [r.doc_id for r in got if not r.kept] == [3] and all(r.distance is not None for r in got)
+    rare = [spam(r) for r in clean_rows(60, "xx", "spam", 7, 1000)]      # all of a small source
+    rows = clean_rows(400) + rare + clean_rows(40, "yy", "t", 8, 2000)
+    got = quality_rules.verdicts(spark.createDataFrame(rows, STATS), ["doc_id"]).collect()
+    assert len(got) == 500 and {r.doc_id for r in got if not r.kept} == {r[0] for r in rare}
+
+
 # ---- PII -----------------------------------------------------------------------------------------
 
 def luhn(s):
