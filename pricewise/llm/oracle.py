@@ -75,4 +75,36 @@ SELECT conv_id, count(*) AS n_turns,
          AS formatted_chars
 FROM c GROUP BY conv_id"""
 
-ORACLE: dict[str, str] = {"op4_urls": OP4, "op6_decontaminate": OP6, "op10_chat": OP10}
+_CRC = """xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)),
+         lambda r, x: list_reduce([1, 2, 3, 4, 5, 6, 7, 8], lambda b, i: CASE WHEN b % 2 = 1 THEN xor(b // 2, 3988292384)
+                                  ELSE b // 2 END, xor(r, x)), 4294967295), 4294967295)"""
+OP11 = f"""
+WITH said AS (SELECT CAST(conv_id AS BIGINT) AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+              FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT c, pos, md5(length(r) || ':' || r || t) AS id, length(t) AS n FROM said),
+conv AS (SELECT c, c - c % 100 AS base, {_CRC} % 6 AS h FROM (SELECT DISTINCT c FROM turns)),
+size AS (SELECT c, count(*) AS n FROM turns GROUP BY c),
+whole AS (SELECT conv.c, t.pos, t.id, t.n FROM conv JOIN turns t ON t.c = conv.base AND t.pos < conv.h
+          UNION ALL
+          SELECT conv.c, t.pos - h + least(h, coalesce(size.n, 0)), t.id, t.n
+          FROM conv JOIN turns t ON t.c = conv.c AND t.pos >= conv.h LEFT JOIN size ON size.c = conv.base),
+path AS (SELECT c, 0 AS depth, md5('') AS node, CAST(NULL AS VARCHAR) AS parent, 0 AS n FROM conv
+         UNION ALL
+         SELECT c, pos + 1, md5(string_agg(id, '') OVER w), CASE WHEN pos = 0 THEN md5('')
+                ELSE md5(string_agg(id, '') OVER (PARTITION BY c ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) END, n
+         FROM whole WINDOW w AS (PARTITION BY c ORDER BY pos)),
+node AS (SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(c) AS c, count(*) AS members, any_value(n) AS n
+         FROM path GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS kids FROM node WHERE parent IS NOT NULL GROUP BY parent),
+below AS (SELECT p.node, count(*) FILTER (WHERE k.kids IS NULL) AS leaves, sum((u.members - 1) * u.n) AS saved
+          FROM node u JOIN path p ON p.c = u.c AND p.depth <= u.depth LEFT JOIN kids k ON k.node = u.node GROUP BY p.node),
+ends AS (SELECT node, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids
+         FROM (SELECT c, arg_max(node, depth) AS node FROM path GROUP BY c) GROUP BY node)
+SELECT node.c AS conv_id, CAST(node.depth AS BIGINT) AS depth, up.c AS parent_conv_id, node.members AS n_convs,
+       coalesce(kids.kids, 0) AS n_children, below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(ends.ids, '')) AS ends_sha256
+FROM node LEFT JOIN node up ON up.node = node.parent LEFT JOIN kids ON kids.node = node.node
+JOIN below ON below.node = node.node LEFT JOIN ends ON ends.node = node.node"""
+
+ORACLE: dict[str, str] = {"op4_urls": OP4, "op6_decontaminate": OP6, "op10_chat": OP10, "op11_prefix_trie": OP11}

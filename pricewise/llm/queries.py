@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from pricewise.sources.tables import read_table
 
-from . import (bpe, chat, decontaminate, license_scan, pii, quality_model, quality_rules, simhash, url_filter,
-               wordpiece)
+from . import (bpe, chat, conversation_trie, decontaminate, license_scan, pii, quality_model, quality_rules, simhash,
+               url_filter, wordpiece)
+from .base import cut
 from .oracle import ORACLE  # noqa: F401 - registered with the queries
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,9 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     return chat.digests(chat.format_turns(said.unionByName(more)))
 
+
+@_query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
+    turns = cut(conversation_trie.turn_table(said), "trie-turns")
+    return conversation_trie.prefix_trie(conversation_trie.share_openings(turns))
