@@ -107,4 +107,15 @@ SELECT node.c AS conv_id, CAST(node.depth AS BIGINT) AS depth, up.c AS parent_co
 FROM node LEFT JOIN node up ON up.node = node.parent LEFT JOIN kids ON kids.node = node.node
 JOIN below ON below.node = node.node LEFT JOIN ends ON ends.node = node.node"""
 
-ORACLE: dict[str, str] = {"op4_urls": OP4, "op6_decontaminate": OP6, "op10_chat": OP10, "op11_prefix_trie": OP11}
+_B32 = """array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          CAST((CAST('0x' || substr(hex, CAST(i // 4 * 5 + 1 AS INT), 5) AS BIGINT) >> CAST(15 - i % 4 * 5 AS INT)) & 31 AS INT) + 1, 1)), '')"""
+OP13 = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body, sha1(encode(coalesce(html, ''))) AS hex FROM pages),
+f AS (SELECT hex, min(page_id) AS first FROM p GROUP BY hex)
+SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, {_B32} AS payload_digest,
+       CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM p JOIN f USING (hex)"""
+
+ORACLE: dict[str, str] = {"op4_urls": OP4, "op6_decontaminate": OP6, "op10_chat": OP10, "op11_prefix_trie": OP11,
+                          "op13_warc": OP13}

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pricewise.sources.tables import read_table
 
 from . import (bpe, chat, conversation_trie, decontaminate, license_scan, pii, quality_model, quality_rules, simhash,
-               url_filter, wordpiece)
-from .base import cut
+               url_filter, warc, wordpiece)
+from .base import cut, scratch_path
 from .oracle import ORACLE  # noqa: F401 - registered with the queries
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
     turns = cut(conversation_trie.turn_table(said), "trie-turns")
     return conversation_trie.prefix_trie(conversation_trie.share_openings(turns))
+
+
+@_query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return warc.round_trip(pages, scratch_path(spark, "warc")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
