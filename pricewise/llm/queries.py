@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricewise.sources.tables import read_table
 
-from . import (bpe, chat, conversation_trie, decontaminate, license_scan, pii, quality_model, quality_rules, simhash,
+from . import (alignment, bpe, chat, conversation_trie, decontaminate, license_scan, pii, quality_model, quality_rules, simhash,
                url_filter, warc, wordpiece)
 from .base import cut, scratch_path
 from .oracle import ORACLE  # noqa: F401 - registered with the queries
@@ -86,6 +86,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(conversation_trie.share_openings(turns))
 
 
+@_query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents", ["doc_id", "text"])).drop("groups")
+
+
 @_query
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
