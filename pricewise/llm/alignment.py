@@ -19,7 +19,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,12 @@ BLOCK_DOCS = 1 << BLOCK_BITS    # documents of a block; a bitset of one takes 51
 BLOCK_LINKS = 4_000_000         # links after which a block ends, however few documents it has
 MERGE_LINKS = 500_000           # links counted into bitmaps at a time
 BITSET_FROM = BLOCK_DOCS // 16  # documents from which a bitset is shorter than a list of 16-bit numbers
-MAX_MEMO = 120_000              # parts whose alignment is kept per worker
-MEMO_CHARS = 48                 # longer parts are always aligned anew
+MEMO_CHARS = 3_000_000          # characters of the parts whose alignment is kept per worker, and of as many older ones
+LEARN_PARTS = 300               # new parts encoded as one text
+TEXT_CHARS = 1_000_000          # characters of the texts aligned together (or one text)
 LONG_PART = 20_000              # longer parts go to the tokenizer whose pattern matcher has no step limit
 _BLANK = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])")
+_PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.S).fullmatch
 
 
 # ---- compressed bitmaps ----------------------------------------------------------------------------
@@ -92,7 +96,7 @@ class ByteTokenizer:
         model = json.loads(source)["model"]
         special = {t["content"] for t in json.loads(source).get("added_tokens", ())}
         chars = _byte_chars()
-        self.bytes = {i: bytes(chars[c] for c in t) for t, i in model["vocab"].items() if t not in special}
+        self.bytes = {i: bytes([chars[c] for c in t]) for t, i in model["vocab"].items() if t not in special}
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         ranks = {t: i for i, t in self.bytes.items()}
         joined = [ranks.get(bytes(chars[c] for c in a + b)) for a, b in pairs]
@@ -132,13 +136,25 @@ class PieceTokenizer:
 
 # ---- alignment of one text -------------------------------------------------------------------------
 
-class Part:
-    """Alignment of a text or a part of one."""
+class Part(NamedTuple):
+    """Alignment of a text or a part of one: B tokens, groups as text, linked id pairs (32 bits each)."""
 
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "pairs")
+    n_b: int
+    groups: str
+    pairs: bytes
 
-    def __init__(self, n_a: int, n_b: int, n_groups: int, groups: str, pairs: bytes):
-        self.n_a, self.n_b, self.n_groups, self.groups, self.pairs = n_a, n_b, n_groups, groups, pairs
+    @property
+    def n_groups(self) -> int:
+        return self.groups.count(";") + 1
+
+    @property
+    def n_links(self) -> int:
+        return len(self.pairs) // 4
+
+    @property
+    def n_a(self) -> int:
+        # a link more for every token end of either side, but one where both end
+        return self.n_links + self.n_groups - self.n_b
 
 
 class Aligner:
@@ -147,46 +163,97 @@ class Aligner:
     def __init__(self, a_source: str, b_model: bytes):
         self.a, self.b = ByteTokenizer(a_source), PieceTokenizer(b_model)
         self.memo: dict[str, Part | None] = {}
+        self.older: dict[str, Part | None] = {}
+        self.weight = 0
 
     def part(self, text: str) -> Part | None:
         """Alignment of `` `` + ``text`` without cutting it."""
         a, b = self.a.encode(" " + text), self.b.encode(text)
         raw = (" " + text).encode()
-        of_a, of_b = [self.a.bytes[i] for i in a], [self.b.bytes[i] for i in b]
+        of_a, of_b = self.a.bytes, self.b.bytes
+        of_a, of_b = [of_a[i] for i in a], [of_b[i] for i in b]
         if b"".join(of_a) != raw or b"".join(of_b) != raw:
             return None
-        ends_a, ends_b = np.cumsum([len(x) for x in of_a]), np.cumsum([len(x) for x in of_b])
-        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        ends = np.union1d(ends_a, ends_b)       # between two ends lies the overlap of one linked pair
-        pair = (np.asarray(b, np.uint32)[np.searchsorted(ends_b, ends)] << 16
-                | np.asarray(a, np.uint32)[np.searchsorted(ends_a, ends)])
-        at_a, at_b = np.searchsorted(ends_a, both) + 1, np.searchsorted(ends_b, both) + 1
-        groups, i, j = [], 0, 0
-        for x, y in zip(at_a.tolist(), at_b.tolist()):
-            groups.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-            i, j = x, y
-        return Part(len(a), len(b), len(groups), ";".join(groups), pair.astype("<u4").tobytes())
-
-    def _kept(self, text: str) -> Part | None:
-        found = self.part(text)
-        if len(text) <= MEMO_CHARS:
-            if len(self.memo) >= MAX_MEMO:
-                self.memo.clear()
-            self.memo[text] = found
-        return found
+        groups, pairs = [], []
+        i = j = first_a = first_b = 0
+        end_a, end_b, last = len(of_a[0]), len(of_b[0]), len(a)
+        while True:
+            pairs.append(b[j] << 16 | a[i])
+            if end_a < end_b:
+                i += 1
+                end_a += len(of_a[i])
+                continue
+            if end_b < end_a:
+                j += 1
+                end_b += len(of_b[j])
+                continue
+            i, j = i + 1, j + 1
+            groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
+            if i == last:
+                return Part(len(b), ";".join(groups), array("I", pairs).tobytes())
+            first_a, first_b = i, j
+            end_a, end_b = end_a + len(of_a[i]), end_b + len(of_b[j])
+
+    def _learn(self, parts: list[str]) -> None:
+        """Keep the alignment of parts. Those that begin and end with visible characters are encoded as one text."""
+        plain = [p for p in parts if _PLAIN(p)]
+        for p in parts if len(plain) < len(parts) else ():
+            if not _PLAIN(p):
+                self.memo[p] = self.part(p)
+        for at in range(0, len(plain), LEARN_PARTS):
+            some = plain[at:at + LEARN_PARTS]
+            text = " ".join(some)
+            raw = (" " + text).encode()
+            a, b = self.a.encode(" " + text), self.b.encode(text)
+            of_a, of_b = [self.a.bytes[i] for i in a], [self.b.bytes[i] for i in b]
+            if b"".join(of_a) != raw or b"".join(of_b) != raw:
+                self.memo.update((p, self.part(p)) for p in some)
+                continue
+            ends_a, ends_b = np.cumsum(list(map(len, of_a))), np.cumsum(list(map(len, of_b)))
+            ends = np.union1d(ends_a, ends_b)       # between two ends lies the overlap of one linked pair
+            pairs = (np.array(b, np.uint32)[np.searchsorted(ends_b, ends)] << 16
+                     | np.array(a, np.uint32)[np.searchsorted(ends_a, ends)]).astype("<u4").tobytes()
+            both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+            to_a, to_b = (np.searchsorted(ends_a, both) + 1).tolist(), (np.searchsorted(ends_b, both) + 1).tolist()
+            text_a, text_b = list(map(str, a)), list(map(str, b))
+            groups = [f"{','.join(text_a[i:x])}|{','.join(text_b[j:y])}"
+                      for i, x, j, y in zip([0, *to_a], to_a, [0, *to_b], to_b)]
+            sizes = np.cumsum([len(p.encode()) + 1 for p in some])
+            link, group = np.searchsorted(ends, sizes) + 1, np.searchsorted(both, sizes) + 1
+            n_b = np.diff(np.searchsorted(ends_b, sizes), prepend=-1).tolist()
+            link, group = (4 * link).tolist(), group.tolist()
+            for p, n, i, x, j, y in zip(some, n_b, [0, *group], group, [0, *link], link):
+                self.memo[p] = Part(n, ";".join(groups[i:x]), pairs[j:y])
+
+    def _know(self, parts: set[str]) -> None:
+        """All parts are in the memo afterwards; when it is full, the older half goes."""
+        need = parts - self.memo.keys()
+        if self.weight > MEMO_CHARS:
+            self.older, self.memo, self.weight, need = self.memo, {}, 0, parts
+        back = need & self.older.keys()
+        self.memo.update((p, self.older[p]) for p in back)
+        self._learn(list(need - back))
+        self.weight += sum(map(len, need)) + 8 * len(need)
+
+    def align_many(self, texts: list[str | None]) -> list[Part | None]:
+        """Alignments of whole texts; null and empty texts have none."""
+        if not self.b.cuts:
+            return [self.part(t) if t else None for t in texts]
+        cut = [_BLANK.split(t) if t else None for t in texts]
+        self._know(set().union(*[c for c in cut if c]))
+        known, out = self.memo.__getitem__, []
+        for t, c in zip(texts, cut):
+            found = list(map(known, c)) if c else []
+            if None in found:
+                out.append(self.part(t))        # where a part loses bytes the whole text decides
+            elif found:
+                out.append(Part(sum([p[0] for p in found]), ";".join([p[1] for p in found]), b"".join([p[2] for p in found])))
+            else:
+                out.append(None)
+        return out
 
     def align(self, text: str | None) -> Part | None:
-        """Alignment of a whole text; null and empty texts have none."""
-        if not text:
-            return None
-        if not self.b.cuts:
-            return self.part(text)
-        memo = self.memo
-        parts = [memo[p] if p in memo else self._kept(p) for p in _BLANK.split(text)]
-        if None in parts:
-            return self.part(text)      # where a part loses bytes the text decides
-        return Part(sum([p.n_a for p in parts]), sum([p.n_b for p in parts]), sum([p.n_groups for p in parts]),
-                    ";".join([p.groups for p in parts]), b"".join([p.pairs for p in parts]))
+        return self.align_many([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -196,6 +263,18 @@ def _aligner(a_source: str, b_model: bytes) -> Aligner:
 
 # ---- index -----------------------------------------------------------------------------------------
 
+def aligned(aligner: Aligner, column: pa.Array):
+    """Alignments of a column of texts, a bounded number of characters at a time."""
+    held, size = [], 0
+    for value in column:
+        held.append(value.as_py())
+        size += len(held[-1] or "")
+        if size >= TEXT_CHARS:
+            yield from aligner.align_many(held)
+            held, size = [], 0
+    yield from aligner.align_many(held)
+
+
 class Block:
     """Bitmaps of the pairs of up to ``BLOCK_DOCS`` documents."""
 
@@ -296,12 +375,11 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", pat
 
         for batch in batches:
             ids, id_type, rows, done = batch.column(0), batch.column(0).type, [], 0
-            for value in batch.column(1):
-                p = aligner.align(value.as_py())
+            for p in aligned(aligner, batch.column(1)):
                 if p is None:
                     rows.append((number, block.add(b""), 0, 0, 0, 0, "" if keep_groups else None, "", *[None] * 4))
                 else:
-                    rows.append((number, block.add(p.pairs), p.n_a, p.n_b, p.n_groups, len(p.pairs) // 4,
+                    rows.append((number, block.add(p.pairs), p.n_a, p.n_b, p.n_groups, p.n_links,
                                  p.groups if keep_groups else None, hashlib.sha256(p.groups.encode()).hexdigest(),
                                  *[None] * 4))
                 if block.full():

@@ -107,7 +107,8 @@ def test_long_runs(aligner, public):
 
 
 def test_memo_may_be_cleared(public, monkeypatch):
-    monkeypatch.setattr(al, "MAX_MEMO", 3)
+    monkeypatch.setattr(al, "MEMO_CHARS", 30)
+    monkeypatch.setattr(al, "LEARN_PARTS", 3)
     with open(A_PATH, encoding="utf-8") as f, open(B_PATH, "rb") as g:
         aligner = al.Aligner(f.read(), g.read())
     for t in texts(9, 60):
