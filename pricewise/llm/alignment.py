@@ -408,11 +408,15 @@ def pair_counts(index: DataFrame) -> DataFrame:
 def scored(index: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 (and groups)."""
     counts = pair_counts(index).select("pair", F.col("n_links").alias("count"), "is_best")
-    post = index.where("pair is not null").select("pair", "block", "planes").join(counts, "pair") \
-        .select("block", "planes", "count", "is_best")
+    post = index.where("pair is not null")
+    # totals go to the blocks that need them; only there do they meet the bitmaps, which are shuffled once
+    asked = post.select("pair", "block").join(counts, "pair").select(
+        "block", "pair", "count", "is_best", F.lit(None).cast("array<binary>").alias("planes"))
+    rows = asked.unionByName(post.select("block", "pair", F.lit(0).cast("long").alias("count"),
+                                         F.lit(False).alias("is_best"), "planes"))
 
     def run(batches):
-        now, total, best = None, None, None
+        now, total, best, known = None, None, None, {}
         names = ["block", "place", "count_sum", "n_best"]
 
         def flush():
@@ -421,13 +425,18 @@ def scored(index: DataFrame) -> DataFrame:
                                                pa.array(total[at]), pa.array(best[at])], names=names)
 
         for batch in batches:
-            planes = batch.column(1)
-            for i, (block, count, good) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(),
-                                                         batch.column(3).to_pylist())):
+            planes = batch.column(4)
+            empty = planes.is_null().to_pylist()
+            for i, (block, pair, count, good) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)))):
                 if block != now:
                     if now is not None:
                         yield flush()
-                    now, total, best = block, np.zeros(BLOCK_DOCS, np.int64), np.zeros(BLOCK_DOCS, np.int64)
+                    now, known = block, {}
+                    total, best = np.zeros(BLOCK_DOCS, np.int64), np.zeros(BLOCK_DOCS, np.int64)
+                if empty[i]:
+                    known[pair] = (count, good)
+                    continue
+                count, good = known[pair]
                 for digit, plane in enumerate(planes[i]):
                     at = unpack_bitmap(plane.as_buffer())
                     total[at] += count << digit
@@ -436,7 +445,7 @@ def scored(index: DataFrame) -> DataFrame:
         if now is not None:
             yield flush()
 
-    sums = post.repartition("block").sortWithinPartitions("block").mapInArrow(
+    sums = rows.repartition("block").sortWithinPartitions("block", F.col("planes").isNotNull()).mapInArrow(
         run, "block long, place int, count_sum long, n_best long")
     docs = index.where("pair is null")
     out = docs.join(sums, ["block", "place"], "left")
