@@ -33,5 +33,5 @@ def verdict(observations: Column, delta_pct: Column,
 def check_month(month: Column) -> Column:
     """Column-level argument check: month must be within 1..12."""
     return F.when(month.isNotNull() & month.between(1, 12), month).otherwise(
-        F.raise_error(F.concat(F.lit("sale_month must be between 1 and 12, got "),
+        F.raise_error(F.concat(F.lit("no such month (1 to 12 expected): "),
                                F.coalesce(month.cast("string"), F.lit("null")))))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.config import TARGET_COLUMN
-from pricewise.operators.dims import checked_broadcast
+from pricewise.operators.dims import broadcast_ok, checked_broadcast, written
 from pricewise.operators.median import grouped_median
 
 
@@ -40,12 +40,13 @@ def fit_group_baseline(train: DataFrame, keys=("make", "body"), target: str = TA
     table = train.groupBy(*keys).agg(F.sum(F.col(target).cast("decimal(18,2)")).alias("_sum"),
                                      F.count(F.lit(1)).alias("n"))
     table = table.withColumn("prediction", F.col("_sum").cast("double") / F.col("n"))
-    if broadcast_check:
-        table = checked_broadcast(table)
-    # overall mean from the exact group sums: no second pass over the rows
-    tot = table.agg(F.sum("_sum").cast("double").alias("s"), F.sum("n").alias("n")).first()
+    # overall mean from the exact group sums, added up by the job that writes the table
+    sums = dict(s=F.sum("_sum").cast("double"), n=F.sum("n"))
+    table = checked_broadcast(table, **sums) if broadcast_check else written(table, "baseline", **sums)
+    tot = table.observations
     fallback = tot["s"] / tot["n"] if tot["n"] else None
-    return GroupBaseline(table.drop("_sum"), keys, fallback)
+    out = table.drop("_sum")
+    return GroupBaseline(F.broadcast(out) if broadcast_ok(table) else out, keys, fallback)
 
 
 def scalar_median(df: DataFrame, value: str, out: str = "median",

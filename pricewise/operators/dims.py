@@ -1,41 +1,49 @@
-"""Small dimension tables: materialise once, broadcast only after a size check."""
+"""Small dimension tables: written once, broadcast only after a size check."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from pricewise.sources.sinks import scratch_path
+
 # Rows up to which a derived dimension is broadcast (checked, not assumed).
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-# Size of its cached rows up to which it is broadcast, whatever their number.
-MAX_BROADCAST_BYTES = 64 << 20
+# Size of its files up to which it is broadcast, whatever their number.
+MAX_BROADCAST_BYTES = 32 << 20
+
 
+def written(df: DataFrame, label: str, **observed: Column) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: one job, no executor keeps it.
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Persist (memory, spilling to disk) so several consumers share one
-    computation. A lost executor's blocks are recomputed from the lineage."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    Its row count and the ``observed`` aggregates come out of the same job
+    (``observations`` of the result, by name; the count is ``rows``).
+    """
+    spark, path, seen = df.sparkSession, scratch_path(df.sparkSession, label), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in observed.items()]).write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.observations = seen.get
+    return out
 
 
-def cached_bytes(df: DataFrame) -> int:
-    """Size of a persisted and counted frame, from the statistics of its cached rows."""
-    return int(str(df.select("*")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def file_bytes(df: DataFrame) -> int:
+    """Size of the files below a frame that is read from a table, from its statistics (no job)."""
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows and ``MAX_BROADCAST_BYTES``.
+def checked_broadcast(df: DataFrame, max_rows: int | None = None, **observed: Column) -> DataFrame:
+    """``df`` written to a table and broadcast only if it has at most ``max_rows`` rows and ``MAX_BROADCAST_BYTES``.
 
-    The table is materialised first, so the size check and the later join
-    read the same rows and the upstream plan runs once. Beyond the limit the
-    frame is returned unhinted and the join stays a shuffle join (with AQE
-    skew handling).
+    The size check and the later joins read the same rows and the upstream plan
+    runs once. Beyond the limit the frame is returned unhinted and the join
+    stays a shuffle join (with AQE skew handling).
     """
     limit = DEFAULT_MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    df = materialise(df)
-    ok = df.count() <= limit and cached_bytes(df) <= MAX_BROADCAST_BYTES
+    df = written(df, "dimension", **observed)
+    ok = df.observations["rows"] <= limit and file_bytes(df) <= MAX_BROADCAST_BYTES
     out = F.broadcast(df) if ok else df
     out._broadcast_ok = ok      # consumers of projections of ``out`` re-apply the verdict
+    out.observations = df.observations
     return out
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pricewise.config import RARE_LEVEL_MIN_COUNT
 from pricewise.operators.dims import broadcast_ok
+from pricewise.sources.sinks import scratch_path
 
 RARE = "__rare__"
 
@@ -33,11 +34,28 @@ def level_counts(df: DataFrame, columns: list[str],
                          F.when(rare, F.lit(RARE)).otherwise(F.col("level")).alias("encoded_level"))
 
 
+def level_numbers(levels: DataFrame) -> DataFrame:
+    """``number`` 0, 1, ... in alphabetical order of the (distinct) levels of each feature.
+
+    Levels are range partitioned; the counts before a partition give its first
+    numbers, so no feature has to be sorted by one task.
+    """
+    spark = levels.sparkSession
+    path = scratch_path(spark, "levels")
+    order = Window.partitionBy("feature", "_part").orderBy("level")
+    levels.select("feature", "level").repartitionByRange("feature", "level") \
+        .withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    parts = spark.read.schema("feature string, level string, _part int").parquet(path)
+    before = Window.partitionBy("feature").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = parts.groupBy("feature", "_part").agg(F.count("*").alias("_n")).select(     # a row per feature and partition
+        "feature", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    return parts.join(first, ["feature", "_part"]).select(
+        "feature", "level", (F.col("_first") + F.row_number().over(order) - 1).cast("bigint").alias("number"))
+
+
 def ordinal_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     """Alphabetical codes 0..k-1 per feature (unseen levels map to -1)."""
-    lv = _long_levels(df, columns).distinct()
-    w = Window.partitionBy("feature").orderBy("level")
-    return lv.select("feature", "level", (F.row_number().over(w) - 1).cast("bigint").alias("code"))
+    return level_numbers(_long_levels(df, columns).distinct()).withColumnRenamed("number", "code")
 
 
 def scaling_stats(df: DataFrame, columns: list[str]) -> DataFrame:

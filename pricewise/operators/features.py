@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.config import (DEFAULT_BOUNDS, FEATURE_COLUMNS, TARGET_COLUMN, Bounds,
@@ -17,10 +17,11 @@ FEATURE_INPUT = ["year", "make", "model", "body", "condition", "odometer", "sale
 
 
 def require_columns(df: DataFrame, required: list[str]) -> None:
-    """Raise with the sorted list of missing columns."""
-    missing = sorted(set(required) - set(df.columns))
-    if missing:
-        raise ValueError(f"Missing required columns: {', '.join(missing)}")
+    """Fail before any job if ``df`` lacks columns; the error names them in alphabetical order."""
+    present = frozenset(df.columns)
+    absent = [c for c in sorted(required) if c not in present]
+    if absent:
+        raise ValueError("the table has no column " + ", ".join(dict.fromkeys(absent)))
 
 
 def feature_rows(clean: DataFrame, keep: list[str] | None = None,
@@ -46,6 +47,11 @@ def feature_rows(clean: DataFrame, keep: list[str] | None = None,
     )
 
 
+def unclipped_age(saledate: Column, model_year: Column) -> Column:
+    """Sale year minus model year as it is; negative when the model year lies ahead."""
+    return (F.year(saledate) - model_year).cast("bigint")
+
+
 def apply_bounds(df: DataFrame, bounds: Bounds = DEFAULT_BOUNDS,
                  price_col: str = TARGET_COLUMN) -> DataFrame:
     """Inclusive range filter; a conjunction Catalyst pushes to the scan."""

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.dates import month_start, year_month
 from pricewise.operators import dims
-from pricewise.operators.dims import materialise
 
 MONTH = "year_month"
 
@@ -205,17 +204,16 @@ def asof_lookup(facts: DataFrame, index: DataFrame, cols: list[str],
     year), so it is broadcast after a size check; the fact side is never
     shuffled. The two range bounds are read once to the driver.
     """
-    cal = materialise(dense_calendar(unique_months(index.select(MONTH, *cols)), cols))
-    # one job gives both the size check and the range bounds
-    first = cal.agg(F.count(F.lit(1)).alias("n"), F.min(MONTH).alias("lo"),
-                    F.max(MONTH).alias("hi")).first()
+    # the job that writes the calendar gives its size and the range bounds
+    cal = dims.checked_broadcast(dense_calendar(unique_months(index.select(MONTH, *cols)), cols),
+                                 lo=F.min(MONTH), hi=F.max(MONTH))
+    first = cal.observations
     if first["lo"] is None:
         raise ValueError("as-of lookup needs a non-empty index")
-    if first["n"] <= dims.DEFAULT_MAX_BROADCAST_ROWS:
-        cal = F.broadcast(cal)
     # greatest/least skip nulls: a null month must stay unresolved
     key = F.when(F.col(month_col).isNotNull(),
                  F.least(F.greatest(F.col(month_col), F.lit(first["lo"])), F.lit(first["hi"])))
     f = facts.withColumn("_key", key)
-    out = f.join(cal.select(F.col(MONTH).alias("_key"), "resolved_month", *cols), "_key", "left")
+    keyed = cal.select(F.col(MONTH).alias("_key"), "resolved_month", *cols)
+    out = f.join(F.broadcast(keyed) if dims.broadcast_ok(cal) else keyed, "_key", "left")
     return out.drop("_key").withColumn("is_carried", F.col("resolved_month") != F.col(month_col))

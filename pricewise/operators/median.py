@@ -1,11 +1,11 @@
-"""Grouped medians by one method for every group size.
+"""Exact grouped medians by bracketing, with one method for every group size.
 
-Equal values are counted first (partial aggregation folds heavy ties), then the
-distinct (group, value) rows are range partitioned, so a hot group is spread
-over many tasks. Counts per partition give each partition's rank offset; only
-the one or two partitions that hold the middle ranks are summed up row by row.
-No group has to fit in one task. Null keys form a group like any other; null
-values count as rows but take no part in the median.
+Mergeable quantile sketches give each group two values that enclose its middle
+ranks. A second pass counts the rows below the bracket and keeps only the rows
+inside, equal values counted together before the shuffle. So an exchange carries
+sketches and about 4 / ``ACCURACY`` of the rows, however large a group is, and
+the running count that finds the middle ranks reads only those. Null keys form a
+group like any other; null values count as rows but take no part in the median.
 
 With ``accuracy`` the built-in ``percentile_approx`` is used instead: bounded
 memory, and an element of the data (no interpolation on even counts).
@@ -13,51 +13,62 @@ memory, and an element of the data (no interpolation on even counts).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricewise.operators.dims import written
+
+ACCURACY = 10_000       # rank error of a sketch: 1 / ACCURACY of a group's rows
+
+
+def middle_values(df: DataFrame, keys: list[str], value: str, count_col: str = "n") -> DataFrame:
+    """One row per group: ``keys``, row count, and the two middle values ``lo`` and ``hi`` (equal on odd counts).
+
+    ``df`` is read twice, so it should be cheap to read. Starts one job (the
+    sketches, one row per group, are written).
+    """
+    margin = 2.0 / ACCURACY
+    sketches = df.groupBy(*keys).agg(
+        F.percentile_approx(value, [0.5 - margin, 0.5 + margin], ACCURACY).alias("_b"),
+        F.count(F.lit(1)).alias(count_col), F.count(value).alias("_all"))
+    sketches = written(sketches.select(*[F.col(k).alias(f"_k_{k}") for k in keys], count_col, "_all",
+                                       F.col("_b")[0].alias("_from"), F.col("_b")[1].alias("_to")), "median-brackets")
+
+    def same(left: DataFrame, right: DataFrame):
+        cond = F.lit(True)
+        for k in keys:
+            cond = cond & left[k].eqNullSafe(right[f"_k_{k}"])
+        return cond
+
+    x = F.col(value)
+    cells = df.join(sketches, same(df, sketches)).where(x <= F.col("_to"))
+    cells = cells.select(*keys, "_all", F.when(x >= F.col("_from"), x).alias("_x")) \
+        .groupBy(*keys, "_all", "_x").agg(F.count(F.lit(1)).alias("_w"))       # a null _x: rows below the bracket
+    run = Window.partitionBy(*keys).orderBy(F.col("_x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum("_w").over(run)
+    ranked = cells.select(*keys, "_x", "_all", "_w", end.alias("_end")).where("_x is not null")
+
+    def at(rank):
+        return F.max(F.when((rank >= F.col("_end") - F.col("_w")) & (rank < F.col("_end")), F.col("_x").cast("double")))
+
+    found = ranked.groupBy(*keys).agg(at(F.floor((F.col("_all") - 1) / 2)).alias("lo"),
+                                      at(F.floor(F.col("_all") / 2)).alias("hi"))
+    out = sketches.join(found, same(found, sketches), "left")
+    lost = (F.col("_all") > 0) & (F.col("lo").isNull() | F.col("hi").isNull())
+    checked = F.when(lost, F.raise_error(F.lit("a bracket does not hold its group's middle"))).otherwise(F.col("lo"))
+    return out.select(*[F.col(f"_k_{k}").alias(k) for k in keys], count_col, checked.alias("lo"), "hi")
+
 
 def grouped_median(df: DataFrame, keys: list[str], value: str, out: str = "median",
                    count_col: str = "n", accuracy: int | None = None,
                    partitions: int | None = None) -> DataFrame:
-    """One row per group: ``keys``, median of ``value`` as ``out``, row count as ``count_col``."""
+    """One row per group: ``keys``, median of ``value`` as ``out``, row count as ``count_col``.
+
+    ``partitions`` spreads the rows first (for frames of too few partitions)."""
     if accuracy is not None:
         return df.groupBy(*keys).agg(
             F.percentile_approx(value, 0.5, accuracy).cast("double").alias(out),
             F.count(F.lit(1)).alias(count_col))
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = df.groupBy(*keys, F.col(value).alias("_x")).agg(F.count(F.lit(1)).alias("_rows"))
-    cells = cells.withColumn("_w", F.when(F.col("_x").isNull(), 0).otherwise(F.col("_rows")))
-    # the partition number of a row is only meaningful for one materialisation
-    cells = (cells.repartitionByRange(n_parts, *keys, "_x")
-             .withColumn("_pid", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK))
-
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = cells.groupBy(*keys, "_pid").agg(F.sum("_rows").alias("_rows"), F.sum("_w").alias("_w"))
-    parts = parts.select(*keys, "_pid", "_w", F.sum("_rows").over(group).alias(count_col),
-                         F.sum("_w").over(group).alias("_all"),
-                         F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_before"))
-    lo, hi = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
-    middle = parts.where((F.col("_before") <= hi) & (F.col("_before") + F.col("_w") > lo)).select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_pid").alias("_k_pid"), "_all", "_before")
-
-    same = cells["_pid"] == middle["_k_pid"]
-    for k in keys:
-        same = same & cells[k].eqNullSafe(middle[f"_k_{k}"])
-    run = Window.partitionBy(*keys, "_pid").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.col("_before") + F.sum("_w").over(run)
-    ranked = cells.join(middle, same).select(*keys, "_x", "_all", "_w", end.alias("_end"))
-
-    def at(rank):
-        return F.when((rank >= F.col("_end") - F.col("_w")) & (rank < F.col("_end")),
-                      F.col("_x").cast("double"))
-
-    none = F.lit(None)
-    rows = (parts.select(*keys, count_col, none.cast("double").alias("_lo"), none.cast("double").alias("_hi"))
-            .unionByName(ranked.select(*keys, none.cast("bigint").alias(count_col),
-                                       at(lo).alias("_lo"), at(hi).alias("_hi"))))
-    both = rows.groupBy(*keys).agg(F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"),
-                                   F.max(count_col).alias(count_col))
-    return both.select(*keys, (F.col("_lo") * 0.5 + F.col("_hi") * 0.5).alias(out), count_col)
+    df = df.select(*keys, value)
+    m = middle_values(df.repartition(partitions) if partitions else df, keys, value, count_col)
+    return m.select(*keys, (F.col("lo") * 0.5 + F.col("hi") * 0.5).alias(out), count_col)

@@ -17,10 +17,10 @@ from pricewise.config import (DEFAULT_SEASONALITY, FEATURE_COLUMNS, TARGET_COLUM
 from pricewise.functions.labels import check_month, confidence, month_name
 from pricewise.functions.numeric import clip
 from pricewise.functions.text import normalize_key
-from pricewise.operators.dims import broadcast_ok, checked_broadcast
+from pricewise.operators.dims import broadcast_ok, checked_broadcast, written
 from pricewise.operators.features import apply_bounds, at_reference_point, restore_point
 from pricewise.operators.index import strict_lookup
-from pricewise.operators.median import grouped_median
+from pricewise.operators.median import middle_values
 
 Predictor = Callable[[DataFrame], DataFrame]   # adds a ``prediction`` column
 
@@ -63,14 +63,19 @@ def month_grid(bodies: DataFrame) -> DataFrame:
 
 
 def seasonality_factors(rows: DataFrame, cfg: SeasonalityConfig = DEFAULT_SEASONALITY) -> DataFrame:
-    """Shrunken, clipped body x month factors with best/worst month (18 columns)."""
-    body = grouped_median(rows, ["body"], "price_ratio", out="body_ratio_median",
-                          count_col="body_observations")
-    # one row per body, materialised once and joined back to every row of that body
-    body = checked_broadcast(body)
-    rel = rows.join(body.select("body", "body_ratio_median"), "body") \
-        .withColumn("relative_ratio", F.col("price_ratio") / F.col("body_ratio_median"))
-    cells = grouped_median(rel, ["body", "sale_month"], "relative_ratio", out="raw", count_col="n")
+    """Shrunken, clipped body x month factors with best/worst month (18 columns).
+
+    ``rows`` are read twice, so they should be cheap to read."""
+    # one pass for both levels: a null month stands for the whole body. Dividing by a body's
+    # median keeps the order of its ratios, so the middle ratios are the middle relative ratios.
+    levels = rows.select("body", F.explode(F.array(F.lit(None).cast("bigint"), F.col("sale_month").cast("bigint")))
+                         .alias("sale_month"), "price_ratio")
+    middle = written(middle_values(levels, ["body", "sale_month"], "price_ratio"), "body-months")
+    body = middle.where("sale_month is null").select(
+        "body", (F.col("lo") * 0.5 + F.col("hi") * 0.5).alias("body_median"), F.col("n").alias("body_observations"))
+    cells = middle.where("sale_month is not null").join(body, "body").select(
+        "body", "sale_month", "n", (F.col("lo") / F.col("body_median") * 0.5
+                                    + F.col("hi") / F.col("body_median") * 0.5).alias("raw"))
     grid = month_grid(body.select("body", "body_observations"))
     g = grid.join(cells, ["body", "sale_month"], "left")
     n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pricewise.config import DEFAULT_BOUNDS, DEFAULT_SEASONALITY, SeasonalityConfig
 from pricewise.operators.baseline import GroupBaseline, fit_group_baseline
-from pricewise.operators.dims import checked_broadcast
+from pricewise.operators.dims import checked_broadcast, written
 from pricewise.operators.features import modeling_frame
 from pricewise.operators.index import build_index
 from pricewise.operators.seasonality import seasonality_factors, seasonality_rows
@@ -68,8 +68,13 @@ class Chain:
 
     @property
     def factors(self) -> DataFrame:
+        """The factor table; the seasonal rows it reads twice are written first."""
         return self._get("factors", lambda: checked_broadcast(
-            seasonality_factors(self.rows, self.cfg)))
+            seasonality_factors(self.written_rows, self.cfg)))
+
+    @property
+    def written_rows(self) -> DataFrame:
+        return self._get("written_rows", lambda: written(self.rows, "seasonal-rows"))
 
     def vehicles(self) -> DataFrame:
         """Every sale as a quote request at its own sale month."""

@@ -627,37 +627,100 @@ SELECT body, sale_month, month_name, seasonal_factor, seasonal_delta_pct, observ
 FROM factors WHERE body IN (SELECT * FROM (VALUES ('compact'), ('coupe'), ('large'), ('suv')) v(b))"""
 
 
-def normal_equations(alpha: float) -> str:
-    """Ridge coefficients on scaled numeric features (``alpha`` 0: least squares).
+_BODIES = ["compact", "large", "medium", "promo", "standard"]
+_SCALED = [f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS x{i}" for i, c in enumerate(_NUMS)]
+_ONE_HOT = [f"CAST(body = '{b}' AS DOUBLE) AS x{i}" for i, b in enumerate(_BODIES, len(_NUMS))]
 
-    Gaussian elimination without pivoting on the 4 x 4 system, one CTE a step;
-    the matrix is positive definite.
+
+def design(one_hot: bool) -> tuple[str, list[tuple[str, str]]]:
+    """CTE ``x`` with scaled numbers (population deviation), one-hot bodies and the log price; names of its columns."""
+    cols = _SCALED + (_ONE_HOT if one_hot else [])
+    names = [(f"'{c}'", "NULL") for c in _NUMS] + ([("'body'", f"'{b}'") for b in _BODIES] if one_hot else [])
+    return f"x AS (SELECT {', '.join(cols)}, ln(1 + sellingprice) AS y FROM frame)", names
+
+
+def normal_equations(alpha: float, one_hot: bool = False) -> str:
+    """Ridge coefficients (``alpha`` 0: least squares).
+
+    Gaussian elimination without pivoting on the centred cross products, one
+    CTE a step; the matrix is positive definite. The intercept carries no penalty.
     """
-    x = ["vehicle_age", "sale_month", "odometer", "condition"]
-    n = len(x)
-    corr = [f"(count(*) - 1) * corr({x[i]}, {x[j]}) + {alpha if i == j else 0.0} AS a{i}{j}"
-            for i in range(n) for j in range(n)]
-    rhs = [f"(count(*) - 1) * covar_samp({c}, ln(1 + sellingprice)) / stddev_samp({c}) AS a{i}{n}"
-           for i, c in enumerate(x)]
-    ctes = [f"e0 AS (SELECT avg(ln(1 + sellingprice)) AS b, {', '.join(corr + rhs)} FROM frame)"]
+    x, names = design(one_hot)
+    n = len(names)
+    cross = [f"count(*) * covar_pop(x{i}, x{j}) + {alpha if i == j else 0.0} AS a{i}_{j}" for i in range(n) for j in range(n)]
+    rhs = [f"count(*) * covar_pop(x{i}, y) AS a{i}_{n}" for i in range(n)]
+    means = [f"avg(x{i}) AS m{i}" for i in range(n)]
+    keep = ", ".join(["b"] + [f"m{i}" for i in range(n)])
+    ctes = [x, f"e0 AS (SELECT avg(y) AS b, {', '.join(means + cross + rhs)} FROM x)"]
     for k in range(n):
-        row = [f"a{k}{j} / a{k}{k} AS a{k}{j}" for j in range(n + 1)]
-        rest = [f"a{i}{j} - a{i}{k} * a{k}{j} / a{k}{k} AS a{i}{j}"
+        row = [f"a{k}_{j} / a{k}_{k} AS a{k}_{j}" for j in range(n + 1)]
+        rest = [f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}"
                 for i in range(n) if i != k for j in range(n + 1)]
-        ctes.append(f"e{k + 1} AS (SELECT b, {', '.join(row + rest)} FROM e{k})")
-    rows = [f"SELECT '{c}' AS feature, round(a{i}{n}, 8) AS coefficient FROM e{n}" for i, c in enumerate(x)]
-    rows.append(f"SELECT '(intercept)' AS feature, round(b, 8) AS coefficient FROM e{n}")
+        ctes.append(f"e{k + 1} AS (SELECT {keep}, {', '.join(row + rest)} FROM e{k})")
+    level = (lambda v: f", {v} AS level") if one_hot else (lambda v: "")
+    rows = [f"SELECT {c} AS feature{level(v)}, round(a{i}_{n}, 8) AS coefficient FROM e{n}" for i, (c, v) in enumerate(names)]
+    fixed = " - ".join(["b"] + [f"m{i} * a{i}_{n}" for i in range(n)])
+    rows.append(f"SELECT '(intercept)' AS feature{level('NULL')}, round({fixed}, 8) AS coefficient FROM e{n}")
     return with_(SALE, FRAME) + ",\n" + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(rows)
 
 
+def lasso(alpha: float, sweeps: int = 200) -> str:
+    """Lasso coefficients by coordinate descent, one step a row of a recursive CTE."""
+    x, names = design(True)
+    n = len(names)
+    grid = "[" + ", ".join("[" + ", ".join(f"covar_pop(x{i}, x{j})" for j in range(n)) + "]" for i in range(n)) + "]"
+    right = "[" + ", ".join(f"covar_pop(x{i}, y)" for i in range(n)) + "]"
+    means = "[" + ", ".join(f"avg(x{i})" for i in range(n)) + "]"
+    labels = ", ".join(f"({i + 1}, {c}, {v})" for i, (c, v) in enumerate(names))
+    return f"""WITH RECURSIVE {with_(SALE, FRAME).strip()[len('WITH'):]},
+{x},
+m AS MATERIALIZED (SELECT {grid} AS g, {right} AS r, {means} AS mu, avg(y) AS b FROM x),
+step AS (
+  SELECT 0 AS k, list_transform(range({n}), lambda i: CAST(0 AS DOUBLE)) AS w
+  UNION ALL
+  SELECT k + 1, list_transform(w, lambda v, i: CASE WHEN i = j THEN
+           (CASE WHEN c > 0 THEN 1 ELSE -1 END) * greatest(abs(c) - {alpha}, 0) / d ELSE v END)
+  FROM (SELECT k, w, k % {n} + 1 AS j, m.g[k % {n} + 1][k % {n} + 1] AS d,
+               m.r[k % {n} + 1] - list_dot_product(m.g[k % {n} + 1], w) + m.g[k % {n} + 1][k % {n} + 1] * w[k % {n} + 1] AS c
+        FROM step, m WHERE k < {n * sweeps})),
+done AS (SELECT w FROM step WHERE k = {n * sweeps})
+SELECT l.feature, l.level, round(done.w[l.i], 8) AS coefficient
+FROM done, (VALUES {labels}) l(i, feature, level)
+UNION ALL
+SELECT '(intercept)', NULL, round(m.b - list_dot_product(m.mu, done.w), 8) FROM done, m"""
+
+
 ORACLE["linear_coefficients"] = normal_equations(0.0)
 ORACLE["ridge_coefficients"] = normal_equations(10.0)
+ORACLE["ridge_one_hot_coefficients"] = normal_equations(10.0, True)
+ORACLE["lasso_one_hot_coefficients"] = lasso(0.002)
 # the penalty exceeds every covariance with the log price: only the intercept is left
 ORACLE["lasso_coefficients"] = with_(SALE, FRAME) + """
 SELECT unnest(['vehicle_age', 'sale_month', 'odometer', 'condition', '(intercept)']) AS feature,
        unnest([0.0, 0.0, 0.0, 0.0, round(avg(ln(1 + sellingprice)), 8)]) AS coefficient
 FROM frame"""
 
+_SPLIT_CELLS = " UNION ALL ".join(
+    [f"SELECT {i} AS f, '{c}' AS feature, CAST({c} AS DOUBLE) AS v, r FROM res" for i, c in enumerate(_NUMS)]
+    + [f"SELECT {i} AS f, '{c}' AS feature, CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS v, r FROM res"
+       for i, c in enumerate(_CATS, len(_NUMS))])
+# 0.06: rate, 0.05: penalty, 20: rows of a leaf
+ORACLE["boosted_first_split"] = with_(SALE, FRAME) + f""",
+res AS (SELECT *, ln(1 + sellingprice) - avg(ln(1 + sellingprice)) OVER () AS r FROM frame),
+cell AS (SELECT f, feature, v, count(*) AS n, sum(r) AS s FROM ({_SPLIT_CELLS}) GROUP BY f, feature, v),
+run AS (SELECT *, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY f) AS na,
+               sum(s) OVER (PARTITION BY f) AS sa, lead(v) OVER w AS up FROM cell WINDOW w AS (PARTITION BY f ORDER BY v)),
+best AS (SELECT *, sl * sl / (nl + 0.05) + (sa - sl) * (sa - sl) / (na - nl + 0.05) - sa * sa / (na + 0.05) AS gain
+         FROM run WHERE up IS NOT NULL AND nl >= 20 AND na - nl >= 20 ORDER BY gain DESC, f, v LIMIT 1)
+SELECT feature, (v + up) / 2 AS threshold, side, round(gain, 6) AS gain,
+       round(0.06 * CASE side WHEN 'left' THEN sl / (nl + 0.05) ELSE (sa - sl) / (na - nl + 0.05) END, 8) AS leaf_value
+FROM best, (VALUES ('left'), ('right')) t(side)"""
+
+ORACLE["raw_frame"] = with_(SALE) + f"""
+SELECT {KEYS}, condition, odometer, CAST(year(saledate) - year AS BIGINT) AS vehicle_age, make, body,
+       coalesce(transmission, 'unknown') AS transmission, sellingprice
+FROM sale WHERE condition IS NOT NULL AND sellingprice BETWEEN 500 AND 150000 AND odometer <= 500000"""
+
 ORACLE["tree_stump"] = with_(SALE, FRAME) + """,
 per AS (SELECT make, count(*) AS n, sum(ln(1 + sellingprice)) AS s FROM frame GROUP BY make),
 run AS (SELECT make, row_number() OVER (ORDER BY make) - 1 AS code, n, s,

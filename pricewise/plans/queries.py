@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricewise.config import (FEATURE_COLUMNS, FORWARD_PROJECTION_MONTHS, PREDICTION_FLOOR,
-                              DEFAULT_BOUNDS, RANDOM_STATE, RAW_SALE_COLUMNS, SEGMENT_MIN_ROWS)
+                              DEFAULT_BOUNDS, LOOSE_BOUNDS, RANDOM_STATE, RAW_SALE_COLUMNS, SEGMENT_MIN_ROWS)
 from pricewise.functions.dates import parse_sale_time, utc_text, year_month
 from pricewise.functions.numeric import coerce_number, r6, safe_int
 from pricewise.functions.text import normalize_category
@@ -21,14 +21,15 @@ from pricewise.operators.dims import checked_broadcast
 from pricewise.operators.encoders import level_counts, ordinal_codes, scaling_stats
 from pricewise.operators.evaluation import (body_summary, catalogue, holdout_evaluation,
                                             listed_that_exist, unobserved_cells)
-from pricewise.operators.features import (FEATURE_INPUT, at_reference_point, feature_rows,
-                                          modeling_frame, restore_point)
+from pricewise.operators.features import (FEATURE_INPUT, apply_bounds, at_reference_point, feature_rows,
+                                          modeling_frame, restore_point, unclipped_age)
 from pricewise.operators.index import (align, asof_lookup, base_ratio, build_index, enrich, forward_fill,
                                        missing_months, monthly_last)
 from pricewise.operators.metrics import (metric_columns, regression_metrics, segment_metrics,
                                          segments_column)
-from pricewise.operators.models import (REFERENCE_SPECS, PriceModel, fit_models, impurity_importance,
-                                        level_stump, numeric_coefficients, permutation_importance)
+from pricewise.operators.models import (RAW_SPEC, REFERENCE_SPECS, ModelSpec, PriceModel, coefficients, first_split,
+                                        fit_model, fit_models, impurity_importance, level_stump,
+                                        numeric_coefficients, permutation_importance)
 from pricewise.operators.quote import quote
 from pricewise.operators.seasonality import backfill_factor_columns, lookup_factors
 from pricewise.operators.split import bucket, is_test, key_text, seeded_sample, split
@@ -37,7 +38,7 @@ from pricewise.plans.fixtures import (INDEX_BASE_YEAR, INDEX_SERIES, SALE_KEY, g
                                       price_series, sale_view, series_long,
                                       sparse_sale_view)
 from pricewise.sources.sinks import scratch_path, write_table
-from pricewise.sources.tables import read_table
+from pricewise.sources.tables import fingerprint, read_table
 
 REGISTRY: dict = {}
 
@@ -456,7 +457,7 @@ def q_seasonality_lookup(spark: SparkSession, sf: str) -> DataFrame:
 @register("seasonality_holdout")
 def q_seasonality_holdout(spark: SparkSession, sf: str) -> DataFrame:
     c = Chain(spark, sf)
-    return _r6_all(holdout_evaluation(c.rows, SALE_KEY, c.cfg))
+    return _r6_all(holdout_evaluation(c.written_rows, SALE_KEY, c.cfg))
 
 
 @register("seasonality_summary")
@@ -554,20 +555,49 @@ def q_tree_stump(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("level", "code", F.round("log_price", 8).alias("log_price"))
 
 
-# ------------------------------------------------------------------ Spark ML (rows-only check)
-# Test rows per permutation trial, as in the original report; 0 scores all of them.
-IMPORTANCE_ROWS = 2_000
-# Models trained by this application, by folder: trained once at the reference
-# settings on all training rows, scored by every query that needs them.
-_FITTED: dict[tuple[str, str], dict[str, PriceModel]] = {}
+@register("boosted_first_split")
+def q_boosted_first_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Root split of the boosted trees' first tree over all eight columns at the reference settings."""
+    t = first_split(Chain(spark, sf).frame, REFERENCE_SPECS["gbt"])
+    return t.select("feature", "threshold", "side", F.round("leaf_value", 8).alias("leaf_value"),
+                    F.round("gain", 6).alias("gain"))
+
+
+def _one_hot_coefficients(spark: SparkSession, sf: str, key: str, **params) -> DataFrame:
+    ref = REFERENCE_SPECS[key]
+    spec = ModelSpec(ref.name, ref.kind, ref.encoding, {**ref.params, **params}, categorical=["body"])
+    coef = coefficients(Chain(spark, sf).frame, spec)
+    return coef.select("feature", "level", F.round("coefficient", 8).alias("coefficient"))
+
+
+@register("ridge_one_hot_coefficients")
+def q_ridge_one_hot_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    """Ridge on the scaled numbers and the one-hot bodies."""
+    return _one_hot_coefficients(spark, sf, "ridge")
+
+
+LASSO_ALPHA = 0.002         # of the check: small enough that some coefficients stay
+
+
+@register("lasso_one_hot_coefficients")
+def q_lasso_one_hot_coefficients(spark: SparkSession, sf: str) -> DataFrame:
+    """Lasso on the same columns with a penalty that leaves some coefficients."""
+    return _one_hot_coefficients(spark, sf, "lasso", alpha=LASSO_ALPHA)
+
+
+# ------------------------------------------------------------------ trained models (rows-only check)
+# Models trained by this application, by the files they were trained on: trained once at the
+# reference settings on all training rows, scored by every query that needs them.
+_FITTED: dict[tuple, dict[str, PriceModel]] = {}
 
 
 def trained(spark: SparkSession, sf: str, train: DataFrame, keys: list[str]) -> dict[str, PriceModel]:
     """Models of ``REFERENCE_SPECS`` fitted on ``train``, the training split of ``sf``."""
-    have = _FITTED.setdefault((spark.sparkContext.applicationId, sf), {})
+    files = fingerprint(spark, sf, ["lineitem", "part", "orders"])
+    have = _FITTED.setdefault((spark.sparkContext.applicationId, files), {})
     todo = [k for k in keys if k not in have]
     if todo:
-        have.update(zip(todo, fit_models(train, [REFERENCE_SPECS[k] for k in todo])))
+        have.update(zip(todo, fit_models(train, [REFERENCE_SPECS[k] for k in todo], SALE_KEY)))
     return {k: have[k] for k in keys}
 
 
@@ -589,6 +619,29 @@ def q_forest_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(spark, sf, "forest")
 
 
+def raw_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of the older training job: unclipped age, price range and odometer bound only, no model or month."""
+    s = sale_view(spark, sf).withColumns({
+        "vehicle_age": unclipped_age(F.col("saledate"), F.col("year")),
+        "transmission": F.coalesce("transmission", F.lit("unknown"))})
+    used = [*RAW_SPEC.numeric, *RAW_SPEC.categorical, "sellingprice"]
+    return apply_bounds(s.select(*SALE_KEY, *used).dropna(how="any", subset=used), LOOSE_BOUNDS)
+
+
+@register("raw_frame")
+def q_raw_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return raw_frame(spark, sf)
+
+
+@register("gbt_raw_scores")
+def q_gbt_raw_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The older job: raw price, row and column samples per tree, stopped 20 rounds after the best error on a
+    share of the training rows."""
+    train, test = split(raw_frame(spark, sf), SALE_KEY)
+    model = fit_model(train, RAW_SPEC, SALE_KEY, validation_percent=20)
+    return model.transform(test).select(*SALE_KEY, "sellingprice", r6(F.col("prediction")).alias("prediction"))
+
+
 @register("ridge_scores")
 def q_ridge_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(spark, sf, "ridge")
@@ -632,13 +685,12 @@ def q_model_comparison(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("permutation_importance")
 def q_permutation_importance(spark: SparkSession, sf: str) -> DataFrame:
-    """Top 15 features by permutation importance (``IMPORTANCE_ROWS`` test rows, 5
-    repeats) with the boosted trees' impurity importance alongside."""
+    """Top 15 features by permutation importance (all test rows, 5 repeats) with the
+    boosted trees' impurity importance alongside."""
     c = Chain(spark, sf)
     train, test = split(c.frame, SALE_KEY)
     model = trained(spark, sf, train, ["gbt"])["gbt"]
-    sample = seeded_sample(test, IMPORTANCE_ROWS, SALE_KEY, RANDOM_STATE)
-    perm = permutation_importance(model, sample, SALE_KEY, FEATURE_COLUMNS)
+    perm = permutation_importance(model, test, SALE_KEY, FEATURE_COLUMNS)
     imp = impurity_importance(model, spark).withColumnRenamed("importance", "impurity_importance")
     out = perm.join(imp, "feature", "left")
     return out.orderBy(F.col("importance").desc(), "feature").limit(15)

@@ -63,15 +63,6 @@ def test_model_save_load_predicts_the_same(spark):
     spark.catalog.clearCache()
 
 
-def test_early_stopping_runs(spark):
-    c = Chain(spark, SF_SMALL)
-    train, _ = split(c.frame, SALE_KEY)
-    spec = ModelSpec("Boosted trees", "gbt", "ordinal", dict(maxIter=12, stepSize=0.06, maxDepth=2))
-    m = fit_model(train, spec, keys=SALE_KEY, validation_percent=20)
-    assert 1 <= m.pipeline.stages[-1].getNumTrees < 12     # the features say nothing about the price
-    spark.catalog.clearCache()
-
-
 def test_streaming_quotes_equal_batch(spark):
     c = Chain(spark, SF_SMALL)
     vehicles = c.vehicles()

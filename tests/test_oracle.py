@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()
-ML = {"gbt_scores", "forest_scores", "ridge_scores", "lasso_scores", "model_comparison",
+ML = {"gbt_scores", "gbt_raw_scores", "forest_scores", "ridge_scores", "lasso_scores", "model_comparison",
       "permutation_importance"}
 
 

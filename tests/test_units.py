@@ -46,7 +46,7 @@ def test_record_repair_field_counts(spark):
     assert out["short"]["status"] == "bad" and out["short"]["n_fields"] == 15
     assert out["long"]["status"] == "bad" and out["long"]["n_fields"] == 18
     assert out["trailing_empty"]["status"] == "ok" and out["trailing_empty"]["saledate"] == ""
-    with pytest.raises(Exception, match="Unexpected field count"):
+    with pytest.raises(Exception, match="fields, 16 are needed"):
         repair_records(df, mode="strict").collect()
 
 
@@ -182,7 +182,7 @@ def test_verdict_thresholds(spark):
 def test_required_columns_sorted():
     class D:
         columns = ["b"]
-    with pytest.raises(ValueError, match="Missing required columns: a, c"):
+    with pytest.raises(ValueError, match="no column a, c"):
         require_columns(D(), ["c", "a", "b"])
 
 
