@@ -13,6 +13,9 @@ from pricewise.llm.base import cut
 from pricewise.sources.tables import read_table
 
 
+TEST_KEY = "surrogates-1"       # where the session names none: for tables without real persons' data
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a base rule or are outliers of their group go."""
     return quality_rules.keep_good(docs)
@@ -29,8 +32,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by surrogates."""
-    return pii.with_surrogates(docs)
+    """Personal data is replaced by surrogates, keyed by the session's ``spark.pricewise.surrogates.key``."""
+    return pii.with_surrogates(docs, key=spark.conf.get("spark.pricewise.surrogates.key", TEST_KEY))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
