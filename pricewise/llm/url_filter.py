@@ -65,9 +65,18 @@ def rule_of(host: Column, path: Column, rules) -> Column:
     return reduce(lambda a, b: F.coalesce(a, b), fits)
 
 
+# What a browser does not read as markup, tags as a whole, and attributes one after the other: quoted values are taken
+# whole, so that nothing inside one looks like an attribute.
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template|textarea|title)\b.*?(?:</\1\s*>|\z)"
+_TAG = r"(?is)<(?:link|meta)(?=[\s/])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
+_ATTRIBUTE = r"(?s)[\s/\"']([^\s=>\"'/]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)"
+
+
 def _attribute(tag: Column, name: str) -> Column:
-    return F.trim(F.regexp_replace(
-        F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", 1), "\\A[\"']|[\"']\\z", ""))
+    """Value of a tag's first attribute of that name, without its quotes; empty if there is none."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(1)), F.lower)
+    value = F.get(F.regexp_extract_all(tag, F.lit(_ATTRIBUTE), F.lit(2)), (F.array_position(names, name) - 1).cast("int"))
+    return F.trim(F.regexp_replace(F.coalesce(F.when(F.array_contains(names, name), value), F.lit("")), "\\A[\"']|[\"']\\z", ""))
 
 
 def _resolve(target: Column, url: Column) -> Column:
@@ -83,18 +92,26 @@ def _resolve(target: Column, url: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(a, b, target)``: alias keys of a page and of its canonical or refresh target, and the target url."""
-    link = F.regexp_extract("h", r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>", 0)
-    meta = F.regexp_extract("h", r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>", 0)
-    refresh = F.trim(F.regexp_replace(F.regexp_extract(_attribute(F.col("meta"), "content"),
-                                                       r"(?is)url\s*=\s*(.*)\z", 1), "[\"']", ""))
+    """Links of a page to its canonical or refresh target.
+
+    Columns: a and b (alias keys of the page and the target), host and path of
+    both (``a_host``, ...). The first ``link`` whose ``rel`` words hold canonical
+    and the first ``meta`` refresh of a page count; comments, scripts, styles,
+    templates, text areas and titles are not read.
+    """
     tags = pages.select(F.col(f"`{url}`").alias("u"), F.col(f"`{html}`").alias("h")) \
-        .filter(F.col("h").rlike(r"(?is)<(link|meta)\b[^>]*\b(canonical|refresh)\b")) \
-        .select("u", link.alias("link"), meta.alias("meta"))
-    found = tags.select("u", F.explode(F.array(_attribute(F.col("link"), "href"), refresh)).alias("t")).filter("t != ''")
+        .filter(F.col("h").rlike("(?i)canonical|refresh")) \
+        .select("u", F.regexp_extract_all(F.regexp_replace("h", _HIDDEN, " "), F.lit(_TAG), F.lit(0)).alias("tags"))
+    canonical = F.filter("tags", lambda t: t.rlike(r"(?i)\A<link") & F.array_contains(
+        F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical") & (_attribute(t, "href") != ""))
+    refresh = F.filter("tags", lambda t: t.rlike(r"(?i)\A<meta") & (F.lower(_attribute(t, "http-equiv")) == "refresh"))
+    to = F.trim(F.regexp_replace(F.regexp_extract(_attribute(F.get(refresh, F.lit(0)), "content"),
+                                                  r"(?is)\A[^;,]*[;,]\s*url\s*=\s*(.*)\z", 1), "[\"']", ""))
+    found = tags.select("u", F.explode(F.array(_attribute(F.get(canonical, F.lit(0)), "href"), to)).alias("t")).filter("t != ''")
     target = found.select("u", _resolve(F.col("t"), F.col("u")).alias("target"))
-    return target.select(alias_key(F.col("u")).alias("a"), alias_key(F.col("target")).alias("b"), "target") \
-        .filter("a is not null and b is not null")
+    ends = [c for name, x in (("a", F.col("u")), ("b", F.col("target")))
+            for c in (alias_key(x).alias(name), host_of(x).alias(f"{name}_host"), path_of(x).alias(f"{name}_path"))]
+    return target.select(*ends).filter("a is not null and b is not null")
 
 
 def judge(pages: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -113,9 +130,8 @@ def judge(pages: DataFrame, rules=RULES, page_id: str = "page_id", url: str = "u
     edges = cut(alias_edges(pages, url, html), "url-edges")
     component = connected_components(edges)
     # decisions among the members: pages that are linked, and link targets that are no pages
-    members = edges.select(F.col("a").alias("key")).union(edges.select(F.col("b").alias("key"))).distinct()
-    members = members.select("key", F.regexp_extract("key", r"(?s)\A([^/]*)", 1).alias("host"),
-                             F.regexp_extract("key", r"(?s)\A[^/]*([^?]*)", 1).alias("path"))
+    members = edges.selectExpr("a as key", "a_host as host", "a_path as path").union(
+        edges.selectExpr("b as key", "b_host as host", "b_path as path")).distinct()
     ruled = members.select("key", rule_of(F.col("host"), F.col("path"), rules)["verdict"].alias("v"))
     votes = cut(component.join(ruled, component.node == ruled.key).groupBy("component").agg(
         F.max((F.col("v") == "allow").cast("int")).alias("allowed"),
