@@ -10,7 +10,7 @@ ones different, over the whole corpus. Texts are cut at the entities and put
 together with the surrogates; formats (separators, upper case) are those of
 each occurrence.
 
-Texts are scanned once. Only texts with entities are joined, by the digest of
+Texts are scanned once, those with names twice. Only texts with entities are joined, by the digest of
 their entity list, so copies share their work.
 """
 
@@ -33,17 +33,33 @@ NAMES = {
     ("cyrillic", "m"): ("Иван", "Александр", "Сергей", "Дмитрий", "Андрей", "Алексей", "Михаил", "Николай"),
 }
 TITLES = ("Mr", "Mrs", "Ms", "Mr.", "Mrs.", "Ms.", "Herr", "Frau", "Madame", "Monsieur", "Señor", "Señora", "г-н", "г-жа")
+# Parts of made-up given names, which take the place of found ones: beginnings, middles, endings by gender.
+MADE = {"latin": (("Bel", "Cor", "Dal", "Fer", "Gal", "Hel", "Jor", "Kal", "Lor", "Mer", "Nor", "Or", "Per", "Ros", "Sel", "Tal",
+                   "Val", "Wil", "Yar", "Zel"), ("an", "en", "in", "ar", "el", "is", "or", "ad", "ev", "ul"),
+                  {"f": ("a", "ia", "ina", "ette", "elle", "isa"), "m": ("o", "us", "on", "ard", "ek", "ian")}),
+        "cyrillic": (("Бел", "Вал", "Гал", "Дар", "Зор", "Кам", "Лад", "Мил", "Нев", "Рад", "Сев", "Тим", "Яр", "Вес", "Бор", "Люб"),
+                     ("ан", "ен", "ил", "ор", "ад", "ев", "ум", "ис"),
+                     {"f": ("а", "ия", "ина", "яна", "ена"), "m": ("ослав", "ей", "ентий", "ир", "ан")})}
 LETTERS = {"lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
-           "cyr_lower": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "cyr_upper": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ"}
+           "cyr_lower": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "cyr_upper": "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ",
+           "gre_lower": "αβγδεζηθικλμνξοπρστυφχψω", "gre_upper": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+           "arm_lower": "աբգդեզէըթժիլխծկհձղճմյնշոչպջռսվտրցւփքօֆ", "arm_upper": "ԱԲԳԴԵԶԷԸԹԺԻԼԽԾԿՀՁՂՃՄՅՆՇՈՉՊՋՌՍՎՏՐՑՒՓՔՕՖ"}
+SCRIPTS = {"Cyrillic": "cyr", "Greek": "gre", "Armenian": "arm"}    # letters of other scripts are drawn as Latin ones
+# Endings of surnames that show a gender; they are kept.
+ENDINGS = r"(?<=..)(?:ская|цкая|ский|цкий|ова|ева|ёва|ина|ына|ов|ев|ёв|ин|ын|ova|eva|ová|ská|ský|ska|ski)\z"
 
 _GIVEN = "|".join(f"{n}|{n.upper()}" for names in NAMES.values() for n in names)
 _TITLE = "|".join(t.replace(".", r"\.") for t in sorted(TITLES, key=len, reverse=True))
 # Capitalised words that are no further part of a name.
-STOP = ("The", "A", "An", "And", "Or", "But", "Of", "In", "On", "At", "To", "For", "From", "With", "By", "As", "He", "She", "It",
-        "We", "They", "You", "I", "Is", "Was", "Has", "Had", "Said", "Who", "When", "Der", "Die", "Das", "Und", *TITLES)
+STOP = (*"""The A An And Or But Of In On At To For From With By As He She It We They You I Is Was Has Had Said Who When
+Will Would Can Could May Might Must Shall Should Do Does Did Are Were Be Been Have Not No Yes This That These Those There Then
+Than What Which Where Why How If So My Your His Her Our Their Its All Also After Before Now Here Der Die Das Und Ein Eine Ist War
+Er Sie Es Wir Ich Ihr Nicht Mit Von Zu Zum Zur Im Am Auf Aus Aber Wenn Wie Was Wer Hat Hatte Dann Auch Le La Les Un Une Des Et Ou
+Est Il Elle Nous Vous Ils Elles Dans Pour Avec Mais Que Qui Sur Au Aux Ce Cette El Los Las Una Del Es Por Con Pero Su Ella Но Он
+Она Это Как Что Где Когда Мы Вы Они На По За Из""".split(), *TITLES)
 _WORD = r"\p{Lu}(?:\p{L}++(?:['’\-]\p{Lu}\p{L}++)*+|(?:['’\-]\p{Lu}\p{L}++)++)"
 _STOP = rf"(?:{'|'.join(w.replace('.', chr(92) + '.') for w in STOP)})(?!\p{{L}})"
-_SURNAME = rf"{_WORD}(?: (?!{_STOP}){_WORD})*+"     # all parts after the given name or title
+_PARTS = rf"{_WORD}(?: (?!{_STOP}){_WORD})*+"     # all parts after the given name or title
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 # A last label of a mail host: letters, unless the label goes on after a dash and the host after that.
 _TLD = r"[A-Za-z]{2,}+(?![A-Za-z0-9]|-[A-Za-z0-9\-]*+\.(?:[0-9\-][A-Za-z0-9\-]*+\.)*+[A-Za-z])"
@@ -54,18 +70,27 @@ PATTERNS = {
     "secret": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+|(?:AKIA|ASIA)[0-9A-Z]{16}|"
               r"(?:sk|ghp|gho|xoxb)[-_][A-Za-z0-9_\-]{16,}+)(?![A-Za-z0-9])",
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
+    "ipv6": r"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f:]*\d)(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+            r"|(?=[0-9A-Fa-f]{3,4}:|(?::{0,2}[0-9A-Fa-f]{1,4}){3})(?=[0-9A-Fa-f:]*::)(?![0-9A-Fa-f:]*:::)(?![0-9A-Fa-f:]*::[0-9A-Fa-f:]*::)"
+            r"[0-9A-Fa-f]{1,4}(?::{1,2}[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{2,4}(?:[ .\-]?\d{2,4}){1,4}"
-             r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)",
+             r"|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4}"
+             r"|(?<![.,\-])0[1-9](?:\d[ /\-]\d{6,9}|\d{2}[ /\-]\d{6,8}|\d{3}[ /\-]\d{5,7}|(?:[ .]\d{2}){4})(?![ .,\-]?\d))(?!\d)",
     "ssn": r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])",
     # a run of digit groups, which cards are looked for in; it ends before a group that another entity begins with
     "card": "",
     "given": rf"(?=\p{{Lu}})(?:{_GIVEN})(?= {_WORD})",
-    "surname": rf"(?=\p{{Lu}})(?<= )(?<=(?<!\p{{L}})(?:{_GIVEN}|{_TITLE}) ){_SURNAME}",
+    # after a title any capitalised word is a name, after a given name ("Mary Will go") a stop word is none
+    "surname": rf"(?=\p{{Lu}})(?<= )(?:(?<=(?<!\p{{L}})(?:{_GIVEN}) )(?!{_STOP})|(?<=(?<!\p{{L}})(?:{_TITLE}) )){_PARTS}",
 }
 _GROUP = r"\d++(?!\.\d|-(?!\d))"
 PATTERNS["card"] = (r"(?<![\d.\-])(?=\d(?:[ \-]?\d){12})" + _GROUP + r"(?:[ \-](?!"
                     + "|".join(PATTERNS[k] for k in ("email", "secret", "ip", "phone", "ssn")) + f"){_GROUP})*+")
-CARD_GROUPS = ("4-4-4-4", "4-6-5", "4-6-4")      # usual ways to write a card, beside one group
+CARD_GROUPS = ("4-4-4-4", "4-6-5", "4-6-4")      # the ways to write a card, beside one group
+# What issuers' numbers begin with, and their lengths.
+ISSUERS = (r"\A(?:4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}|3[47]\d{13}"
+           r"|3(?:0[0-5]|[689]\d)\d{11}|6(?:011|4[4-9]\d|5\d\d)\d{12,15}|35(?:2[89]|[3-8]\d)\d{12,15}|62\d{14,17}"
+           r"|(?:5018|5020|5038|5893|6304|6759|676[1-3])\d{9,15})\z")
 # Each pattern has its own condition on what precedes. What may not follow a letter or digit (mail, names) is tried at
 # word starts only, the rest first by the characters that it can begin with; this finds the same and is faster.
 _WORD_START = r"(?<![\p{L}\p{N}])"
@@ -75,7 +100,8 @@ def _entity(names: bool) -> str:
     keyed = f"(?=[A-Za-z0-9])(?:{PATTERNS['iban']}|{PATTERNS['secret']})"
     number = r"(?=[\d+(])(?:" + "|".join(PATTERNS[k] for k in ("ip", "phone", "ssn", "card")) + ")"
     named = f"|{PATTERNS['given']}|{PATTERNS['surname']}" if names else ""
-    return (f"(?:{_WORD_START}(?:{PATTERNS['email']}|{keyed}|{number}{named})"
+    six = f"(?=[0-9A-Fa-f]{{1,4}}:){PATTERNS['ipv6']}"
+    return (f"(?:{_WORD_START}(?:{PATTERNS['email']}|{keyed}|{six}|{number}{named})"
             rf"|(?<=[\p{{L}}\p{{N}}])(?:(?<=[^\x00-\x7F]){keyed}|{number}))")
 
 
@@ -83,6 +109,16 @@ ENTITY = _entity(True)
 # Names need a given name or title before a capital: texts without such a place are searched without them.
 NO_NAMES = _entity(False)
 NAME_PLACE = rf"(?<!\p{{L}})(?=[\p{{Lu}}г])(?:{_GIVEN}|{_TITLE}) \p{{Lu}}"
+# Lengths of account numbers by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27,
+    "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27,
+    "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25,
+    "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20}
+TABLE_GROUPS = 6            # digit groups in a run from which on it is a line of numbers: then only single groups are cards
 SAME_SHAPE = 3              # rounds that draw surrogates of the entity's length; each later one draws one character more
 
 
@@ -110,7 +146,7 @@ def kind_of(raw: Column) -> Column:
     for (script, gender), names in NAMES.items():
         given = given.when(raw.isin([x for n in names for x in (n, n.upper())]), f"given_{script}_{gender}")
     return (F.when(raw.contains("@"), "email").when(is_("iban"), "iban").when(is_("secret"), "secret")
-            .when(is_("ip"), "ip").when(is_("phone"), "phone").when(is_("ssn"), "ssn").when(raw.rlike("\\A[0-9]"), None)
+            .when(is_("ipv6"), "ipv6").when(is_("ip"), "ip").when(is_("phone"), "phone").when(is_("ssn"), "ssn").when(raw.rlike("\\A[0-9]"), None)
             .otherwise(F.coalesce(given, F.lit("surname"))))
 
 
@@ -122,21 +158,20 @@ def _let(x: Column, f) -> Column:
 def _cards(raw: Column) -> Column:
     """Parts of a run of digit groups, in order: ``(part, kind)``, kind null between cards.
 
-    Every 13 to 19 digits from group border to group border with a valid check
-    digit may be a card. Of overlapping ones the usual groupings come first,
-    then 16 digits, then the first and longest.
+    A card is one group of 13 to 19 digits or, in a run of at most
+    ``TABLE_GROUPS``, groups of one of ``CARD_GROUPS``, with an issuer's beginning and length and a valid check digit; so a line of
+    numbers stays. Of overlapping ones the first and longest comes first.
     """
     def sub(tokens: Column, i: Column) -> Column:
         def one(k: Column) -> Column:
             own = F.transform(F.slice(tokens, i + 1, k), _digits)
             digits = F.array_join(own, "")
             widths = F.array_join(F.transform(own, lambda g: F.length(g).cast("string")), "-")
-            rank = F.when((k == 1) | widths.isin(*CARD_GROUPS), 0).when(F.length(digits) == 16, 1).otherwise(2)
-            return F.struct(rank.alias("rank"), i.alias("i"), (-k).alias("less"), k.alias("k"), digits.alias("digits"))
+            usual = (k == 1) | widths.isin(*CARD_GROUPS) & (F.size(tokens) <= TABLE_GROUPS)
+            return F.struct(i.alias("i"), (-k).alias("less"), k.alias("k"), digits.alias("digits"), usual.alias("usual"))
 
-        return F.filter(F.transform(F.sequence(F.lit(1), F.least(F.lit(19), F.size(tokens) - i)), one),
-                        lambda c: F.length(c.digits).between(13, 19)
-                        & (_luhn_sum(_digit_array(c.digits), 1) % 10 == 0))
+        return F.filter(F.transform(F.sequence(F.lit(1), F.least(F.lit(4), F.size(tokens) - i)), one),
+                        lambda c: c.usual & c.digits.rlike(ISSUERS) & (_luhn_sum(_digit_array(c.digits), 1) % 10 == 0))
 
     def chosen(tokens: Column) -> Column:
         valid = F.transform(F.array_sort(F.flatten(F.transform(tokens, lambda x, i: sub(tokens, i)))),
@@ -159,11 +194,41 @@ def _cards(raw: Column) -> Column:
         chosen(tokens), lambda cards: F.flatten(F.transform(tokens, lambda x, i: parts(tokens, cards, x, i)))))
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder by 97 of a number written in digits and letters (A is 10)."""
+    def value(c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), F.ascii(c) - 48).otherwise(F.ascii(c) - 55)
+
+    return F.aggregate(F.transform(F.filter(F.split(text, ""), lambda c: c != ""), value), F.lit(0),
+                       lambda a, v: (a * F.when(v > 9, 100).otherwise(10) + v) % 97)
+
+
+def _iban_parts(raw: Column) -> Column:
+    """An account number with valid check digits at the start of the match and what follows it; else no entity."""
+    def part(text: Column, kind: str | None) -> Column:
+        return F.struct(text.alias("part"), F.lit(kind).cast("string").alias("kind"))
+
+    def text(tokens: Column, k: Column, by: str) -> Column:
+        return F.array_join(F.slice(tokens, F.lit(1), k), by)
+
+    def valid(tokens: Column, k: Column) -> Column:
+        lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+        return _let(text(tokens, k, ""), lambda t: F.coalesce(F.length(t) == F.try_element_at(lengths, F.substr(t, F.lit(1), F.lit(2))), F.lit(False)) & (
+            _mod97(F.concat(F.substr(t, F.lit(5), F.length(t)), F.substr(t, F.lit(1), F.lit(4)))) == 1))
+
+    return _let(F.split(raw, " "), lambda tokens: _let(F.get(F.filter(
+        F.sequence(F.size(tokens), F.lit(1), F.lit(-1)), lambda k: valid(tokens, k)), F.lit(0)),
+        lambda k: F.when(k.isNull(), F.array(part(raw, None))).when(k == F.size(tokens), F.array(part(raw, "iban")))
+        .otherwise(F.array(part(text(tokens, k, " "), "iban"),
+                           part(F.substr(raw, F.length(text(tokens, k, " ")) + 1, F.length(raw)), None)))))
+
+
 def parts_of(raw: Column) -> Column:
     """The parts of a match, in order: ``(part, kind)``."""
     kind = kind_of(raw)
     words = F.regexp_extract_all(raw, F.lit(" |[^ ]+"), F.lit(0))
     return F.when(raw.rlike(rf"\A(?:{PATTERNS['card']})\z") & kind.isNull(), _cards(raw)) \
+        .when(kind == "iban", _iban_parts(raw)) \
         .when((kind == "surname") & raw.contains(" "), F.transform(words, lambda w: F.struct(
             w.alias("part"), F.when(w != " ", kind_of(w)).alias("kind")))) \
         .otherwise(F.array(F.struct(raw.alias("part"), kind.alias("kind"))))
@@ -172,7 +237,7 @@ def parts_of(raw: Column) -> Column:
 def canonical(kind: Column, raw: Column) -> Column:
     """What two mentions of one entity share."""
     return F.when(kind.isin("phone", "card", "ssn"), _digits(raw)).when(kind == "iban", F.replace(raw, F.lit(" "))) \
-        .when((kind == "email") | (kind == "secret") & raw.rlike(HEX), F.lower(raw)) \
+        .when(kind.isin("email", "ipv6") | (kind == "secret") & raw.rlike(HEX), F.lower(raw)) \
         .when(kind == "surname", F.lower(raw)).when(kind.startswith("given"), F.initcap(raw)).otherwise(raw)
 
 
@@ -192,10 +257,12 @@ def _shaped(text: Column, seed: Column, hex_only: bool = False) -> Column:
 
     def one(c: Column, i: Column) -> Column:
         r = _random(seed, i)
-        return (F.when(c.rlike("[0-9]"), (r % 10).cast("string")).when(c.rlike("[a-z]"), _pick(low, r))
-                .when(c.rlike("[A-Z]"), _pick(low.upper(), r)).when(c.rlike("[а-я]"), _pick(LETTERS["cyr_lower"], r))
-                .when(c.rlike("[А-Я]"), _pick(LETTERS["cyr_upper"], r))
-                .when(c.rlike(r"\p{Lu}"), _pick(LETTERS["upper"], r)).when(c.rlike(r"\p{L}"), _pick(LETTERS["lower"], r))
+        out = (F.when(c.rlike("[0-9]"), (r % 10).cast("string")).when(c.rlike("[a-z]"), _pick(low, r))
+               .when(c.rlike("[A-Z]"), _pick(low.upper(), r)))
+        for script, name in SCRIPTS.items():
+            out = out.when(c.rlike(rf"[\p{{Is{script}}}&&\p{{Lu}}]"), _pick(LETTERS[name + "_upper"], r)) \
+                .when(c.rlike(rf"[\p{{Is{script}}}&&\p{{L}}]"), _pick(LETTERS[name + "_lower"], r))
+        return (out.when(c.rlike(r"\p{Lu}"), _pick(LETTERS["upper"], r)).when(c.rlike(r"\p{L}"), _pick(LETTERS["lower"], r))
                 .otherwise(c))
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -217,7 +284,8 @@ def surrogate(kind: Column, canon: Column, seed: Column, longer: int = 0) -> Col
     octets = F.array_join(F.array(*[(_random(seed, F.lit(i)) % (223 if i == 0 else 254) + 1).cast("string")
                                     for i in range(4)]), ".")
     body = F.transform(F.sequence(F.lit(0), F.length(canon) - 2),
-                       lambda i: F.when(i == 0, F.substr(canon, F.lit(1), F.lit(1)).cast("int"))
+                       lambda i: F.when((i == 0) | (i < 4) & ~canon.startswith("4"),     # the issuer stays
+                                        F.substr(canon, i + 1, F.lit(1)).cast("int"))
                        .otherwise((_random(seed, i) % 10).cast("int")))
     card = F.concat(F.array_join(F.transform(body, lambda x: x.cast("string")), ""),
                     ((10 - _luhn_sum(body, 0) % 10) % 10).cast("string"))
@@ -225,19 +293,23 @@ def surrogate(kind: Column, canon: Column, seed: Column, longer: int = 0) -> Col
     prefix = F.regexp_extract(canon, r"\A(?:AKIA|ASIA|(?:sk|ghp|gho|xoxb)[-_])", 0)
     secret = F.when(canon.rlike(HEX), _shaped(more(canon, "0"), seed, hex_only=True)).otherwise(
         F.concat(prefix, _shaped(more(F.substr(canon, F.length(prefix) + 1, F.length(canon)), "a"), seed)))
+    country = F.substr(canon, F.lit(1), F.lit(2))
+    iban = _let(_shaped(F.substr(canon, F.lit(5), F.length(canon)), seed), lambda b: F.concat(
+        country, F.lpad((98 - _mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b))
+    six = F.concat(F.lit("2001:db8:"), F.array_join(F.array(*[      # the range kept for examples
+        F.lower(F.hex(_random(seed, F.lit(i)) % 65536)) for i in range(6)]), ":"))
     out = F.when(kind == "email", email).when(kind == "ip", octets).when(kind == "secret", secret).when(kind == "card", card).when(kind == "phone", phone) \
-        .when(kind == "iban", F.concat(F.substr(canon, F.lit(1), F.lit(2)),
-                                       _shaped(F.substr(canon, F.lit(3), F.length(canon)), seed)))
-    for (script, gender), names in NAMES.items():
-        pool = F.array(*[F.lit(n) for n in names])
-        first = F.get(pool, (_random(seed, F.lit(0)) % len(names)).cast("int"))
-        # a list is finite: a second name then keeps surrogates different
-        extra = F.get(pool, (_random(seed, F.lit(1)) % len(names)).cast("int"))
-        out = out.when(kind == f"given_{script}_{gender}",
-                       F.when(F.col("attempt") < 2, first).otherwise(F.concat(first, F.lit("-"), extra)))
-    last = F.substr(canon, F.length(canon), F.lit(1))
-    name = F.concat(canon, F.repeat(F.lower(last), F.lit(longer))) if longer else canon
-    return out.when(kind == "surname", _shaped(name, seed)).otherwise(_shaped(canon, seed))
+        .when(kind == "iban", iban).when(kind == "ipv6", six)
+    for script, gender in NAMES:
+        first, middle, last = MADE[script][0], MADE[script][1], MADE[script][2][gender]
+        texts = [(first, 0), *[(middle, i) for i in range(1, 2 + longer)], (last, 2 + longer)]
+        made = F.concat(*[F.get(F.array(*[F.lit(x) for x in xs]), (_random(seed, F.lit(i)) % len(xs)).cast("int")) for xs, i in texts])
+        out = out.when(kind == f"given_{script}_{gender}", made)
+    ending = F.regexp_extract(canon, ENDINGS, 0)
+    stem = F.substr(canon, F.lit(1), F.length(canon) - F.length(ending))
+    last = F.substr(stem, F.length(stem), F.lit(1))
+    stem = F.concat(stem, F.repeat(F.lower(last), F.lit(longer))) if longer else stem
+    return out.when(kind == "surname", F.concat(_shaped(stem, seed), ending)).otherwise(_shaped(canon, seed))
 
 
 def resolve(entities: DataFrame, key: str) -> DataFrame:
@@ -245,7 +317,7 @@ def resolve(entities: DataFrame, key: str) -> DataFrame:
 
     A type's short entities can use up the texts of their shape, so surrogates
     grow from round to round and a free one exists in the end. Cards, SSNs, IPs
-    and IBANs keep their length; each has over 10^9 texts.
+    and IBANs keep their length; each has over 10^7 texts.
     """
     todo = entities.select("kind", "canon", F.lit(0).alias("attempt"))
     taken = entities.select("kind", F.col("canon").alias("surr"))
@@ -283,7 +355,7 @@ def replacement(kind: Column, raw: Column, surr: Column) -> Column:
         F.substr(raw, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
     return F.when((kind == "surname") & ~upper, name).when((kind == "surname") | kind.startswith("given") & upper, F.upper(surr)) \
         .when(kind.isin("phone", "card", "ssn"), _filled(raw, surr)).when(kind == "iban", spaced) \
-        .when(((kind == "email") | (kind == "secret") & raw.rlike(HEX)) & upper, F.upper(surr)).otherwise(surr)
+        .when((kind.isin("email", "ipv6") | (kind == "secret") & raw.rlike(HEX)) & upper, F.upper(surr)).otherwise(surr)
 
 
 def names_of(ents: Column) -> Column:
@@ -301,13 +373,14 @@ def _with_names(names: Column) -> Column:
                     F.lit(r")(?![\p{L}\p{N}])"))
 
 
-def redact(docs: DataFrame, text: str = "text", key: str = "surrogates-1") -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", *, key: str) -> DataFrame:
     """Packed rows of ``docs`` with ``new_text``, ``n_entities`` (long) and ``kinds`` (sorted, joined).
 
     Null texts stay null; texts without entities are unchanged. Repeated rows
     keep their rows and get equal results. An empty table gives no rows. Other
     columns pass through, whatever their names. The same key gives the same
-    surrogates as long as the set of entities is the same.
+    surrogates as long as the set of entities is the same; who knows it can
+    test guesses, so it should be secret.
     """
     t = F.col(f"`{text}`")
     def found(pattern: str | Column) -> Column:
