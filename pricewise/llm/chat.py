@@ -475,7 +475,7 @@ def format_turns(conversations: DataFrame, template: str = TEMPLATE, conv_id: st
     small_batches(conversations.sparkSession)
     Template(template)      # fail on the driver, not in a task
     src = conversations.select(
-        F.col(f"`{conv_id}`").alias("conv_id"), F.col(f"`{turn}`").alias("turn"),
+        F.col(f"`{conv_id}`").cast("long").alias("conv_id"), F.col(f"`{turn}`").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     ordered = src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text") \
         .select("conv_id", "role", "text")
