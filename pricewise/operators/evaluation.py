@@ -65,6 +65,36 @@ def catalogue(df: DataFrame) -> DataFrame:
     return df.select("make", "model").distinct()
 
 
+def models_for(catalogue: DataFrame, makes: DataFrame) -> DataFrame:
+    """(make, model) choices per requested make: its own models, or all models if the make is not in the catalogue."""
+    known = makes.select("make").distinct().join(catalogue.select("make").distinct(), "make", "left_semi")
+    own = known.join(catalogue.select("make", "model").distinct(), "make")
+    unknown = makes.select("make").distinct().join(known, "make", "left_anti")
+    # a list of requests, and every model once: the report offers all of them for each unknown make
+    return own.unionByName(unknown.crossJoin(catalogue.select("model").distinct()).select("make", "model"))
+
+
+def evaluate_segments(model, frame: DataFrame, keys: list[str], record: str, y: str = "sellingprice") -> DataFrame | None:
+    """Score the test split, measure overall and by price segment, and publish the updated run record.
+
+    ``record`` is a published one-row table (``snapshots``) with ``segment_metrics``; the record is read,
+    its two fields replaced and the new one published in one step. None (and no scoring) without a record.
+    """
+    from pricewise.operators.metrics import regression_metrics, segment_metrics
+    from pricewise.operators.split import split
+    from pricewise.sources import snapshots
+    spark = frame.sparkSession
+    if snapshots.manifest(spark, record) is None:
+        return None
+    scored = model.transform(split(frame, keys)[1]).select(y, "prediction")
+    segments, overall = segment_metrics(scored, y=y), regression_metrics(scored, y=y)
+    old = snapshots.read_snapshot(spark, record).drop("segment_metrics", "metrics")
+    new = old.join(F.broadcast(overall.agg(F.first(F.struct(*overall.columns)).alias("metrics")))) \
+        .join(F.broadcast(segments.agg(F.sort_array(F.collect_list(F.struct(*segments.columns))).alias("segment_metrics"))))
+    snapshots.publish(new, record)          # one row each
+    return snapshots.read_snapshot(spark, record)
+
+
 def listed_that_exist(factors: DataFrame, bodies: list[str]) -> DataFrame:
     """Factor rows of the listed bodies that exist in the table (semi join
     against a literal list), in no particular order."""

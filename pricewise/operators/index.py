@@ -36,21 +36,25 @@ def monthly_last(series: DataFrame, date_col: str = "observation_date",
                  .alias(value_col)))
 
 
-def read_series_csv(spark, paths: dict[str, str]) -> tuple[DataFrame | None, list[str]]:
+def read_series_csv(spark, paths: dict[str, str], tries: int = 2) -> tuple[DataFrame | None, list[str]]:
     """Indicator files (``observation_date,<ID>``, '.' = null) -> long frame.
 
-    A series whose file is missing or has fewer than two columns is skipped
-    and reported in the returned list instead of failing the whole index. Any
-    other error is raised.
+    A series whose file is missing (each of ``tries`` times it is looked up) or
+    has fewer than two columns is skipped and reported in the returned list
+    instead of failing the whole index. Any other error is raised.
     """
     frames, skipped = [], []
     for name, path in paths.items():
-        try:
-            df = (spark.read.option("header", True).option("nullValue", ".")
-                  .option("mode", "FAILFAST").csv(path))
-        except AnalysisException as ex:
-            if ex.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        df = None
+        for _ in range(tries):
+            try:
+                df = (spark.read.option("header", True).option("nullValue", ".")
+                      .option("mode", "FAILFAST").csv(path))
+                break
+            except AnalysisException as ex:
+                if ex.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    raise
+        if df is None:
             skipped.append(name)
             continue
         if len(df.columns) < 2:
@@ -217,3 +221,9 @@ def asof_lookup(facts: DataFrame, index: DataFrame, cols: list[str],
     keyed = cal.select(F.col(MONTH).alias("_key"), "resolved_month", *cols)
     out = f.join(F.broadcast(keyed) if dims.broadcast_ok(cal) else keyed, "_key", "left")
     return out.drop("_key").withColumn("is_carried", F.col("resolved_month") != F.col(month_col))
+
+
+def snapshot(months: DataFrame, index: DataFrame, cols: list[str], digits: int = 4) -> DataFrame:
+    """Every indicator of the (as-of) month of each row, rounded; null where the indicator has no value yet."""
+    found = asof_lookup(months, index, cols)
+    return found.select(*[c for c in found.columns if c not in cols], *[F.round(c, digits).alias(c) for c in cols])

@@ -148,6 +148,28 @@ ORACLE: dict[str, str] = {}
 ORACLE["seasonality_factors"] = CHAIN + "SELECT * FROM factors"
 ORACLE["seasonality_factors_sparse"] = with_(SPARSE_SALE, INDEX, FRAME, ROWS, FACTORS) + "SELECT * FROM factors"
 
+# five folds by key; a group's mean without the row's own fold, else the mean of all rows outside it
+ROWS_OUT_OF_FOLD = """
+folded AS (
+  SELECT *, CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber) || '|fold'), 1, 8) AS BIGINT) % 5
+            AS fold FROM frame),
+fold_sum AS (
+  SELECT fold, make, body, sum(CAST(sellingprice AS DECIMAL(18,2))) AS s, count(*) AS n FROM folded GROUP BY fold, make, body),
+group_sum AS (SELECT make, body, sum(s) AS s, sum(n) AS n FROM fold_sum GROUP BY make, body),
+fold_all AS (SELECT fold, sum(s) AS s, sum(n) AS n FROM fold_sum GROUP BY fold),
+every AS (SELECT sum(s) AS s, sum(n) AS n FROM fold_sum),
+unseen AS (
+  SELECT f.*, coalesce(CAST(g.s - o.s AS DOUBLE) / nullif(g.n - o.n, 0), CAST(e.s - a.s AS DOUBLE) / (e.n - a.n)) AS prediction
+  FROM folded f JOIN group_sum g ON f.make = g.make AND f.body = g.body
+  JOIN fold_sum o ON f.fold = o.fold AND f.make = o.make AND f.body = o.body
+  JOIN fold_all a ON f.fold = a.fold CROSS JOIN every e),
+srows AS (
+  SELECT u.l_orderkey, u.l_partkey, u.l_suppkey, u.l_linenumber, u.body, u.sale_month, u.year_month,
+         u.sellingprice / i.cpi_multiplier AS normalized_price, greatest(u.prediction, 500.0) AS reference_prediction,
+         (u.sellingprice / i.cpi_multiplier) / greatest(u.prediction, 500.0) AS price_ratio
+  FROM unseen u JOIN idx i ON u.year_month = i.year_month WHERE u.sale_month BETWEEN 1 AND 12)"""
+ORACLE["seasonality_factors_out_of_fold"] = with_(SALE, INDEX, FRAME, ROWS_OUT_OF_FOLD, FACTORS) + "SELECT * FROM factors"
+
 ORACLE["quote_chain"] = with_(SALE, INDEX, FRAME, ROWS, FACTORS) + """,
 fallback AS (SELECT CAST(sum(CAST(sellingprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS fb FROM frame),
 bounds AS (SELECT min(year_month) AS lo, max(year_month) AS hi FROM idx),
@@ -244,6 +266,12 @@ SELECT line_id, n_fields, status, g[1] AS year, g[2] AS make, g[3] AS model, g[4
        g[5] AS body, g[7] AS vin, g[15] AS sellingprice
 FROM rep"""
 
+# the same records through files; without the ids of the lines
+ORACLE["raw_file_repair"] = REPAIRED + """
+SELECT n_fields, status, g[1] AS year, g[2] AS make, g[3] AS model, g[4] AS trim,
+       g[5] AS body, g[7] AS vin, g[15] AS sellingprice
+FROM rep"""
+
 _NUM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 ORACLE["numeric_coercion"] = f"""
 WITH ev AS (
@@ -436,6 +464,25 @@ SELECT r.year_month, r.resolved_month, round(i.cpi_multiplier, 4) AS cpi_multipl
        round(i.price, 6) AS price
 FROM r JOIN idx1 i ON i.year_month = r.resolved_month"""
 
+ORACLE["macro_snapshot"] = with_(INDEX) + f""",
+wide AS (SELECT *, CASE WHEN year_month >= '1996-01' THEN volume END AS late FROM idx),
+months AS (SELECT DISTINCT strftime(l_shipdate, '%Y-%m') AS year_month FROM lineitem
+           UNION ALL VALUES ('1980-01'), ('2050-12')),
+r AS {asof('months', 'idx')}
+SELECT r.year_month, r.resolved_month, round(w.quantity, 4) AS quantity, round(w.volume, 4) AS volume,
+       round(w.late, 4) AS late, round(w.cpi_multiplier, 4) AS cpi_multiplier
+FROM r JOIN wide w ON w.year_month = r.resolved_month"""
+
+ORACLE["index_from_files"] = with_(INDEX) + """
+SELECT year_month, round(price, 6) AS price, round(quantity, 6) AS quantity, volume,
+       round(cpi_multiplier, 6) AS cpi_multiplier, 'oil' AS skipped FROM idx"""
+
+ORACLE["catalogue_choices"] = """
+SELECT DISTINCT p_brand AS make, p_name AS model FROM part
+UNION ALL SELECT 'Brand#00', p_name FROM (SELECT DISTINCT p_name FROM part)"""
+
+ORACLE["body_list"] = with_(SALE) + "SELECT DISTINCT lower(trim(body)) AS body FROM sale"
+
 TEST_PRED = f""",
 fb AS (SELECT *, {BUCKET} AS bucket FROM frame),
 train AS (SELECT * FROM fb WHERE bucket >= 20),

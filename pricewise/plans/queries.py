@@ -14,17 +14,17 @@ from pricewise.config import (FEATURE_COLUMNS, FORWARD_PROJECTION_MONTHS, PREDIC
                               DEFAULT_BOUNDS, LOOSE_BOUNDS, RANDOM_STATE, RAW_SALE_COLUMNS, SEGMENT_MIN_ROWS)
 from pricewise.functions.dates import parse_sale_time, utc_text, year_month
 from pricewise.functions.numeric import coerce_number, r6, safe_int
-from pricewise.functions.text import normalize_category
-from pricewise.operators.baseline import fit_group_baseline, median_baseline, scalar_median
+from pricewise.functions.text import normalize_category, normalize_key
+from pricewise.operators.baseline import fit_group_baseline, fit_group_baselines, median_baseline, scalar_median
 from pricewise.operators.clean import accounting, clean_sales, repair_records
 from pricewise.operators.dims import checked_broadcast
 from pricewise.operators.encoders import level_counts, ordinal_codes, scaling_stats
 from pricewise.operators.evaluation import (body_summary, catalogue, holdout_evaluation,
-                                            listed_that_exist, unobserved_cells)
+                                            listed_that_exist, models_for, unobserved_cells)
 from pricewise.operators.features import (FEATURE_INPUT, apply_bounds, at_reference_point, feature_rows,
                                           modeling_frame, restore_point, unclipped_age)
 from pricewise.operators.index import (align, asof_lookup, base_ratio, build_index, enrich, forward_fill,
-                                       missing_months, monthly_last)
+                                       missing_months, monthly_last, read_series_csv, snapshot)
 from pricewise.operators.metrics import (metric_columns, regression_metrics, segment_metrics,
                                          segments_column)
 from pricewise.operators.models import (RAW_SPEC, REFERENCE_SPECS, ModelSpec, PriceModel, coefficients, first_split,
@@ -37,6 +37,7 @@ from pricewise.plans.context import Chain
 from pricewise.plans.fixtures import (INDEX_BASE_YEAR, INDEX_SERIES, SALE_KEY, gappy_price_index,
                                       price_series, sale_view, series_long,
                                       sparse_sale_view)
+from pricewise.sources.records import read_records
 from pricewise.sources.sinks import scratch_path, write_table
 from pricewise.sources.tables import fingerprint, read_table
 
@@ -120,6 +121,20 @@ def q_record_repair(spark: SparkSession, sf: str) -> DataFrame:
                     "vin", "sellingprice")
 
 
+@register("raw_file_repair")
+def q_raw_file_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records written to text files and read back: quoted document texts run over many lines."""
+    path = scratch_path(spark, "raw-files")
+    header = ",".join(RAW_SALE_COLUMNS)
+    lines = raw_records(spark, sf).select(F.col("line").alias("value"))
+    lines.write.text(f"{path}/records")
+    r = read_records(spark, f"{path}/records", header=False)
+    spark.createDataFrame([(header,)], "value string").write.text(f"{path}/header")
+    none = read_records(spark, f"{path}/header")        # a file with nothing but its header
+    r = repair_records(r.unionByName(none), id_col="record_id")
+    return r.select("n_fields", "status", "year", "make", "model", "trim", "body", "vin", "sellingprice")
+
+
 @register("clean_sales")
 def q_clean_sales(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaning job: raw records -> repaired fields -> typed clean sales."""
@@ -319,6 +334,32 @@ def q_index_snapshot(spark: SparkSession, sf: str) -> DataFrame:
                        r6(F.col("price")).alias("price"))
 
 
+@register("macro_snapshot")
+def q_macro_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """All indicators at every ship month and two months outside the index; one indicator starts late."""
+    late = series_long(spark, sf).where("series = 'volume' AND year_month >= '1996-01'").withColumn("series", F.lit("late"))
+    names = INDEX_SERIES + ["late"]
+    index = build_index(series_long(spark, sf).unionByName(late), names, "price", INDEX_BASE_YEAR)
+    ship = read_table(spark, sf, "lineitem", ["l_shipdate"]).select(year_month(F.col("l_shipdate")).alias("year_month"))
+    months = ship.distinct().unionByName(spark.createDataFrame([("1980-01",), ("2050-12",)], "year_month string"))
+    snap = snapshot(months, index, ["quantity", "volume", "late", "cpi_multiplier"])
+    return snap.select("year_month", "resolved_month", "quantity", "volume", "late", "cpi_multiplier")
+
+
+@register("index_from_files")
+def q_index_from_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The index chain from series files (the first day of each month), one of which does not exist."""
+    path = scratch_path(spark, "series")
+    for name in INDEX_SERIES:
+        s = series_long(spark, sf).where(F.col("series") == name)
+        s.select(F.concat("year_month", F.lit("-01")).alias("observation_date"), F.col("value").alias(name.upper())) \
+            .write.option("header", True).csv(f"{path}/{name}")
+    long, skipped = read_series_csv(spark, {**{n: f"{path}/{n}" for n in INDEX_SERIES}, "oil": f"{path}/oil"})
+    index = build_index(monthly_last(long), INDEX_SERIES, "price", INDEX_BASE_YEAR)
+    return index.select("year_month", r6(F.col("price")).alias("price"), r6(F.col("quantity")).alias("quantity"), "volume",
+                        r6(F.col("cpi_multiplier")).alias("cpi_multiplier"), F.lit(",".join(skipped)).alias("skipped"))
+
+
 def test_predictions(c: Chain) -> DataFrame:
     """Group-baseline (fitted on the training split) predictions for the test
     split of the modelling frame, at the reference month."""
@@ -484,6 +525,17 @@ def q_seasonality_factors_sparse(spark: SparkSession, sf: str) -> DataFrame:
     return c.factors
 
 
+OUT_OF_FOLD = 5
+
+
+@register("seasonality_factors_out_of_fold")
+def q_seasonality_factors_out_of_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """The factor table from predictions of models that never saw the row they score."""
+    c = Chain(spark, sf)
+    c._cache["baseline"] = fit_group_baselines(c.frame, SALE_KEY, OUT_OF_FOLD)
+    return c.factors
+
+
 @register("unobserved_months")
 def q_unobserved_months(spark: SparkSession, sf: str) -> DataFrame:
     return unobserved_cells(sparse_sale_view(spark, sf))
@@ -495,6 +547,19 @@ def q_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return catalogue(p.select(F.col("p_brand").alias("make"), F.col("p_name").alias("model")))
 
 
+@register("catalogue_choices")
+def q_catalogue_choices(spark: SparkSession, sf: str) -> DataFrame:
+    """Models offered for every brand and for a brand nobody sells."""
+    p = read_table(spark, sf, "part", ["p_brand", "p_name"]).select(F.col("p_brand").alias("make"), F.col("p_name").alias("model"))
+    asked = p.select("make").distinct().unionByName(spark.createDataFrame([("Brand#00",)], "make string"))
+    return models_for(p, asked)
+
+
+@register("body_list")
+def q_body_list(spark: SparkSession, sf: str) -> DataFrame:
+    return sale_view(spark, sf).select(normalize_key(F.col("body")).alias("body")).where("body is not null").distinct()
+
+
 # ------------------------------------------------------------------ encoders, linear fit
 @register("rare_levels")
 def q_rare_levels(spark: SparkSession, sf: str) -> DataFrame:

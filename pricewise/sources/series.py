@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricewise.config import DEFAULT_SEASONALITY, SeasonalityConfig
 from pricewise.operators.index import read_series_csv  # noqa: F401  (S3, re-exported)
 from pricewise.operators.seasonality import backfill_factor_columns
-from pricewise.sources.sinks import write_table
+from pricewise.sources import snapshots
 
 INDEX_SCHEMA = ("year_month string, cpi_used_cars double, fedfunds double, consumer_sentiment double, "
                 "unemployment double, total_vehicle_sales double, recession double, "
@@ -21,21 +21,22 @@ def load_index(spark: SparkSession, path: str, schema: str = INDEX_SCHEMA) -> Da
     return df.withColumn("year_month", F.col("year_month").cast("string"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def load_or_build_factors(spark: SparkSession, path: str, build,
                           cfg: SeasonalityConfig = DEFAULT_SEASONALITY) -> DataFrame:
-    """Read the stored factor table, or build and store it when absent or unfinished.
+    """Read the published factor table, or build and publish it when there is none.
 
-    ``build`` is a zero-argument callable returning the factor DataFrame.
-    Older tables without the recommendation columns are completed.
+    ``build`` is a zero-argument callable returning the factor DataFrame. A
+    build that dies is not seen by later readers. Older tables without the
+    recommendation columns are completed; so are tables written as plain folders.
     """
-    if not _exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
-        write_table(build(), path, order_by=["body", "sale_month"])
-    return backfill_factor_columns(spark.read.parquet(path), cfg)
+    if snapshots.manifest(spark, path) is None:
+        if _finished(spark, path):
+            return backfill_factor_columns(spark.read.parquet(path), cfg)
+        snapshots.publish(build(), path, order_by=["body", "sale_month"])
+    return backfill_factor_columns(snapshots.read_snapshot(spark, path), cfg)
 
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

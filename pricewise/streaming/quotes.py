@@ -24,13 +24,14 @@ def quote_stream(requests: DataFrame, predict, index: DataFrame, factors: DataFr
 
 
 def start_quote_stream(spark: SparkSession, source_dir: str, schema: str, predict,
-                       index: DataFrame, factors: DataFrame, sink: str = "parquet",
-                       path: str | None = None, query_name: str = "quotes",
+                       index: DataFrame, factors: DataFrame, *, query_name: str, sink: str = "parquet",
+                       path: str | None = None,
                        cfg: SeasonalityConfig = DEFAULT_SEASONALITY,
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Read request files from ``source_dir`` as they land and write quotes.
 
-    The stream checkpoint lives below the shared ``spark.checkpoint.dir``.
+    The stream checkpoint lives below the shared ``spark.checkpoint.dir``, in a
+    folder named by ``query_name``, so streams of different names never share one.
     ``sink="memory"`` registers an in-memory table named ``query_name``.
     """
     reader = spark.readStream.schema(schema)
