@@ -162,12 +162,14 @@ def test_unfinished_factor_table_is_built_again(spark, tmp_path):
     (tmp_path / "factors" / "_SUCCESS").unlink()
     built = []
     again = load_or_build_factors(spark, path, lambda: built.append(1) or c.factors)
-    assert built and (tmp_path / "factors" / "_SUCCESS").exists()
+    from pricewise.sources import snapshots
+    folder = tmp_path / "factors" / snapshots.manifest(spark, path)["snapshot"]
+    assert built and (folder / "_SUCCESS").exists()
     rows = [(r["body"], r["sale_month"]) for r in again.collect()]
     assert sorted(rows) == sorted((r["body"], r["sale_month"]) for r in c.factors.collect())
-    names = sorted(p.name for p in (tmp_path / "factors").glob("part-*"))
+    names = sorted(p.name for p in folder.glob("part-*"))
     stored = [(r["body"], r["sale_month"]) for n in names
-              for r in spark.read.parquet(f"{path}/{n}").collect()]
+              for r in spark.read.parquet(f"{folder}/{n}").collect()]
     assert stored == sorted(stored)
     spark.catalog.clearCache()
 
